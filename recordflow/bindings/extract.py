@@ -206,9 +206,9 @@ def orders_spec():
     return WideSpec(
         "o", "orders", "o_orderkey",
         links=(
-            Descriptor("c", "customer", "o", "o_custkey", "c_custkey"),
-            Lookup("n", "nation", "c", "c_nationkey", "n_nationkey"),
-            Lookup("r", "region", "n", "n_regionkey", "r_regionkey"),
+            Descriptor("c", "customer", "o", "o_custkey", "c_custkey", unique=True),
+            Lookup("n", "nation", "c", "c_nationkey", "n_nationkey", unique=True),
+            Lookup("r", "region", "n", "n_regionkey", "r_regionkey", unique=True),
             Children("l", "lineitem", "o", "o_orderkey", "l_orderkey"),
             Bridge("p", "links", "o", "o_orderkey", "l_orderkey", target="part", target_key="p_partkey"),
         ),

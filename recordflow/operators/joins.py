@@ -67,7 +67,7 @@ def association_partners(
     return child_sets(as_first, pairs, on, second, {names[1]: F.col(first)})
 
 
-def link_pairs(df: DataFrame, record_key: str, link: str) -> DataFrame:
+def link_pairs(df: DataFrame, record_key: str, link: str, unique: bool = False) -> DataFrame:
     """Distinct ``(_record, _link)`` ids of all records that have a link.
 
     Tables reached through the link are joined to these two ids and the result
@@ -75,9 +75,11 @@ def link_pairs(df: DataFrame, record_key: str, link: str) -> DataFrame:
     (often most of them) never enter that join, so NULLs cannot pile up in one
     task, and a link shared by very many records costs two numbers per record;
     AQE can split such a partition because the result is shuffled by record.
+    ``unique`` states that the record key has no duplicates.
     """
     pairs = df.select(F.col(record_key).alias("_record"), F.col(link).alias("_link"))
-    return pairs.where(F.col("_link").isNotNull()).distinct()
+    pairs = pairs.where(F.col("_link").isNotNull())
+    return pairs if unique else pairs.distinct()
 
 
 def attach_resolved(df: DataFrame, record_key: str, link: str, branch: DataFrame) -> DataFrame:

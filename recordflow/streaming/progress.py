@@ -41,17 +41,17 @@ def read_log_stream(spark: SparkSession, folder: str) -> DataFrame:
     return lines.select(F.col("_metadata.file_name").alias("log_file"), F.col("value").alias("line"))
 
 
-def run_progress_stream(spark: SparkSession, folder: str, target: str, checkpoint: str) -> None:
-    """Process all waiting log files and store the progress per run as Parquet.
+def run_progress_stream(lines: DataFrame, run: str, line: str, target: str, checkpoint: str) -> None:
+    """Process all waiting log lines and store the progress per run as Parquet.
 
-    Every trigger overwrites its own batch folder, so a repeated batch after a
+    Every trigger overwrites its own batch folder, so a batch repeated after a
     failure leaves the same result; the newest state is the maximum over all.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     query = (
-        log_progress(read_log_stream(spark, folder), "log_file", "line")
+        log_progress(lines, run, line)
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -61,6 +61,6 @@ def run_progress_stream(spark: SparkSession, folder: str, target: str, checkpoin
     query.awaitTermination()
 
 
-def read_progress(spark: SparkSession, target: str) -> DataFrame:
-    stored = spark.read.schema("log_file string, progress int, batch long").parquet(target)
-    return stored.groupBy("log_file").agg(F.max("progress").alias("progress"))
+def read_progress(spark: SparkSession, target: str, run: str) -> DataFrame:
+    """The newest progress per run over all stored batches."""
+    return spark.read.parquet(target).groupBy(run).agg(F.max("progress").alias("progress"))

@@ -77,7 +77,7 @@ def main(folder: str, *names: str) -> int:
     from recordflow import bindings
     from recordflow.session import build_session
 
-    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
+    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     queries, sqls = bindings.queries(), bindings.oracle_sql()
