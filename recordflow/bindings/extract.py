@@ -19,7 +19,8 @@ from recordflow.plans.wide import (
     Bridge, Children, Descriptor, Lookup, WideSpec, const, denormalize, flag, flat_extract, members, merge, raw, text,
 )
 
-SETS = {"flags": F.col("l_returnflag"), "years": F.year("l_shipdate")}
+def line_sets():
+    return {"flags": F.col("l_returnflag"), "years": F.year("l_shipdate")}
 
 
 @bind(
@@ -55,9 +56,9 @@ def join_chained_lookup(t):
          FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey""",
 )
 def join_child_agg(t):
-    joined = child_sets(t.orders.select("o_orderkey"), t.lineitem, "o_orderkey", "l_orderkey", SETS)
+    joined = child_sets(t.orders.select("o_orderkey"), t.lineitem, "o_orderkey", "l_orderkey", line_sets())
     return joined.select(
-        "o_orderkey", *[F.coalesce(F.array_join(c, "||"), F.lit("")).alias(c) for c in SETS]
+        "o_orderkey", *[F.coalesce(F.array_join(c, "||"), F.lit("")).alias(c) for c in line_sets()]
     )
 
 
@@ -127,7 +128,7 @@ def distinct_join_one(t):
 )
 def distinct_join_multi(t):
     lines = lookup_join(t.lineitem, t.part.select("p_partkey", "p_name"), "l_partkey", "p_partkey")
-    return distinct_join(lines, "l_orderkey", {"names": F.col("p_name"), **SETS})
+    return distinct_join(lines, "l_orderkey", {"names": F.col("p_name"), **line_sets()})
 
 
 @bind(
@@ -137,7 +138,7 @@ def distinct_join_multi(t):
          SELECT l_orderkey, 'years', CAST(year(l_shipdate) AS VARCHAR) FROM lineitem)""",
 )
 def members_long(t):
-    return distinct_members(t.lineitem, "l_orderkey", SETS)
+    return distinct_members(t.lineitem, "l_orderkey", line_sets())
 
 
 @bind(

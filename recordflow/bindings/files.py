@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import functions as F
 
 from recordflow.bindings.registry import bind
 from recordflow.session import scratch_path
@@ -17,9 +17,7 @@ from recordflow.sinks.delimited import (
 from recordflow.sources.delimited import read_columns, read_csv_as_text, read_records_csv
 from recordflow.sources.files import archive_plan, file_inventory, latest_file
 
-ORDER_TYPES = T.StructType.fromDDL(
-    "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp, paid boolean, extra long"
-)
+ORDER_TYPES = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp, paid boolean, extra long"
 
 
 @bind(

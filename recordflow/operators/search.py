@@ -65,19 +65,17 @@ def search_exact_or_partial(
 ) -> DataFrame:
     """All exact hits if there are any, else the first ``size`` partial hits.
 
-    Whether an exact hit exists is an uncorrelated ``EXISTS`` (it stops at the
-    first hit); the plan has no global window and no join. A blank term lists
-    the first ``size`` rows. The size only applies to lists that are cut by
-    definition: exact hits are never cut.
+    Whether an exact hit exists is an uncorrelated ``EXISTS`` that stops at the
+    first one; the plan has no global window and no join. A blank term lists
+    the first ``size`` rows. Exact hits are never cut.
     """
     order = order or [id_column]
     term = term.strip().lower()
     if not term:
         return df.orderBy(*order).limit(size)
-    exact = _exact(term, id_column, name_column, separator)
-    any_exact = df.agg(F.coalesce(F.bool_or(exact), F.lit(False))).scalar()
-    partial = df.where(~any_exact & _contains(term, id_column, name_column)).orderBy(*order).limit(size)
-    return df.where(any_exact & exact).unionAll(partial)
+    exact = df.where(_exact(term, id_column, name_column, separator))
+    partial = df.where(~exact.exists() & _contains(term, id_column, name_column))
+    return exact.unionAll(partial.orderBy(*order).limit(size))
 
 
 def search_records(

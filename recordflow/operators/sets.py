@@ -1,10 +1,14 @@
 """Distinct sets per key: the multi-valued fields of the wide extract.
 
-All sets go through the same two steps. First the (key, field, value) triples
-are made distinct: that shuffle hashes the *value* too, so a key that owns a
-third of all rows is spread over all tasks, and copies are already combined on
-the map side. Only then are the remaining members gathered per key, which costs
-no more than the size of the resulting cell.
+Sets are built in two steps. First the (key, field, value) rows are made
+distinct: copies are combined on the map side, and because the value is part of
+the shuffle key, a key that owns a third of all rows is spread over all tasks.
+Only the distinct rest is brought together per key, which moves exactly the
+members of the resulting cells.
+
+The second step must be ``collect_list``. Spark removes a ``distinct`` below
+``collect_set``, and then every map task would send its own partial set of a
+hot key to one reducer.
 """
 
 from __future__ import annotations
@@ -16,20 +20,28 @@ from pyspark.sql import Column, DataFrame, functions as F
 from recordflow.functions.multivalue import SEPARATOR, join_values
 
 
-def _triples(df: DataFrame, key: str, values: Mapping[str, Column]) -> DataFrame:
-    fields = F.array(
-        *[F.struct(F.lit(name).alias("field"), c.cast("string").alias("value")) for name, c in values.items()]
-    )
-    return df.select(F.col(key), F.inline(fields))
+def _members(df: DataFrame, key: str, values: Mapping[str, Column], nulls: bool) -> DataFrame:
+    """Distinct ``(key, field, value)`` rows, without ``field`` for a single one."""
+    if len(values) == 1:
+        (value,) = values.values()
+        rows = df.select(F.col(key), value.cast("string").alias("value"))
+    else:
+        fields = [F.struct(F.lit(name).alias("field"), c.cast("string").alias("value")) for name, c in values.items()]
+        rows = df.select(F.col(key), F.inline(F.array(*fields)))
+    if not nulls:
+        rows = rows.where(F.col(key).isNotNull() & F.col("value").isNotNull())
+    return rows.distinct()
 
 
-def _gathered(triples: DataFrame, key: str, names: list[str]) -> DataFrame:
-    def members(name: str) -> Column:
-        # collect_list skips NULL, so each field only gets its own members.
-        own = F.when(F.col("field") == name, F.col("value")) if len(names) > 1 else F.col("value")
-        return F.array_sort(F.collect_list(own)).alias(name)
+def _gathered(members: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """Sorted array per key and field; collect_list leaves out NULL."""
+    def own(name: str) -> Column:
+        return F.when(F.col("field") == name, F.col("value")) if len(names) > 1 else F.col("value")
 
-    return triples.groupBy(key).agg(*[members(name) for name in names])
+    # Partitioned by key up front: a partial collect_list would reduce nothing.
+    return members.repartition(key).groupBy(key).agg(
+        *[F.array_sort(F.collect_list(own(name))).alias(name) for name in names]
+    )
 
 
 def distinct_members(df: DataFrame, key: str, values: Mapping[str, Column]) -> DataFrame:
@@ -37,7 +49,11 @@ def distinct_members(df: DataFrame, key: str, values: Mapping[str, Column]) -> D
 
     This form has no cell size limit; use it when a single set may be huge.
     """
-    return _triples(df, key, values).where(F.col(key).isNotNull() & F.col("value").isNotNull()).distinct()
+    members = _members(df, key, values, nulls=False)
+    if len(values) > 1:
+        return members
+    (name,) = values
+    return members.select(key, F.lit(name).alias("field"), "value")
 
 
 def distinct_arrays(df: DataFrame, key: str, values: Mapping[str, Column]) -> DataFrame:
@@ -46,10 +62,10 @@ def distinct_arrays(df: DataFrame, key: str, values: Mapping[str, Column]) -> Da
     Keys whose members are all NULL have no row; a left join turns that into a
     NULL array, which renders as the empty text.
     """
-    return _gathered(distinct_members(df, key, values), key, list(values))
+    return _gathered(_members(df, key, values, nulls=False), key, list(values))
 
 
 def distinct_join(df: DataFrame, key: str, values: Mapping[str, Column], separator: str = SEPARATOR) -> DataFrame:
     """Every key of ``df`` with its sets as joined text, empty text for empty sets."""
-    arrays = _gathered(_triples(df, key, values).distinct(), key, list(values))
+    arrays = _gathered(_members(df, key, values, nulls=True), key, list(values))
     return arrays.select(key, *[join_values(F.col(f"`{name}`"), separator).alias(name) for name in values])

@@ -45,7 +45,7 @@ def typed(c: Column, kind: T.DataType) -> Column:
 def read_records_csv(
     spark: SparkSession,
     path: str,
-    schema: T.StructType,
+    schema: T.StructType | str,
     tokens: tuple[str, ...] = NULL_TOKENS,
     multiline: bool = False,
     position: bool = False,
@@ -56,6 +56,8 @@ def read_records_csv(
     columns of the file stay text. ``position`` adds :data:`POSITION`, which
     orders rows as they stand in the files.
     """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     raw = read_csv_as_text(spark, path, multiline=multiline)
     kinds = {f.name: f.dataType for f in schema.fields}
     present = [

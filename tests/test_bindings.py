@@ -1,0 +1,28 @@
+"""Every bound query against its reference SQL on the smallest data set."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry
+from compare import connect, difference
+
+FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(FOLDER)
+
+
+def test_contract(spark):
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_query(spark, con, name):
+    frame = entry.queries()[name](spark, FOLDER)
+    assert frame.columns == list(dict.fromkeys(frame.columns))
+    assert difference(frame, con, entry.oracle_sql()[name]) is None
