@@ -12,6 +12,7 @@ from recordflow.functions.text import (
     as_text, first_non_blank, first_non_null_text, protocol_text, strip_control_chars,
 )
 from recordflow.functions.urls import attachment_url, build_url
+from recordflow.operators.joins import left_join_rows
 from recordflow.operators.outcomes import outcome_class
 
 DOC = "documents LEFT JOIN labels USING (doc_id)"
@@ -62,7 +63,8 @@ def cast_text(t):
        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey""",
 )
 def null_to_empty(t):
-    lines = t.orders.join(t.lineitem.select("l_orderkey", "l_returnflag"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    orders = t.orders.select("o_orderkey", "o_orderpriority")
+    lines = left_join_rows(orders, t.lineitem.select("l_orderkey", "l_returnflag"), "o_orderkey", "l_orderkey")
     priority = F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED"))
     return lines.select("o_orderkey", as_text(priority).alias("priority"), as_text(F.col("l_returnflag")).alias("flag"))
 

@@ -10,7 +10,7 @@ from recordflow.bindings.wide_sql import wide_sql
 from recordflow.functions.text import as_text
 from recordflow.operators.filters import exclude_value, published_only
 from recordflow.operators.joins import (
-    association_partners, association_sets, bridge_sets, child_sets, lookup_join,
+    association_partners, association_sets, bridge_sets, child_sets, left_join_rows, lookup_join,
 )
 from recordflow.operators.sets import distinct_join, distinct_members
 from recordflow.plans.archive import archive_spec, extract_archive, flat_spec
@@ -157,7 +157,7 @@ def group_wide_keys(t):
         t.lineitem.select("l_orderkey", "l_partkey", "l_returnflag", "l_linestatus"),
         t.part.select("p_partkey", "p_name"), "l_partkey", "p_partkey",
     )
-    wide = wide.join(lines, wide.o_orderkey == lines.l_orderkey, "left")
+    wide = left_join_rows(wide, lines, "o_orderkey", "l_orderkey")
     keys = ["o_orderkey", "o_orderstatus", "priority", "c_mktsegment", "l_returnflag", "l_linestatus"]
     grouped = distinct_join(wide.select(F.struct(*keys).alias("g"), "p_name"), "g", {"names": F.col("p_name")})
     return grouped.select("g.*", "names")
@@ -176,8 +176,7 @@ def group_by_child_key(t):
         t.lineitem.select("l_orderkey", "l_partkey", "l_returnflag"), t.part.select("p_partkey", "p_name"),
         "l_partkey", "p_partkey",
     )
-    orders = t.orders.select("o_orderkey")
-    rows = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    rows = left_join_rows(t.orders.select("o_orderkey"), lines, "o_orderkey", "l_orderkey")
     grouped = distinct_join(
         rows.select(F.struct("o_orderkey", "l_returnflag").alias("g"), "p_name"), "g", {"names": F.col("p_name")}
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from recordflow.bindings.expressions import docs
 from recordflow.bindings.registry import bind
 from recordflow.operators.dedupe import dedupe_first, duplicate_count
+from recordflow.operators.joins import left_join_rows
 from recordflow.operators.profile import distribution, profile
 from recordflow.operators.quality import quality_counts, quality_totals
 from recordflow.plans.report import report_lines
@@ -102,8 +103,8 @@ def _numeric_profile(column: str) -> str:
 )
 def profile_numeric(t):
     lines = t.lineitem.select("l_orderkey", "l_quantity", "l_linenumber")
-    rows = t.orders.select("o_orderkey", "o_totalprice").join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    rows = rows.drop("l_orderkey").withColumn("nothing", F.lit(None).cast("bigint"))
+    rows = left_join_rows(t.orders.select("o_orderkey", "o_totalprice"), lines, "o_orderkey", "l_orderkey")
+    rows = rows.withColumn("nothing", F.lit(None).cast("bigint"))
     return profile(rows).select("column", "min", "max", F.round("mean", 4).alias("mean"))
 
 

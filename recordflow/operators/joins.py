@@ -20,6 +20,20 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on: str, key: str | None = Non
     return df.join(lookup, df[on] == lookup[key], "left").drop(*([lookup[key]] if key == on else []))
 
 
+def left_join_rows(df: DataFrame, child: DataFrame, on: str, key: str) -> DataFrame:
+    """1:N left join as rows, for a child table that may have a hot key.
+
+    AQE can split the many side of an inner join but not the right side of a
+    left join, so matches come from an inner join and the rows without a match
+    are added. ``key`` is not part of the result.
+    """
+    child = child.withColumnRenamed(key, "_child_key").where(F.col("_child_key").isNotNull())
+    keys = child.select("_child_key").distinct()
+    matched = df.join(child, df[on] == child["_child_key"]).drop("_child_key")
+    unmatched = df.join(keys, df[on] == keys["_child_key"], "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
 def child_sets(
     df: DataFrame, child: DataFrame, on: str, key: str, values: Mapping[str, Column]
 ) -> DataFrame:

@@ -7,6 +7,8 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from recordflow.operators.joins import left_join_rows
+
 HISTORY_SCHEMA = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -64,4 +66,4 @@ def read_run_logs(spark: SparkSession, path: str) -> DataFrame:
 
 def history_logs(runs: DataFrame, logs: DataFrame) -> DataFrame:
     """Runs with the lines of their log; a run without a log keeps one NULL line."""
-    return runs.join(logs, "log_file", "left")
+    return left_join_rows(runs, logs.withColumnRenamed("log_file", "_log"), "log_file", "_log")

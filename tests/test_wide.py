@@ -178,3 +178,57 @@ def test_hot_key_is_spread_before_it_is_gathered(spark):
     assert sets.where("k = 0").first()["v"] == [str(i) for i in range(7)]
     plan = sets._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(k" in plan and "value" in plan.split("hashpartitioning(k")[2].split(")")[0]
+
+
+@pytest.fixture
+def eager_skew_splitting(spark):
+    """Thresholds so low that AQE treats small test partitions like large ones."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def executed_plan(frame) -> str:
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def hot_tables(spark, rows=40000):
+    """A third of the records share one descriptor, a third have none; record 0 owns a third of the files."""
+    i = F.col("id")
+    link = F.when(i % 3 == 0, F.lit(0)).when(i % 3 == 1, i % 1000)
+    return {
+        "record": spark.range(0, rows, 1, 8).select("id", link.alias("d_id")),
+        "descriptor": spark.range(1000).select(i.alias("d_id"), (i % 7).alias("l_id")),
+        "lookup": spark.range(7).select(i.alias("l_id"), F.concat(F.lit("n"), i.cast("string")).alias("name")),
+        "author": spark.range(3000).select((i % 1000).alias("d_id"), i.cast("string").alias("author")),
+        "file": spark.range(0, rows, 1, 8).select(
+            F.when(i % 3 == 0, F.lit(0)).otherwise(i).alias("id"), F.concat(F.lit("f"), i.cast("string")).alias("file")
+        ),
+    }
+
+
+def test_hot_link_is_split(spark, eager_skew_splitting):
+    wide = denormalize(hot_tables(spark), small_spec())
+    assert "skew=true" in executed_plan(wide)
+    assert wide.count() == 40000
+    assert wide.where("d_id = 0 and authors = '0||1000||2000' and l_name = 'n0'").count() == 13334 + 13
+
+
+def test_hot_key_of_expanded_rows_is_split(spark, eager_skew_splitting):
+    flat = flat_extract(hot_tables(spark), small_spec(), expand="f")
+    assert "skew=true" in executed_plan(flat)
+    assert flat.where("id = 0").count() == 13334
+    assert flat.count() == 40000 + 13333
