@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from recordflow.bindings.registry import bind
 from recordflow.session import scratch_path
 from recordflow.sinks.delimited import (
-    preview_header, preview_lines, run_metrics, text_lines, write_records_csv, write_structured, write_text,
+    preview_header, preview_lines, run_metrics, write_records_csv, write_structured, write_text,
 )
 from recordflow.sources.delimited import read_columns, read_csv_as_text, read_records_csv
 from recordflow.sources.files import archive_plan, file_inventory, latest_file

@@ -129,10 +129,6 @@ def distribution_query(t):
     return distribution(docs(t), "quality")
 
 
-def _head(n: int, line: str) -> str:
-    return f"SELECT {n} AS no, {line} AS line"
-
-
 @bind(
     "report_lines",
     f"""WITH d AS (SELECT doc_id, n_chars, quality, toxic = 1 AS toxic FROM {DOCS}),

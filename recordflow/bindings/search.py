@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from recordflow.bindings.expressions import STATUS
 from recordflow.bindings.registry import bind
 from recordflow.functions.multivalue import SEPARATOR, split_values
-from recordflow.operators.joins import lookup_join
 from recordflow.operators.manifest import attachment_manifest, url_params, url_params_grouped
 from recordflow.operators.outcomes import outcome_failures, outcome_summary
 from recordflow.operators.paging import number_rows, page, page_after, page_count, sort_nulls_last, top_n

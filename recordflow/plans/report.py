@@ -94,11 +94,14 @@ def report_lines(
 ) -> DataFrame:
     """``section, line_no, key, line``: sort by the first three to print.
 
-    Sections with fixed text hang on the single totals row; distributions and
-    column details stay distributed rows.
+    The head hangs on the single totals row, further fixed text on a constant
+    row; distributions and column details stay distributed rows. So each of
+    the given frames is computed once.
     """
-    def fixed(section: int, lines: list[Column]) -> DataFrame:
-        return totals.select(F.posexplode(F.array(*lines)).alias("line_no", "line")).select(
+    constant = totals.sparkSession.range(1)
+
+    def fixed(section: int, lines: list[Column], row: DataFrame = constant) -> DataFrame:
+        return row.select(F.posexplode(F.array(*lines)).alias("line_no", "line")).select(
             F.lit(section).alias("section"), F.col("line_no").cast("long"), F.lit(None).cast("string").alias("key"),
             F.lit(None).cast("double").alias("number"), "line",
         )
@@ -122,7 +125,7 @@ def report_lines(
         F.concat(F.lit("Publicados na Internet: "), thousands(F.col("published"))),
         F.lit(""),
     ]
-    parts = [fixed(0, head)]
+    parts = [fixed(0, head, totals)]
     section = 1
     for (title, label), values in distributions.items():
         parts.append(fixed(section, texts(_heading(title))))

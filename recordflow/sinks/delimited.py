@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from recordflow.functions.text import as_text
-
 # The file dialect and formats.
 DIALECT = {
     "sep": ";",

@@ -1,5 +1,4 @@
 import datetime as dt
-import math
 
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
