@@ -13,7 +13,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
-_MODULES = ("extract", "expressions", "quality", "search", "files", "runs")
+_MODULES = ("extract", "expressions", "quality", "search", "files", "runs", "structuring")
 
 
 class Inputs:

@@ -16,12 +16,15 @@ DIALECT = {"sep": ";", "header": "true", "quote": '"', "escape": '"', "encoding"
 POSITION = ("_source_file", "_source_block", "_source_row")
 
 
-def read_csv_as_text(spark: SparkSession, path: str, columns: Sequence[str] | None = None, multiline: bool = False) -> DataFrame:
+def read_csv_as_text(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, multiline: bool = True
+) -> DataFrame:
     """Every column as text.
 
     With ``columns`` (the file's columns in order) no file is opened to find
-    the header. ``multiline`` allows line breaks inside quotes, at the price of
-    one task per file; leave it off for large files.
+    the header. Cells may hold line breaks, so a file is read by one task, as a
+    stream; the sinks write many files. Turn ``multiline`` off to split a single
+    large file that is known to have none.
     """
     reader = spark.read.options(**DIALECT).option("multiLine", str(multiline).lower())
     if columns is not None:
@@ -47,7 +50,7 @@ def read_records_csv(
     path: str,
     schema: T.StructType | str,
     tokens: tuple[str, ...] = NULL_TOKENS,
-    multiline: bool = False,
+    multiline: bool = True,
     position: bool = False,
 ) -> DataFrame:
     """Typed records; NULL tokens and unreadable values are NULL.

@@ -30,7 +30,7 @@ def test_position_is_file_order(spark, tmp_path):
     (tmp_path / "in.csv").write_text("id\n" + "\n".join(str(i) for i in range(1000)), encoding="utf-8")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
     try:
-        rows = delimited.read_records_csv(spark, str(tmp_path / "in.csv"), "id long", position=True)
+        rows = delimited.read_records_csv(spark, str(tmp_path / "in.csv"), "id long", multiline=False, position=True)
         assert rows.rdd.getNumPartitions() > 2
         assert [r.id for r in rows.orderBy(*delimited.POSITION).collect()] == list(range(1000))
     finally:
@@ -46,14 +46,16 @@ def test_fallback_columns(spark, tmp_path):
 
 def test_round_trip(spark, tmp_path):
     rows = spark.createDataFrame(
-        [(1, True, dt.datetime(2021, 1, 2), ' a;"b"\t', 5), (2, None, None, None, None), (3, False, None, "", 0)], SCHEMA
+        [(1, True, dt.datetime(2021, 1, 2), ' a;"b"\t\nc', 5), (2, None, None, None, None), (3, False, None, "", 0)], SCHEMA
     )
     path = str(tmp_path / "out")
     sinks.write_records_csv(rows, path)
     text = "\n".join(r.value for r in spark.read.text(path).collect())
-    assert '1;True;2021-01-02;" a;""b""\t";5' in text and "2;;;;" in text and "3;False;;;0" in text
+    assert '1;True;2021-01-02;" a;""b""\t\nc";5' in text and "2;;;;" in text and "3;False;;;0" in text
     back = sorted((tuple(r) for r in delimited.read_records_csv(spark, path, SCHEMA).collect()), key=lambda r: r[0])
-    assert back == [(1, True, dt.datetime(2021, 1, 2), ' a;"b"\t', 5), (2, None, None, None, None), (3, False, None, None, 0)]
+    assert back == [
+        (1, True, dt.datetime(2021, 1, 2), ' a;"b"\t\nc', 5), (2, None, None, None, None), (3, False, None, None, 0),
+    ]
 
 
 def test_overwrite(spark, tmp_path):
