@@ -21,12 +21,12 @@ from recordflow.functions.multivalue import SEPARATOR, join_values
 
 
 def _members(df: DataFrame, key: str, values: Mapping[str, Column], nulls: bool) -> DataFrame:
-    """Distinct ``(key, field, value)`` rows, without ``field`` for a single one."""
+    """Distinct ``(key, field, value)`` rows, ``field`` being a position; none for a single one."""
     if len(values) == 1:
         (value,) = values.values()
         rows = df.select(F.col(key), value.cast("string").alias("value"))
     else:
-        fields = [F.struct(F.lit(name).alias("field"), c.cast("string").alias("value")) for name, c in values.items()]
+        fields = [F.struct(F.lit(i).alias("field"), c.cast("string").alias("value")) for i, c in enumerate(values.values())]
         rows = df.select(F.col(key), F.inline(F.array(*fields)))
     if not nulls:
         rows = rows.where(F.col(key).isNotNull() & F.col("value").isNotNull())
@@ -35,12 +35,12 @@ def _members(df: DataFrame, key: str, values: Mapping[str, Column], nulls: bool)
 
 def _gathered(members: DataFrame, key: str, names: list[str]) -> DataFrame:
     """Sorted array per key and field; collect_list leaves out NULL."""
-    def own(name: str) -> Column:
-        return F.when(F.col("field") == name, F.col("value")) if len(names) > 1 else F.col("value")
+    def own(i: int) -> Column:
+        return F.when(F.col("field") == i, F.col("value")) if len(names) > 1 else F.col("value")
 
     # Partitioned by key up front: a partial collect_list would reduce nothing.
     return members.repartition(key).groupBy(key).agg(
-        *[F.array_sort(F.collect_list(own(name))).alias(name) for name in names]
+        *[F.array_sort(F.collect_list(own(i))).alias(name) for i, name in enumerate(names)]
     )
 
 
@@ -49,11 +49,9 @@ def distinct_members(df: DataFrame, key: str, values: Mapping[str, Column]) -> D
 
     This form has no cell size limit; use it when a single set may be huge.
     """
-    members = _members(df, key, values, nulls=False)
-    if len(values) > 1:
-        return members
-    (name,) = values
-    return members.select(key, F.lit(name).alias("field"), "value")
+    names = F.array(*[F.lit(name) for name in values])
+    position = F.col("field") if len(values) > 1 else F.lit(0)
+    return _members(df, key, values, nulls=False).select(key, names[position].alias("field"), "value")
 
 
 def distinct_arrays(df: DataFrame, key: str, values: Mapping[str, Column]) -> DataFrame:
