@@ -12,7 +12,9 @@ def _value(f: Field) -> str:
 
 def _render(f: Field, member: str) -> str:
     cast = [f"CAST({s} AS VARCHAR)" for s in f.sources]
-    if f.kind == "flag":
+    if f.kind in ("flag", "flag_ci"):
+        if f.kind == "flag_ci":
+            cast = [f"lower({c})" for c in cast]
         return f"CASE WHEN {cast[0]} IN ('1', 'true') THEN 'Sim' WHEN {cast[0]} IN ('0', 'false') THEN 'Não' ELSE '' END"
     if f.kind == "text":
         return f"coalesce({cast[0]}, '')"

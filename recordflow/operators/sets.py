@@ -54,16 +54,17 @@ def distinct_members(df: DataFrame, key: str, values: Mapping[str, Column]) -> D
     return _members(df, key, values, nulls=False).select(key, names[position].alias("field"), "value")
 
 
-def distinct_arrays(df: DataFrame, key: str, values: Mapping[str, Column]) -> DataFrame:
+def distinct_arrays(df: DataFrame, key: str, values: Mapping[str, Column], keep_empty: bool = False) -> DataFrame:
     """One row per key with a sorted array of distinct members per field.
 
     Keys whose members are all NULL have no row; a left join turns that into a
-    NULL array, which renders as the empty text.
+    NULL array, which renders as the empty text. With ``keep_empty`` they have
+    empty arrays.
     """
-    return _gathered(_members(df, key, values, nulls=False), key, list(values))
+    return _gathered(_members(df, key, values, nulls=keep_empty), key, list(values))
 
 
 def distinct_join(df: DataFrame, key: str, values: Mapping[str, Column], separator: str = SEPARATOR) -> DataFrame:
     """Every key of ``df`` with its sets as joined text, empty text for empty sets."""
-    arrays = _gathered(_members(df, key, values, nulls=True), key, list(values))
+    arrays = distinct_arrays(df, key, values, keep_empty=True)
     return arrays.select(key, *[join_values(F.col(f"`{name}`"), separator).alias(name) for name in values])
