@@ -288,13 +288,13 @@ ARCHIVE_URL = "https://files.example.org/archive/"
 @bind("extract_archive", ARCHIVE_CTES + wide_sql(archive_spec(ARCHIVE_URL)))
 def extract_archive_full(t):
     """All 26 joins, 72 public and 7 internal columns, on an archive derived from the tables."""
-    return extract_archive(archive_tables(t), ARCHIVE_URL)
+    return extract_archive(archive_tables(t), ARCHIVE_URL, unique_key=True)
 
 
 @bind("extract_archive_flat", ARCHIVE_CTES + wide_sql(flat_spec(), flat="tx"))
 def extract_archive_flat(t):
     """The flat archive rows, attachments expanded, other sets as text."""
-    flat = flat_extract(archive_tables(t), flat_spec(), expand="tx")
+    flat = flat_extract(archive_tables(t), flat_spec(unique_key=True), expand="tx")
     return flat.select(
         *[
             F.coalesce(F.array_join(f.name, "||"), F.lit("")).alias(f.name)
@@ -318,5 +318,5 @@ def extract_archive_flat(t):
     FROM ({wide_sql(archive_spec(ARCHIVE_URL))}) w""")
 def structure_archive(t):
     """The structured extract: 84 columns."""
-    return structure_extract(extract_archive(archive_tables(t), ARCHIVE_URL, ordered=False))
+    return structure_extract(extract_archive(archive_tables(t), ARCHIVE_URL, ordered=False, unique_key=True))
 

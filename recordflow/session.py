@@ -53,8 +53,3 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
 
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable without overriding a configured folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))

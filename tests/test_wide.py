@@ -103,6 +103,15 @@ def test_extract_is_ordered_by_number(spark):
     assert ids == sorted(ids)
 
 
+def test_unique_key_gives_the_same(spark):
+    made = random_tables(9, rows=12, key_range=3)
+    for i, record in enumerate(made["tb_arquivo_acervo"]):
+        record["id_arquivo_acervo"] = i
+    tables = frames(spark, made)
+    fast, exact = (denormalize(tables, archive_spec(URL, unique_key=u)) for u in (True, False))
+    assert as_rows(fast.collect()) == as_rows(exact.collect())
+
+
 def small_spec(**options):
     return WideSpec(
         "r", "record", "id",
