@@ -143,7 +143,8 @@ def preview_header_query(t):
     return preview_header(t.orders)
 
 
-@bind("run_metrics", "SELECT count(*) AS rows, 6 AS columns, true AS has_size FROM orders")
+@bind("run_metrics", "SELECT count(*) AS rows, 6 AS columns, true AS has_size, 90.5::DOUBLE AS duration_seconds FROM orders")
 def run_metrics_query(t):
     files = t.spark.read.format("binaryFile").load(f"{t.folder}/orders.parquet")
-    return run_metrics(t.orders, files).select("rows", "columns", (F.col("size_mb") > 0).alias("has_size"))
+    metrics = run_metrics(t.orders, files, datetime(2000, 1, 1, 10), datetime(2000, 1, 1, 10, 1, 30, 500000))
+    return metrics.select("rows", "columns", (F.col("size_mb") > 0).alias("has_size"), "duration_seconds")

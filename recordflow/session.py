@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def build_session(app_name: str = "recordflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings this package is written for.
@@ -44,9 +46,10 @@ def shared_folder(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    local = tempfile.mkdtemp(prefix="recordflow-")
-    spark.conf.set(CHECKPOINT_CONF, local)
-    return local
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="recordflow-")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 # The file dialect and formats.
@@ -79,12 +81,16 @@ def preview_header(df: DataFrame, columns: int = 5) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total"), F.lit(", ".join(df.columns[:columns])).alias("columns"))
 
 
-def run_metrics(df: DataFrame, files: DataFrame | None = None) -> DataFrame:
-    """One row: rows, columns and, for a file inventory, its size in MB."""
+def run_metrics(
+    df: DataFrame, files: DataFrame | None = None, started: datetime | None = None, finished: datetime | None = None
+) -> DataFrame:
+    """One row: rows, columns, the size of a file inventory in MB and the run's duration."""
+    seconds = (finished - started).total_seconds() if started and finished else None
     if files is None:
         size = F.lit(None).cast("double")
     else:
         size = F.round(files.agg(F.coalesce(F.sum("length"), F.lit(0)) / F.lit(1048576)).scalar(), 2)
     return df.agg(F.count(F.lit(1)).alias("rows")).select(
-        "rows", F.lit(len(df.columns)).alias("columns"), size.alias("size_mb")
+        "rows", F.lit(len(df.columns)).alias("columns"), size.alias("size_mb"),
+        F.lit(seconds).cast("double").alias("duration_seconds"),
     )

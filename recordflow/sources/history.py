@@ -55,8 +55,8 @@ def history_between(runs: DataFrame, start: date | None = None, end: date | None
 
 
 def history_recent(runs: DataFrame) -> DataFrame:
-    """Newest first, display columns only."""
-    return runs.select("id", "date", "status", "duration_seconds", "log_file").orderBy(F.desc("date"))
+    """Newest first, display columns only; runs of one moment by id."""
+    return runs.select("id", "date", "status", "duration_seconds", "log_file").orderBy(F.desc("date"), "id")
 
 
 def read_run_logs(spark: SparkSession, path: str) -> DataFrame:
