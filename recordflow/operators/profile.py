@@ -14,47 +14,37 @@ def percent(part: Column, total: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double") * 100, total.cast("double")), F.lit(0.0))
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column: type, NULL counts, numeric range and mean, flag counts.
 
     One global aggregate over one scan, map-side combined, then the single
-    result row is turned into long form.
+    result row is turned into long form. Written as SQL text because a wide
+    table needs several hundred expressions.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
-    aggs: list[Column] = [F.count(F.lit(1)).alias("n")]
+    aggs, rows = ["count(1) AS n"], []
     for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
-        aggs.append(F.count(c).alias(f"c{i}"))
+        c = "`" + f.name.replace("`", "``") + "`"
+        low = high = mean = "CAST(NULL AS DOUBLE)"
+        true = false = "CAST(NULL AS BIGINT)"
+        aggs.append(f"count({c}) AS c{i}")
         if isinstance(f.dataType, NUMERIC):
-            aggs += [
-                F.min(c).cast("double").alias(f"min{i}"),
-                F.max(c).cast("double").alias(f"max{i}"),
-                F.avg(c).cast("double").alias(f"avg{i}"),
-            ]
+            low, high, mean = f"min{i}", f"max{i}", f"avg{i}"
+            aggs += [f"CAST({fn}({c}) AS DOUBLE) AS {fn}{i}" for fn in ("min", "max", "avg")]
         elif isinstance(f.dataType, T.BooleanType):
-            aggs += [F.count_if(c).alias(f"t{i}"), F.count_if(~c).alias(f"f{i}")]
-
-    no_double, no_long = F.lit(None).cast("double"), F.lit(None).cast("bigint")
-    rows = []
-    for i, f in enumerate(fields):
-        numeric, flag = isinstance(f.dataType, NUMERIC), isinstance(f.dataType, T.BooleanType)
-        non_null = F.col(f"c{i}")
+            true, false = f"t{i}", f"f{i}"
+            aggs += [f"count_if({c}) AS {true}", f"count_if(NOT {c}) AS {false}"]
         rows.append(
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(f.name).alias("column"),
-                F.lit(f.dataType.simpleString()).alias("dtype"),
-                non_null.alias("non_null"),
-                (F.col("n") - non_null).alias("nulls"),
-                percent(F.col("n") - non_null, F.col("n")).alias("pct_null"),
-                (F.col(f"min{i}") if numeric else no_double).alias("min"),
-                (F.col(f"max{i}") if numeric else no_double).alias("max"),
-                (F.col(f"avg{i}") if numeric else no_double).alias("mean"),
-                (F.col(f"t{i}") if flag else no_long).alias("true_count"),
-                (F.col(f"f{i}") if flag else no_long).alias("false_count"),
-            )
+            f"named_struct('position', {i}, 'column', {_text(f.name)}, 'dtype', {_text(f.dataType.simpleString())}, "
+            f"'non_null', c{i}, 'nulls', n - c{i}, "
+            f"'pct_null', coalesce(try_divide(CAST(n - c{i} AS DOUBLE) * 100, CAST(n AS DOUBLE)), 0D), "
+            f"'min', {low}, 'max', {high}, 'mean', {mean}, 'true_count', {true}, 'false_count', {false})"
         )
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    return df.agg(*[F.expr(x) for x in aggs]).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
