@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from recordflow import bindings
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
@@ -21,8 +22,8 @@ def test_contract(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(bindings.queries()))
 def test_query(spark, con, name):
-    frame = entry.queries()[name](spark, FOLDER)
+    frame = bindings.queries()[name](spark, FOLDER)
     assert frame.columns == list(dict.fromkeys(frame.columns))
-    assert difference(frame, con, entry.oracle_sql()[name]) is None
+    assert difference(frame, con, bindings.oracle_sql()[name]) is None
