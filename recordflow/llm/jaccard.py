@@ -261,7 +261,8 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 def _links(docs: DataFrame, reps: DataFrame, stages: Stages, size: int, percent: int, cell: int) -> DataFrame:
     """``(src, dst)``: spanning links between class representatives, exact."""
-    keys = class_keys(docs, size, percent).repartition("key")
+    # The filter is what the join would add to one side alone; with it both sides share one exchange.
+    keys = class_keys(docs, size, percent).where("key IS NOT NULL AND h1 IS NOT NULL").repartition("key")
     shared = keys.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low != high").select("key", "low")
     stars = keys.join(shared, "key").where("h1 != low").select(F.col("h1").alias("src"), F.col("low").alias("dst")).distinct()
     group = connected_components(stages.write(stars, "stars"), stages)
