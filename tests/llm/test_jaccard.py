@@ -1,0 +1,105 @@
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+
+from llm_common import AWKWARD, corpus, documents
+from recordflow.llm.common import Stages
+from recordflow.llm.components import connected_components
+from recordflow.llm.jaccard import band_limits, candidate_keys, jaccard_components, keep_one, tile_links
+from recordflow.llm.shingles import mix
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingles(text, size):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    if len(words) < size:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[k : k + size]) for k in range(len(words) - size + 1))
+
+
+def components(pairs, nodes):
+    parent = {n: n for n in nodes}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: root(n) for n in nodes}
+
+
+def brute(rows, size, percent):
+    sets = [(i, shingles(t, size)) for i, t in rows if i is not None]
+    pairs = [(i, j) for (i, a), (j, b) in itertools.combinations(sets, 2) if a and b and 100 * len(a & b) >= percent * len(a | b)]
+    return components(pairs, {i for i, _ in sets})
+
+
+@pytest.mark.parametrize("size, percent, cell", [(3, 90, 2_000_000), (5, 80, 2_000_000), (3, 90, 300), (1, 60, 200)])
+def test_equals_all_pairs(spark, size, percent, cell):
+    rows = corpus(size * 100 + percent) + AWKWARD
+    got = jaccard_components(documents(spark, rows).repartition(3), size, percent, cell).collect()
+    assert sorted((r.doc_id or -1, r.n_shingles) for r in got) == sorted((-1 if i is None else i, len(shingles(t, size))) for i, t in rows)
+    want = brute(rows, size, percent)
+    assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == want
+    assert all(r.component_id is None for r in got if r.doc_id is None)
+
+
+def test_empty_table(spark):
+    assert jaccard_components(documents(spark, [])).collect() == []
+
+
+def test_one_of_each_group_stays(spark):
+    rows = corpus(7) + AWKWARD
+    docs = documents(spark, rows)
+    kept = keep_one(docs, 5, 80)
+    assert kept.columns == docs.columns
+    want = brute(rows, 5, 80)
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({i for i in want if want[i] == i})
+    assert kept.where("doc_id IS NULL").count() == 1
+
+
+def test_linked_sets_share_a_key():
+    rnd = np.random.default_rng(3)
+    for percent in (50, 80, 90):
+        for _ in range(400):
+            n = int(rnd.integers(1, 300))
+            a = np.unique(mix(rnd.integers(0, 1 << 62, n).astype(np.uint64)))
+            drop, add = int(rnd.integers(0, n // 5 + 1)), int(rnd.integers(0, n // 5 + 1))
+            b = np.unique(np.concatenate((rnd.permutation(a)[drop:], mix(rnd.integers(0, 1 << 62, add).astype(np.uint64)))))
+            shared = len(np.intersect1d(a, b))
+            if len(b) and 100 * shared >= percent * (len(a) + len(b) - shared):
+                assert np.intersect1d(candidate_keys(a, percent), candidate_keys(b, percent)).size
+
+
+def test_size_bands_are_neighbours():
+    for percent in (50, 80, 90, 95):
+        limits = band_limits(percent, 5000)
+        band = lambda n: np.searchsorted(limits, n, side="right")
+        assert all(band(y) - band(-(-y * percent // 100)) <= 1 for y in range(1, 5000))
+
+
+def test_tile_of_two_cells_links_across_only():
+    a = np.arange(100, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    sets = [np.sort(x) for x in (a, a[1:], a[2:], a[3:])]
+    assert len(tile_links(sets, None, 90)) == 3
+    across = tile_links(sets, np.array([True, True, False, False]), 90)
+    assert len(across) == 3 and all((i < 2) != (j < 2) for i, j in across)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_connected_components(spark, seed):
+    rnd = random.Random(seed)
+    pairs = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(400, 460)] + [(1000, k) for k in range(500, 560)]
+    edges = spark.createDataFrame(pairs + [(None, 1), (1, None)], "src long, dst long")
+    got = connected_components(edges, Stages(spark, "test")).collect()
+    want = components(pairs, {x for p in pairs for x in p})
+    linked = {x for a, b in pairs if a != b for x in (a, b)}
+    assert {r.node: r.component for r in got} == {n: c for n, c in want.items() if n in linked}
+    assert len(got) == len(linked)
