@@ -19,6 +19,8 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import add
+from string import punctuation
 
 import ahocorasick
 import numpy as np
@@ -30,8 +32,8 @@ from pyspark.sql import functions as F
 from recordflow.llm.common import on_workers, rows_of
 
 BLANK = "▁"
-CACHED = 300_000
-PAIRS = 2_000_000
+CACHED = 200_000
+PAIRS = 500_000
 
 
 class PieceEncoder:
@@ -53,15 +55,23 @@ class PieceEncoder:
         for piece in self.id:
             # Only a piece that its own text encodes to can be a token.
             if len(piece) > 1 and self.merged(piece) == [piece]:
-                self.automaton.add_word(piece, piece)
+                self.automaton.add_word(piece, (len(piece), piece))
         self.automaton.make_automaton()
         if any(pair[1] == BLANK and pair[0] != BLANK for pair in self.beside):
             raise ValueError("the model has pieces that reach over a word's end")
-        self.words = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+        self.words = self.word_pattern()
         self.fits: dict[tuple[str, str], bool] = {}
         self.parts = _Generations(self._part)
         self.chunks = _Generations(self._chunk)
 
+    def word_pattern(self) -> re.Pattern:
+        """Cuts where the vocabulary never joins: between words, after a word before a mark, around line ends."""
+        line = "" if any("\n" in pair for pair in self.beside) else "\n"
+        other = punctuation + "0123456789"
+        marks = "".join(m for m in punctuation if all(a in other + BLANK for a, b in self.beside if b == m))
+        stop, word = re.escape(BLANK + line), re.escape(BLANK + line + other)
+        return re.compile(f"{BLANK}*[^{word}]++(?=[{stop}{re.escape(marks)}]|\\Z)|{line and '[' + line + ']|'}{BLANK}*[^{stop}]+|{BLANK}+")
+
     def merged(self, text: str) -> list[str]:
         """The encoding by its definition: join the best-scored pair, the leftmost of equals, until none is left."""
         tokens = list(text)
@@ -74,36 +84,35 @@ class PieceEncoder:
         return tokens
 
     def compatible(self, left: str, right: str) -> bool:
-        known = self.fits.get((left, right))
-        if known is None:
-            known = left[-1] + right[0] not in self.beside or self.merged(left + right) == [left, right]
-            if len(self.fits) >= PAIRS:
-                self.fits.clear()
-            self.fits[left, right] = known
+        known = left[-1] + right[0] not in self.beside or self.merged(left + right) == [left, right]
+        if len(self.fits) >= PAIRS:
+            self.fits.clear()
+        self.fits[left, right] = known
         return known
 
     def tokens(self, text: str) -> list[str]:
         """Tokens of a text by the prefix table."""
-        n = len(text)
-        ending: list[list[str]] = [[] for _ in range(n)]
-        for end, piece in self.automaton.iter(text):
-            ending[end].append(piece)
-        last: list[str | None] = [None] * (n + 1)
-        for end in range(1, n + 1):
-            for piece in ending[end - 1]:
-                before = last[end - len(piece)]
-                if end == len(piece) or (before is not None and self.compatible(before, piece)):
-                    last[end] = piece
-                    break
-            else:
-                last[end] = text[end - 1]  # a single character, in the vocabulary or not
-        out, end = [], n
+        last: list[str | None] = [None] * (len(text) + 1)
+        fits = self.fits
+        # Matches come by their end. A place that none has filled so far holds its single character.
+        for at, (size, piece) in self.automaton.iter(text):
+            if last[at + 1] is None:
+                start = at + 1 - size
+                if start:
+                    before = last[start] or text[start - 1]
+                    known = fits.get((before, piece))
+                    if not (self.compatible(before, piece) if known is None else known):
+                        continue
+                last[at + 1] = piece
+        out, end = [], len(text)
         while end:
-            out.append(last[end])
-            end -= len(last[end])
-        return out[::-1]
+            token = last[end] or text[end - 1]
+            out.append(token)
+            end -= len(token)
+        out.reverse()
+        return out
 
-    def _part(self, text: str) -> list[int]:
+    def _part(self, text: str) -> tuple[int, ...]:
         ids = []
         for token in self.tokens(text) if len(text) > 1 else [text]:
             known = self.id.get(token)
@@ -113,15 +122,15 @@ class PieceEncoder:
                 ids += [self.byte[b] for b in token.encode("utf-8", "surrogatepass")]
             else:
                 ids.append(self.library.unk_id())
-        return ids
+        return tuple(ids)
 
     def _chunk(self, chunk: str) -> tuple[bytes, str]:
         """Packed ids of a word with the blanks before it, and the ids as text."""
-        ids, start = [], 0
-        for k in range(1, len(chunk) + 1):
-            if k == len(chunk) or chunk[k - 1 : k + 1] not in self.beside:
-                ids += self.parts[chunk[start:k]]
-                start = k
+        ids, start, beside = [], 0, self.beside
+        for k in [k for k, pair in enumerate(map(add, chunk, chunk[1:]), 1) if pair not in beside]:
+            ids += self.parts[chunk[start:k]]
+            start = k
+        ids += self.parts[chunk[start:]]
         return struct.pack(f"<{len(ids)}i", *ids), " ".join(map(str, ids))
 
     def encode(self, text: str) -> tuple[np.ndarray, str]:
