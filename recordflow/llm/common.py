@@ -49,15 +49,12 @@ def bounded(df: DataFrame, measured_bytes: int | None) -> DataFrame:
     return F.broadcast(df) if (measured_bytes or 0) <= BROADCAST_BYTES else df
 
 
-def named(df: DataFrame, *columns: str) -> list:
-    """The columns by exact name, so that extra columns cannot clash."""
-    return [df[f"`{c}`"] for c in columns]
-
-
-def texts(column: pa.Array) -> Iterator[str]:
-    """The texts of an Arrow column one by one; null is empty."""
-    for cell in column:
-        yield cell.as_py() or ""
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def rows_of(batches: Iterable[pa.RecordBatch], schema: pa.Schema, build, size: int = 2000) -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from recordflow.llm.common import Stages, bounded, groups
+from recordflow.llm.common import Stages, bounded, groups, unused
 from recordflow.llm.components import connected_components
 from recordflow.llm.shingles import mix, set_digest, text_sets
 
@@ -228,11 +228,11 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90, cell:
     reps = stages.write(reps, "reps")
     links = stages.write(_links(docs, reps, stages, size, percent, cell), "links")
     component = connected_components(links, stages)
-    named = reps.join(component, F.col("rep") == F.col("node"), "left").select(
+    labelled = reps.join(component, F.col("rep") == F.col("node"), "left").select(
         F.col("n_shingles").alias("n"), F.col("h1").alias("a"), F.col("h2").alias("b"), F.coalesce("component", "rep").alias("component_id")
     )
     same = (F.col("n_shingles") == F.col("n")) & (F.col("h1") == F.col("a")) & (F.col("h2") == F.col("b"))
-    known = rows.where("n_shingles > 0").join(named, same, "left").select(
+    known = rows.where("n_shingles > 0").join(labelled, same, "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
     )
     alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
@@ -247,15 +247,16 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """
     stages = Stages(docs.sparkSession, "near-copies")
     found = stages.write(jaccard_components(docs, size, percent), "components")
-    gone = found.where("component_id != doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(bounded(gone, 16 * found.where("component_id != doc_id").count()), docs["doc_id"] == F.col("__gone"), "left_anti")
-    twice = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__twice"))
+    key = unused(docs, "other_doc_id")
+    gone = stages.write(found.where("component_id != doc_id").select(F.col("doc_id").alias(key)).distinct(), "gone")
+    kept = docs.join(bounded(gone, 16 * gone.count()), docs["doc_id"] == F.col(key), "left_anti")
+    twice = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(key))
     twice = stages.write(twice, "repeated")
     n = twice.count()
     if not n:
         return kept
-    once = kept.join(bounded(twice, 16 * n), kept["doc_id"] == F.col("__twice"), "left_anti")
-    again = kept.join(bounded(twice, 16 * n), kept["doc_id"] == F.col("__twice"), "left_semi")
+    once = kept.join(bounded(twice, 16 * n), kept["doc_id"] == F.col(key), "left_anti")
+    again = kept.join(bounded(twice, 16 * n), kept["doc_id"] == F.col(key), "left_semi")
     return once.unionByName(again.dropDuplicates(["doc_id"]))
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from recordflow.llm.common import Stages, bounded, on_workers, rows_of
+from recordflow.llm.common import Stages, bounded, on_workers, rows_of, unused
 
 MIN_WORDS = 8
 UNIT_WORDS = 3
@@ -119,10 +119,11 @@ def cut_spans(docs: DataFrame, spans: DataFrame, edit=without) -> DataFrame:
     """
     stages = Stages(docs.sparkSession, "cut")
     extra = [c for c in spans.columns if c not in ("doc_id", "start", "end")]
-    per_doc = spans.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("start", "end", *extra)).alias("__spans"))
+    key, cell = unused(docs, "span_doc_id"), unused(docs, "spans")
+    per_doc = spans.groupBy(F.col("doc_id").alias(key)).agg(F.collect_list(F.struct("start", "end", *extra)).alias(cell))
     per_doc = stages.write(per_doc, "spans")
-    size = per_doc.agg(F.count("*").alias("n"), F.sum(F.size("__spans")).alias("spans")).first()
-    joined = docs.join(bounded(per_doc, 48 * size["n"] + (24 + 24 * len(extra)) * (size["spans"] or 0)), docs["doc_id"] == F.col("__id"), "left").drop("__id")
+    size = per_doc.agg(F.count("*").alias("n"), F.sum(F.size(cell)).alias("spans")).first()
+    joined = docs.join(bounded(per_doc, 48 * size["n"] + (24 + 24 * len(extra)) * (size["spans"] or 0)), docs["doc_id"] == F.col(key), "left").drop(key)
     columns = docs.columns
     at_text = columns.index("text")
     at_chars = columns.index("n_chars") if "n_chars" in columns else None

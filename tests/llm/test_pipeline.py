@@ -1,0 +1,52 @@
+import inspect
+import os
+
+import pytest
+
+import corpus_pipeline
+from llm_common import AWKWARD, documents, prose
+from recordflow.llm import queries as llm
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_contract():
+    names = list(llm.queries())
+    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
+    assert set(llm.oracle_sql()) <= set(names)
+    assert len(corpus_pipeline.STAGES) == 5
+    assert all(list(inspect.signature(f).parameters) == ["spark", "docs", "sf_dir"] for _, f in corpus_pipeline.STAGES)
+
+
+def text(seed, n=12, words=12):
+    return "\n".join(" ".join(prose(seed * 100 + k, words)) + "." for k in range(n))
+
+
+def test_stages_on_planted_rows(spark):
+    base, passage = text(1), " ".join(prose(7777, 60)) + "."
+    near = base.replace(base.split()[50], "changed", 1)
+    rows = [
+        (1, base), (2, base), (3, near), (4, text(2) + "\n" + passage), (5, text(3) + "\n" + passage + "\n" + text(4, 2)),
+        (6, text(5) + "\nWrite to some.one@example.com or +1 (988) 555-2485."), (7, "too short"), (8, "menu\n" * 40), (9, text(6)), *AWKWARD[:4],
+    ]
+    docs = documents(spark, rows)
+    stages = {name: f for name, f in corpus_pipeline.STAGES}
+    kept = stages["quality rules"](spark, docs, None)
+    assert kept.schema == docs.schema and {r.doc_id for r in kept.collect()} == {1, 2, 3, 4, 5, 6, 9}
+    single = stages["n-gram Jaccard join"](spark, kept, None)
+    assert single.schema == docs.schema and {r.doc_id for r in single.collect()} == {1, 4, 5, 6, 9}
+    cut = stages["substring dedup"](spark, single, None)
+    found = {r.doc_id: r.text for r in cut.collect()}
+    assert cut.schema == docs.schema and passage in found[4] and passage not in found[5] and found[9] == rows[8][1]
+    assert text(3).split("\n")[0] in found[5] and text(4, 2).split("\n")[-1] in found[5]
+    private = stages["PII"](spark, cut, None)
+    found = {r.doc_id: r.text for r in private.collect()}
+    assert private.schema == docs.schema and "[EMAIL]" in found[6] and "[PHONE]" in found[6] and "555" not in found[6] and found[9] == rows[8][1]
+    packed = stages["packing"](spark, private, None).collect()
+    assert {r.doc_id for r in packed} == {1, 4, 5, 6, 9}
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
+def test_run(spark):
+    out = corpus_pipeline.run(spark, FOLDER)
+    assert {"doc_id", "sequence_id", "offset", "length"} <= set(out.columns) and out.count() > 0

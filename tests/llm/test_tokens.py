@@ -1,0 +1,173 @@
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from llm_common import AWKWARD, corpus, documents, prose
+from recordflow.llm.packing import Plan, exact_fill, nnls, pack_documents, pieces, shallow
+from recordflow.llm.prefix_bpe import encode_documents, encoding_digests, piece_encoder
+from recordflow.llm.word_bpe import byte_letters, ranks, word_bpe
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+ODD = [
+    "it's a DON'T 'S x", "", " ", "a<|endoftext|>b <|STARTOFTEXT|>", "ǅ İstanbul ΣΑΣ é ́x × ÷ ª µ ß ẞ", "日本語テキスト 😀!! 12a3", "\x1c\x85\xa0a b",
+    "...'s ''s 'RE", "<s></s><unk><0x0A>", "▁▁a▁", "\n\n", "a" * 200, "ab" * 100, " " * 40 + "x", "ｆｕｌｌ ﬁ", "if (x == 0) {\n\t\treturn;\n",
+]
+
+
+def fuzz(seed, alphabet, n):
+    rnd = random.Random(seed)
+    return ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 50))) for _ in range(n)]
+
+
+FUZZ = fuzz(1, "abcXYZ'st .,!?é́ßÀ×12\n\t<|>🙂Σ-_▁日本\x00\r  ", 1500) + fuzz(2, "etaoinshr ", 1000) + [" ".join(prose(k, 40)) for k in range(20)]
+
+
+# -- encoders ------------------------------------------------------------------
+
+
+def test_word_ids_equal_the_tokenizer():
+    tokenizer, own = Tokenizer.from_file(WORDS), word_bpe(WORDS)
+    for text in ODD + FUZZ:
+        assert np.frombuffer(own.pack(text), np.uint32).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_every_token_of_the_vocabulary_is_its_own_encoding():
+    import json
+
+    model = json.load(open(WORDS, encoding="utf-8"))["model"]
+    merge = {tuple(m if isinstance(m, list) else m.split(" ")): k for k, m in enumerate(model["merges"])}
+    for token in model["vocab"]:
+        if token.startswith("<|"):
+            continue
+        stem = token.removesuffix("</w>")
+        parts = [*stem[:-1], stem[-1] + token[len(stem):]]
+        while len(parts) > 1:
+            best, k = min((merge.get(pair, 1 << 30), k) for k, pair in enumerate(zip(parts, parts[1:])))
+            assert best < 1 << 30, token
+            parts[k : k + 2] = ["".join(parts[k : k + 2])]
+        assert parts == [token]
+    assert len(byte_letters()) == 256 and len(set(ranks(model["vocab"]).values())) == len(ranks(model["vocab"]))
+
+
+def test_prefix_table_equals_the_library():
+    encoder = piece_encoder(PIECES)
+    for text in ODD + FUZZ:
+        ids, written = encoder.encode(text)
+        assert ids.tolist() == [*encoder.library.encode(text), encoder.library.eos_id()], text
+        assert written == " ".join(map(str, ids.tolist()))
+        joined = encoder.library.normalize(text)
+        if joined and not any("\ud800" <= c < "\ue000" for c in joined):
+            assert "".join(encoder.tokens(joined)) == joined
+
+
+def test_prefix_table_equals_merging_without_cuts():
+    encoder = piece_encoder(PIECES)
+    for text in fuzz(5, "theinganow▁", 400):
+        if text:
+            assert encoder.tokens(text) == encoder.merged(text), text
+
+
+def test_encoding_digests(spark):
+    rows = corpus(5, 6) + AWKWARD + [(970, ODD[5])]
+    library = piece_encoder(PIECES).library
+    got = encoding_digests(documents(spark, rows), PIECES).collect()
+    key = lambda r: tuple((x is not None, x) for x in r)
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = []
+    for i, t in rows:
+        ids = [*library.encode(t or ""), library.eos_id()]
+        want.append((i, len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids))))
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+    assert [r.ids for r in encode_documents(documents(spark, [(1, "")]), PIECES).collect()] == [[library.eos_id()]]
+    assert encoding_digests(documents(spark, []), PIECES).collect() == []
+
+
+# -- packing -------------------------------------------------------------------
+
+
+def test_nnls():
+    rnd = np.random.default_rng(2)
+    for _ in range(20):
+        a = rnd.integers(0, 4, (6, 10)).astype(float)
+        x = np.maximum(0, rnd.normal(size=10))
+        found = nnls(a, a @ x)
+        assert (found >= 0).all() and np.allclose(a @ found, a @ x, atol=1e-6)
+    # with an unreachable target the gradient points out of the feasible set only
+    a, b = np.eye(3), np.array([1.0, -2.0, 3.0])
+    assert np.allclose(nnls(a, b), [1, 0, 3])
+
+
+def test_patterns():
+    assert all(sum(v * m for v, m in p.items()) == 256 for p in shallow([64, 96, 128, 192], 256))
+    assert exact_fill(Counter({192: 1, 64: 2}), 256) == Counter({192: 1, 64: 1})
+    assert exact_fill(Counter({192: 5}), 256) is None
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_plan_places_every_piece_once(seed):
+    rnd = random.Random(seed)
+    window, grain = 256, 16
+    lengths = [n for n in range(1, window + 1) if n < grain or n % grain == 0]
+    chosen = rnd.sample(lengths, rnd.randint(1, len(lengths)))
+    histogram = {n: rnd.choice([1, 2, 7, 50, 300]) for n in chosen}
+    plan = Plan(histogram, window, grain)
+    filled, pieces_of = defaultdict(list), Counter()
+    for length, low, high, part, start, size, seq0, pos0, per in plan.rows:
+        for rank in range(low, high):
+            i = rank - low
+            at = pos0 + i // per * window + i % per * size
+            filled[seq0 + at // window].append((at % window, size))
+            pieces_of[length, rank] += size
+    assert pieces_of == Counter({(n, r): n for n, c in histogram.items() for r in range(c)})
+    padding = 0
+    for spans in filled.values():
+        at = 0
+        for offset, size in sorted(spans):
+            assert offset == at
+            at += size
+        assert at <= window
+        padding += 0 if at & (at - 1) == 0 else window - at
+    assert set(filled) == set(range(plan.next))
+    assert padding <= 2 * window + 0.01 * sum(n * c for n, c in histogram.items())
+
+
+def test_pieces_cover_a_document():
+    ids = np.arange(1000, dtype=np.uint32).tobytes()
+    found = list(pieces(ids, 256, 16))
+    assert sum(n for _, n, _, _ in found) == 1000 and [s for s, *_ in found] == [0, 256, 512, 768, 992]
+    start, n, crc, parts = found[3]
+    assert crc == zlib.crc32(ids[4 * start : 4 * (start + n)]) and parts[0] == zlib.crc32(ids[4 * start : 4 * (start + 128)])
+
+
+@pytest.mark.parametrize("window, grain", [(4096, 64), (64, 8)])
+def test_packing_round_trip(spark, window, grain):
+    rows = corpus(6, 15) + [r for r in AWKWARD if r[0] != 907]
+    tokenizer = Tokenizer.from_file(WORDS)
+    ids = {i: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2], np.uint32) for i, t in rows}
+    got = pack_documents(documents(spark, rows).repartition(5), WORDS, window, grain).collect()
+    per_doc, per_sequence = defaultdict(list), defaultdict(list)
+    for r in got:
+        assert r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes()) and r.doc_tokens == len(ids[r.doc_id])
+        per_doc[r.doc_id].append((r.start, r.length))
+        per_sequence[r.sequence_id].append((r.offset, r.length))
+    for i, spans in per_doc.items():
+        spans.sort()
+        assert spans[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:])) and sum(spans[-1]) == len(ids[i])
+    assert set(per_doc) == set(ids)
+    for spans in per_sequence.values():
+        spans.sort()
+        assert spans[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:])) and sum(spans[-1]) <= window
+    assert pack_documents(documents(spark, []), WORDS).collect() == []
+
+
+def test_repeated_rows_are_packed_each(spark):
+    got = pack_documents(documents(spark, [(1, "a b"), (1, "a b"), (None, "c")]), WORDS).collect()
+    assert sorted((r.doc_id or 0, r.length) for r in got) == [(0, 2), (1, 3), (1, 3)]
