@@ -150,6 +150,13 @@ def coerce_int_query(t):
     )
 
 
+@bind("coerce_int_large", "SELECT o_orderkey, o_orderkey + CAST(9007199254740993 AS BIGINT) AS number FROM orders")
+def coerce_int_large(t):
+    """Ids beyond the whole numbers of a double, written as decimals."""
+    text = F.concat((F.col("o_orderkey") + F.lit(9007199254740993)).cast("string"), F.lit(".0"))
+    return t.orders.select("o_orderkey", coerce_int(text).alias("number"))
+
+
 STAMP_TEXT = """CASE o_orderstatus WHEN 'F' THEN substr(CAST(o_orderdate AS VARCHAR(40)), 1, 10)
     WHEN 'O' THEN CAST(o_orderdate AS VARCHAR(40)) ELSE {0} END"""
 BAD_STAMPS = "CASE o_orderpriority WHEN '1-URGENT' THEN '' WHEN '2-HIGH' THEN '2021-02-30' ELSE o_orderpriority END"

@@ -55,6 +55,19 @@ def scan_csv_text(t):
     return read_csv_as_text(t.spark, path)
 
 
+@bind(
+    "scan_csv_mixed_headers",
+    """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CASE WHEN p_size <= 25 THEN p_brand END AS p_brand FROM part""",
+)
+def scan_csv_mixed_headers(t):
+    """Two exports in one folder: another column order, and one column missing in the second."""
+    path = scratch_path(t.spark, "scan-mixed")
+    small = F.col("p_size") <= 25
+    write_records_csv(t.part.where(small).select("p_partkey", "p_name", "p_brand"), f"{path}/first")
+    write_records_csv(t.part.where(~small).select("p_name", "p_partkey"), f"{path}/second")
+    return read_csv_as_text(t.spark, f"{path}/*", mixed=True)
+
+
 @bind("scan_pruned_fallback", "SELECT 'N/A' AS id_arquivo_acervo, p_name AS nome_arquivo_gravado FROM part")
 def scan_pruned_fallback(t):
     path = scratch_path(t.spark, "scan-pruned")
@@ -107,21 +120,38 @@ def part_files(t) -> str:
     return path
 
 
-@bind("latest_file", "SELECT count(DISTINCT p_brand) AS files, true AS is_newest FROM part")
+BRAND_NUMBER = "CAST(regexp_extract(p_brand, '[0-9]+') AS BIGINT)"
+
+
+def dated(files):
+    """The files with the number of their brand as day of change, so that the newest is known."""
+    number = F.regexp_extract("path", r"p_brand=Brand(?:%23|#)([0-9]+)/", 1).cast("long")
+    return files.withColumn("modificationTime", F.timestamp_seconds(number * 86400))
+
+
+def day_number(time):
+    return F.floor(F.unix_timestamp(time) / 86400).cast("long")
+
+
+@bind("latest_file", f"SELECT max({BRAND_NUMBER}) AS newest FROM part")
 def latest_file_query(t):
-    files = file_inventory(t.spark, part_files(t))
-    newest = files.agg(F.max("modificationTime")).scalar()
-    return latest_file(files).select(
-        files.agg(F.count(F.lit(1))).scalar().alias("files"), (F.col("modificationTime") == newest).alias("is_newest")
-    )
+    files = dated(file_inventory(t.spark, part_files(t)))
+    return latest_file(files).select(day_number(F.col("modificationTime")).alias("newest"))
 
 
-@bind("archive_plan", "SELECT count(DISTINCT p_brand) - 1 AS moved, count(DISTINCT p_brand) - 1 AS stamped FROM part")
+@bind(
+    "archive_plan",
+    f"""SELECT DISTINCT {BRAND_NUMBER} AS brand, true AS stamped FROM part
+        WHERE {BRAND_NUMBER} < (SELECT max({BRAND_NUMBER}) FROM part)""",
+)
 def archive_plan_query(t):
-    """All files but the newest move; Spark's file names carry no underscore, so all get a stamp."""
-    plan = archive_plan(file_inventory(t.spark, part_files(t)), "/archive/old", datetime(2000, 1, 1))
-    moved = F.col("dest").startswith("/archive/old/part-") & F.col("dest").endswith("_archived_20000101_000000.csv")
-    return plan.agg(F.count(F.lit(1)).alias("moved"), F.count_if(moved).alias("stamped"))
+    """Every file but the newest moves; Spark's file names carry no underscore, so all get a stamp."""
+    files = dated(file_inventory(t.spark, part_files(t)))
+    plan = archive_plan(files, "/archive/old", datetime(2000, 1, 1))
+    name = F.regexp_extract("path", r"([^/]*)\.csv$", 1)
+    expected = F.concat(F.lit("/archive/old/"), name, F.lit("_archived_20000101_000000.csv"))
+    moved = plan.withColumnRenamed("path", "from_path").join(files, F.col("from_path") == F.col("path"))
+    return moved.select(day_number(F.col("modificationTime")).alias("brand"), (F.col("dest") == expected).alias("stamped"))
 
 
 @bind(

@@ -13,6 +13,7 @@ from recordflow.operators.joins import left_join_rows
 from recordflow.operators.profile import distribution, profile
 from recordflow.operators.quality import quality_counts, quality_totals
 from recordflow.plans.report import report_lines
+from recordflow.session import scratch_path
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
 ASOF = datetime(2000, 1, 1)
@@ -169,7 +170,10 @@ def distribution_query(t):
 )
 def report_lines_query(t):
     """The lines of the report on documents; reading order is fixed by ``in_print_order``."""
-    rows = docs(t, "n_chars").withColumn("toxic", F.col("toxic") == 1)
+    # The report reads its rows several times; they are stored once, as in a structuring run.
+    path = scratch_path(t.spark, "report")
+    docs(t, "n_chars").withColumn("toxic", F.col("toxic") == 1).write.parquet(path)
+    rows = t.spark.read.parquet(path)
     totals = quality_totals(rows, F.col("quality").isNotNull(), F.col("toxic"), F.col("quality"))
     return report_lines(
         "DOCUMENTS", "documents.parquet", "structured", ASOF, len(rows.columns), totals, profile(rows),

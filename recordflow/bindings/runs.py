@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from recordflow.bindings.registry import bind
 from recordflow.session import scratch_path
-from recordflow.sources.history import append_history, history_between, history_logs, history_recent, read_history
+from recordflow.sources.history import (
+    append_history, history_between, history_logs, history_recent, read_history, read_run_logs, run_ids,
+)
 from recordflow.streaming.progress import log_progress, read_progress, run_progress_stream
 
 RUNS = """(SELECT CAST(event_id AS VARCHAR) AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS date, value AS duration_seconds,
@@ -35,6 +37,40 @@ def history_scan(t):
     return read_history(t.spark, path, lines=True)
 
 
+@bind("history_scan_array", f"SELECT * FROM {RUNS}")
+def history_scan_array(t):
+    """The form of one JSON array per file, one file per day."""
+    path, day = scratch_path(t.spark, "history-array"), F.substring("date", 1, 10)
+    cells = runs(t).withColumn("day", day).groupBy("day").agg(F.collect_list(F.struct(*runs(t).columns)).alias("all"))
+    cells.repartition("day").select("day", F.to_json("all").alias("value")).write.partitionBy("day").text(path)
+    return read_history(t.spark, f"{path}/*")
+
+
+@bind("run_ids", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS id FROM events")
+def run_ids_query(t):
+    return run_ids(t.events.select(F.col("user_id").cast("string").alias("id")))
+
+
+@bind(
+    "history_dates_tolerant",
+    f"SELECT id, date FROM {RUNS} WHERE status <> 'Error' AND CAST(date AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'",
+)
+def history_dates_tolerant(t):
+    """Runs that failed carry an unreadable date and lie in no range."""
+    broken = F.when(F.col("status") == "Error", F.lit("2024-13-45 x")).otherwise(F.col("date"))
+    return history_between(runs(t).withColumn("date", broken), date(2024, 1, 5), date(2024, 1, 12)).select("id", "date")
+
+
+@bind("run_logs", "SELECT 'conv_' || CAST(conv_id % 10 AS VARCHAR) AS log, role || ' ' || CAST(turn AS VARCHAR) AS line FROM conversations")
+def run_logs_query(t):
+    """Log files written by ten runs and read back with the run's name (the folder stands for it)."""
+    path = scratch_path(t.spark, "run-logs")
+    lines = t.conversations.select(F.concat(F.lit("conv_"), (F.col("conv_id") % 10).cast("string")).alias("log"), F.concat_ws(" ", "role", "turn").alias("value"))
+    lines.write.partitionBy("log").text(path)
+    read = read_run_logs(t.spark, f"{path}/*", name="path")
+    return read.select(F.regexp_extract("log_file", "log=(conv_[0-9]+)/", 1).alias("log"), "line")
+
+
 @bind("history_append", f"SELECT * REPLACE (CASE WHEN status = 'Error' THEN script END AS script) FROM {RUNS}")
 def history_append(t):
     """Two appends, the first without the ``script`` column, as in older entries."""
@@ -72,11 +108,11 @@ def history_log_join(t):
 
 PROGRESS = """SELECT CAST(user_id AS VARCHAR) AS run, CAST(max(CASE event_type WHEN 'signup' THEN 10 WHEN 'view' THEN 30
     WHEN 'click' THEN 60 WHEN 'purchase' THEN 80 ELSE 0 END) AS INTEGER) AS progress FROM events
-    WHERE value < 40 GROUP BY user_id"""
+    GROUP BY user_id"""
 
 
 def log_lines(t):
-    """One log line per cheap event, with the run in front."""
+    """One log line per event, with the run in front."""
     phrase = (
         F.when(F.col("event_type") == "signup", F.lit("Conectando ao Impala: porta"))
         .when(F.col("event_type") == "view", F.lit("Executando query..."))
@@ -84,7 +120,7 @@ def log_lines(t):
         .when(F.col("event_type") == "purchase", F.lit("Salvando arquivo: x.csv"))
         .otherwise(F.lit("Erro"))
     )
-    return t.events.where(F.col("value") < 40).select(
+    return t.events.select(
         F.concat(F.col("user_id").cast("string"), F.lit(" "), phrase).alias("value")
     )
 

@@ -12,7 +12,9 @@ from recordflow.functions.multivalue import SEPARATOR, split_values
 from recordflow.operators.manifest import attachment_manifest, url_params, url_params_grouped
 from recordflow.operators.outcomes import outcome_failures, outcome_summary
 from recordflow.operators.paging import number_rows, page, page_after, page_count, sort_nulls_last, top_n
-from recordflow.operators.search import lookup, search_contains, search_exact, search_exact_or_partial, search_records
+from recordflow.operators.search import (
+    LOOKUP_SIZE, SEARCH_SIZE, lookup, search_contains, search_exact, search_exact_or_partial, search_records,
+)
 from recordflow.operators.sets import distinct_join
 from recordflow.sources.tables import capped
 
@@ -31,7 +33,7 @@ def cells(t):
 
 @bind("lookup_exact_id", f"SELECT id, names FROM {CELLS} WHERE id = '77' ORDER BY id LIMIT 10")
 def lookup_exact_id(t):
-    return lookup(cells(t), "77", "id", "names")
+    return lookup(cells(t), "77", "id", "names", size=LOOKUP_SIZE)
 
 
 @bind(
@@ -39,7 +41,7 @@ def lookup_exact_id(t):
     f"SELECT id, names FROM {CELLS} WHERE regexp_matches(names, 'RED.*gear', 'i') OR regexp_matches(id, 'RED.*gear', 'i') ORDER BY id LIMIT 10",
 )
 def lookup_regex(t):
-    return lookup(cells(t), "RED.*gear", "id", "names")
+    return lookup(cells(t), "RED.*gear", "id", "names", size=LOOKUP_SIZE)
 
 
 @bind("search_exact_element", f"SELECT id, names FROM {CELLS} WHERE id = 'red widget' OR list_contains(string_split(names, '||'), 'red widget')")
@@ -62,10 +64,26 @@ def search_exact_or_partial_query(t):
     """A term with exact hits and one that only occurs inside names."""
     rows = cells(t)
     exact = search_exact_or_partial(rows, "red widget", "id", "names").select(F.lit("exact").alias("kind"), "id", "names")
-    partial = search_exact_or_partial(rows, "widge", "id", "names").select(F.lit("partial").alias("kind"), "id", "names")
+    partial = search_exact_or_partial(rows, "widge", "id", "names", size=SEARCH_SIZE).select(F.lit("partial").alias("kind"), "id", "names")
     return exact.unionAll(partial)
 
 
+@bind("search_partial_all", f"SELECT id, names FROM {CELLS} WHERE contains(names, 'widge') OR contains(id, 'widge')")
+def search_partial_all(t):
+    """Without a size every partial hit comes back."""
+    return search_exact_or_partial(cells(t), "widge", "id", "names")
+
+
+@bind("lookup_pattern_all", f"SELECT id, names FROM {CELLS} WHERE regexp_matches(names, 'RED.*gear', 'i') OR regexp_matches(id, 'RED.*gear', 'i')")
+def lookup_pattern_all(t):
+    return lookup(cells(t), "RED.*gear", "id", "names")
+
+
+@bind("lookup_numeric_id", "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderkey = 77")
+def lookup_numeric_id(t):
+    return lookup(t.orders.select("o_orderkey", "o_orderpriority"), "77", "o_orderkey", "o_orderpriority")
+
+
 @bind(
     "search_records",
     """SELECT doc_id, lang, source FROM documents

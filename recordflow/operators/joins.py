@@ -41,9 +41,31 @@ def child_sets(
 
     Joining several child tables this way costs the sum of their sizes, where
     joining first and grouping later costs the product per record.
+
+    A key that very many records share is split by AQE, which needs a plain
+    shuffle on both sides of the join: the sets get one of their own, as the
+    aggregate's would not do.
+    """
+    return _with_sets(df, on, _sets(child, key, values))
+
+
+def _sets(child: DataFrame, key: str, values: Mapping[str, Column]) -> DataFrame:
+    named = child.select(F.col(key).alias("_key"), *[c.alias(name) for name, c in values.items()])
+    sets = distinct_arrays(named, "_key", {name: F.col(name) for name in values})
+    # A new column: it hides from the planner that the sets lie by key already.
+    return sets.select(F.when(F.col("_key").isNotNull(), F.col("_key")).alias("_set_key"), *values)
+
+
+def _with_sets(df: DataFrame, on: str, *pieces: DataFrame) -> DataFrame:
+    """Sets of several children meet each other first, one row per key, and the records in one join.
+
+    A second join on the same key above it would keep AQE from splitting.
     """
-    named = child.select(F.col(key).alias("_set_key"), *[c.alias(name) for name, c in values.items()])
-    sets = distinct_arrays(named, "_set_key", {name: F.col(name) for name in values})
+    sets, *others = pieces
+    for other in others:
+        other = other.withColumnRenamed("_set_key", "_other_key")
+        sets = sets.join(other, sets["_set_key"] == other["_other_key"], "full")
+        sets = sets.withColumn("_set_key", F.coalesce("_set_key", "_other_key")).drop("_other_key")
     return df.join(sets, df[on] == sets["_set_key"], "left").drop("_set_key")
 
 
@@ -69,16 +91,15 @@ def association_sets(df: DataFrame, pairs: DataFrame, on: str, first: str, secon
 
     The matched side equals the join column, so a cell is the own id or empty.
     """
-    one = child_sets(df, pairs, on, first, {first: F.col(first)})
-    return child_sets(one, pairs, on, second, {second: F.col(second)})
+    return _with_sets(df, on, *(_sets(pairs, side, {side: F.col(side)}) for side in (first, second)))
 
 
 def association_partners(
     df: DataFrame, pairs: DataFrame, on: str, first: str, second: str, names: tuple[str, str]
 ) -> DataFrame:
     """Both directions of a self-association, emitting the ids on the other side."""
-    as_first = child_sets(df, pairs, on, first, {names[0]: F.col(second)})
-    return child_sets(as_first, pairs, on, second, {names[1]: F.col(first)})
+    as_first, as_second = _sets(pairs, first, {names[0]: F.col(second)}), _sets(pairs, second, {names[1]: F.col(first)})
+    return _with_sets(df, on, as_first, as_second)
 
 
 def link_pairs(df: DataFrame, record_key: str, link: str, unique: bool = False) -> DataFrame:

@@ -50,10 +50,9 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 def distribution(df: DataFrame, column: str) -> DataFrame:
     """Value counts without NULL, with the share of **all** rows.
 
-    The total is a scalar sub-query; over stored data that second scan reads
-    row counts only, no column.
+    One pass: the total is the sum of all groups, NULL included; the sub-query
+    reuses the grouped rows' exchange and reads nothing again.
     """
-    value = F.col(column)
-    total = df.agg(F.count(F.lit(1))).scalar()
-    counts = df.where(value.isNotNull()).groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select("value", "n", percent(F.col("n"), total).alias("pct"))
+    counts = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.where(F.col("value").isNotNull()).select("value", "n", percent(F.col("n"), total).alias("pct"))

@@ -5,33 +5,41 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from recordflow.functions.multivalue import SEPARATOR, has_member
 from recordflow.functions.text import search_key
 
-# How many hits the console shows.
+# How many hits a console shows; callers that want them pass them.
 LOOKUP_SIZE = 10
 SEARCH_SIZE = 2000
 
 
+def _first(df: DataFrame, order: Sequence[str], size: int | None) -> DataFrame:
+    return df.orderBy(*order) if size is None else df.orderBy(*order).limit(size)
+
+
 def lookup(
     df: DataFrame, term: str, id_column: str, name_column: str, order: Sequence[str] | None = None,
-    size: int = LOOKUP_SIZE,
+    size: int | None = None,
 ) -> DataFrame:
-    """First hits for a term: digits are an exact id, else a pattern on id or name.
+    """Hits for a term, in order: digits are an exact id, else a pattern on id or name.
 
     The pattern is a case-insensitive regular expression; NULL never matches.
+    ``size`` keeps the first hits only. A number in its plain form is compared
+    with a numeric id column as a number, so the filter reaches the scan.
     """
     ident = F.col(id_column).cast("string")
     if term.isdigit():
-        hit = ident == term
+        kind = df.schema[id_column].dataType
+        typed = isinstance(kind, T.IntegralType) and str(int(term)) == term and int(term) < 1 << 31
+        hit = F.col(id_column) == F.lit(int(term)).cast(kind) if typed else ident == term
     else:
         pattern = F.lit("(?i)" + term)
         hit = F.coalesce(F.regexp_like(ident, pattern), F.lit(False)) | F.coalesce(
             F.regexp_like(F.col(name_column), pattern), F.lit(False)
         )
-    return df.where(hit).orderBy(*(order or [id_column])).limit(size)
+    return _first(df.where(hit), order or [id_column], size)
 
 
 def _exact(term: str, id_column: str, name_column: str, separator: str) -> Column:
@@ -60,22 +68,22 @@ def search_exact_or_partial(
     id_column: str,
     name_column: str,
     order: Sequence[str] | None = None,
-    size: int = SEARCH_SIZE,
+    size: int | None = None,
     separator: str = SEPARATOR,
 ) -> DataFrame:
-    """All exact hits if there are any, else the first ``size`` partial hits.
+    """All exact hits if there are any, else the partial hits, or the first ``size`` of them.
 
     Whether an exact hit exists is an uncorrelated ``EXISTS`` that stops at the
     first one; the plan has no global window and no join. A blank term lists
-    the first ``size`` rows. Exact hits are never cut.
+    all rows, or the first ``size``. Exact hits are never cut.
     """
     order = order or [id_column]
     term = term.strip().lower()
     if not term:
-        return df.orderBy(*order).limit(size)
+        return _first(df, order, size)
     exact = df.where(_exact(term, id_column, name_column, separator))
     partial = df.where(~exact.exists() & _contains(term, id_column, name_column))
-    return exact.unionAll(partial.orderBy(*order).limit(size))
+    return exact.unionAll(partial if size is None else _first(partial, order, size))
 
 
 def search_records(

@@ -10,9 +10,6 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-
 def build_session(app_name: str = "recordflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings this package is written for.
 
@@ -38,18 +35,24 @@ def build_session(app_name: str = "recordflow", master: str | None = None, **con
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local master, where driver and executors share one disk, may fall
-    back to a temporary folder; a cluster without the setting is an error.
+    A cluster without the setting is an error. A local master, where driver and
+    executors share one disk, gets a folder set for the session if it has none.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="recordflow-")
-    return _LOCAL_FOLDERS[application]
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="recordflow-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a scratch path below the shared folder, once its owner's result has been written."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not str(hadoop.toString()).startswith(shared_folder(spark).rstrip("/")):
+        raise ValueError(f"{path} is not below the shared folder")
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

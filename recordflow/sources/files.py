@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def file_inventory(spark: SparkSession, folder: str, pattern: str = "*.csv", exclude: str = "old") -> DataFrame:
-    """``path, modificationTime, length`` without reading any content."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    folder_of = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
-    return files.where(~folder_of.contains(exclude)).select("path", "modificationTime", "length")
+    """``path, modificationTime, length`` without reading any content.
+
+    Files below a folder named ``exclude``, itself below ``folder``, are left
+    out; other names that hold the word are not.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
+    below = F.regexp_replace("path", f"^([a-zA-Z]+:/*)?/?{re.escape(_bare(folder))}/*", "")
+    parts = F.split(F.regexp_extract(below, "^(.*)/[^/]*$", 1), "/")
+    return files.where(~F.array_contains(parts, exclude)).select("path", "modificationTime", "length")
+
+
+def _bare(folder: str) -> str:
+    """A path without scheme and outer slashes."""
+    return re.sub("^[a-zA-Z]+:/*", "", folder).strip("/")
 
 
 def latest_file(files: DataFrame) -> DataFrame:

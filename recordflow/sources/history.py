@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from recordflow.functions.coerce import coerce_timestamp
 from recordflow.operators.joins import left_join_rows
 
 HISTORY_SCHEMA = T.StructType(
@@ -45,8 +46,11 @@ def append_history(runs: DataFrame, path: str) -> None:
 
 
 def history_between(runs: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
-    """Runs whose day lies in the inclusive range; an open end is unbounded."""
-    day = F.to_date(F.col("date").cast("timestamp"))
+    """Runs whose day lies in the inclusive range; an open end is unbounded.
+
+    A date that cannot be read lies in no range, and in the unbounded one only.
+    """
+    day = F.to_date(coerce_timestamp(F.col("date")))
     if start is not None:
         runs = runs.where(day >= F.lit(start))
     if end is not None:
@@ -59,9 +63,14 @@ def history_recent(runs: DataFrame) -> DataFrame:
     return runs.select("id", "date", "status", "duration_seconds", "log_file").orderBy(F.desc("date"), "id")
 
 
-def read_run_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Log lines with the name of the file they come from."""
-    return spark.read.text(path).select(F.col("_metadata.file_name").alias("log_file"), F.col("value").alias("line"))
+def run_ids(runs: DataFrame) -> DataFrame:
+    """The distinct run ids, as a selector lists them."""
+    return runs.select("id").distinct()
+
+
+def read_run_logs(spark: SparkSession, path: str, name: str = "name") -> DataFrame:
+    """Log lines with the ``name`` (or ``path``) of the file they come from."""
+    return spark.read.text(path).select(F.col(f"_metadata.file_{name}").alias("log_file"), F.col("value").alias("line"))
 
 
 def history_logs(runs: DataFrame, logs: DataFrame) -> DataFrame:

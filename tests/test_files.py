@@ -52,7 +52,7 @@ def test_round_trip(spark, tmp_path):
     sinks.write_records_csv(rows, path)
     text = "\n".join(r.value for r in spark.read.text(path).collect())
     assert '1;True;2021-01-02;" a;""b""\t\nc";5' in text and "2;;;;" in text and "3;False;;;0" in text
-    back = sorted((tuple(r) for r in delimited.read_records_csv(spark, path, SCHEMA).collect()), key=lambda r: r[0])
+    back = sorted((tuple(r) for r in delimited.read_records_csv(spark, path, SCHEMA, multiline=True).collect()), key=lambda r: r[0])
     assert back == [
         (1, True, dt.datetime(2021, 1, 2), ' a;"b"\t\nc', 5), (2, None, None, None, None), (3, False, None, None, 0),
     ]
@@ -90,6 +90,38 @@ def test_inventory(spark, tmp_path):
         files.latest_path(spark, str(tmp_path), "*.json", required=True)
 
 
+def test_only_folders_named_old_are_left_out(spark, tmp_path):
+    for name in ("threshold/in/a.csv", "threshold/in/old/b.csv", "threshold/in/older/c.csv"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("x")
+    for folder in (str(tmp_path / "threshold/in"), "file://" + str(tmp_path / "threshold/in") + "/"):
+        found = files.file_inventory(spark, folder)
+        assert sorted(r.path.rsplit("/", 1)[1] for r in found.collect()) == ["a.csv", "c.csv"]
+
+
+def test_mixed_headers_are_read_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\ufeffid;kind\n1;x\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text('kind;"id"\ny;2\n', encoding="utf-8")
+    (tmp_path / "c.csv").write_text("id\n3\n", encoding="utf-8")
+    rows = delimited.read_csv_as_text(spark, str(tmp_path), mixed=True)
+    assert sorted((r.id, r.kind or "") for r in rows.collect()) == [("1", "x"), ("2", "y"), ("3", "")]
+    typed = delimited.read_records_csv(spark, str(tmp_path), "id long, more long", mixed=True)
+    assert sorted(r.id for r in typed.collect()) == [1, 2, 3] and typed.schema["more"].dataType.simpleString() == "bigint"
+    with pytest.raises(Exception, match="(?i)header"):  # never shifted columns
+        delimited.read_csv_as_text(spark, str(tmp_path)).collect()
+
+
+def test_one_large_file_is_split(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("id;text\n" + "".join(f"{k};{'x' * 90}\n" for k in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        rows = delimited.read_csv_as_text(spark, str(tmp_path / "in.csv"))
+        assert rows.select(F.spark_partition_id()).distinct().count() > 3 and rows.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 HISTORY = """[
  {"id": "r1", "date": "2026-01-13T15:09:47.465286", "duration_seconds": 31.2, "status": "Success", "log_file": "r1.log"},
  {"id": "r2", "date": "2026-01-15T13:01:52", "duration_seconds": 42.2, "status": "Error", "log_file": "r2.log", "script": "s.py"}
@@ -104,6 +136,10 @@ def test_history(spark, tmp_path):
     assert [r.id for r in history.history_recent(runs).collect()] == ["r2", "r1"]
     assert [r.id for r in history.history_between(runs, dt.date(2026, 1, 13), dt.date(2026, 1, 14)).collect()] == ["r1"]
     assert history.history_between(runs).count() == 2
+    bad = runs.withColumn("date", F.when(F.col("id") == "r1", F.lit("2026-13-99")).otherwise(F.col("date")))
+    assert [r.id for r in history.history_between(bad, dt.date(2026, 1, 1), dt.date(2026, 2, 1)).collect()] == ["r2"]
+    assert history.history_between(bad).count() == 2
+    assert sorted(r.id for r in history.run_ids(runs.unionAll(runs)).collect()) == ["r1", "r2"]
     (tmp_path / "bad.json").write_text("{ not json")
     assert history.read_history(spark, str(tmp_path / "bad.json")).count() == 0
     assert history.read_history(spark, str(tmp_path / "absent.json")).count() == 0

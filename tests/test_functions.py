@@ -40,8 +40,8 @@ def test_control_characters(values):
 
 
 def test_coerce_int(values):
-    seen = ["3.0", "3.5", " 7 ", "x", "1d", "", None, "-4", "9007199254740993", "1e2", "1_000", "9" * 30]
-    assert values(coerce.coerce_int, *seen) == [3, None, 7, None, None, None, None, -4, 9007199254740993, 100, None, None]
+    seen = ["3.0", "3.5", " 7 ", "x", "1d", "", None, "-4", "9007199254740993", "1e2", "1_000", "9" * 30, "9007199254740993.0"]
+    assert values(coerce.coerce_int, *seen) == [3, None, 7, None, None, None, None, -4, 9007199254740993, 100, None, None, 9007199254740993]
     assert values(coerce.is_fractional, *seen)[:3] == [False, True, False]
 
 

@@ -123,6 +123,23 @@ def test_lookup(cells):
     assert ids(search.lookup(cells, "a", "id", "names", size=2)) == ["1", "12"]
 
 
+def test_all_hits_without_a_size(spark):
+    many = spark.range(5000).select(F.col("id").cast("string").alias("id"), F.lit("alphabet").alias("names"))
+    assert search.search_exact_or_partial(many, "alph", "id", "names").count() == 5000
+    assert search.search_exact_or_partial(many, " ", "id", "names").count() == 5000
+    assert search.lookup(many, "alph", "id", "names").count() == 5000
+
+
+def test_numeric_id_reaches_the_scan(spark, tmp_path):
+    spark.range(100).select("id", F.lit("x").alias("names")).write.parquet(str(tmp_path / "n"))
+    rows = spark.read.parquet(str(tmp_path / "n"))
+    hit = search.lookup(rows, "77", "id", "names")
+    assert [r.id for r in hit.collect()] == [77]
+    assert "EqualTo(id,77)" in hit._jdf.queryExecution().executedPlan().toString()
+    assert search.lookup(rows, "077", "id", "names").count() == 0
+    assert search.lookup(rows, "9" * 30, "id", "names").count() == 0
+
+
 def test_search(cells):
     assert ids(search.search_exact(cells, "ALPHA ", "id", "names")) == ["1", "12"]
     assert ids(search.search_exact(cells, "beta", "id", "names")) == ["1", "4"]
@@ -173,11 +190,12 @@ def test_numbering_and_pages(spark):
     assert tuple(paging.page_count(rows, 120).first()) == (500, 5)
 
 
-def test_deep_page_equals_shallow(spark, monkeypatch):
-    rows = spark.range(300).select(F.col("id"))
-    shallow = [r.id for r in paging.page(rows, 40, 3, "id").collect()]
-    monkeypatch.setattr(paging, "SHALLOW_ROWS", 10)
-    assert sorted(r.id for r in paging.page(rows, 40, 3, "id").collect()) == shallow
+def test_page_stays_lazy_and_equals_numbered_rows(spark):
+    rows = spark.range(30_000).select((F.col("id") * 7919 % 30_011).alias("id"))
+    deep = paging.page(rows, 40, 500, "id")
+    assert "parquet" not in deep._jdf.queryExecution().executedPlan().toString().lower()
+    numbered = paging.number_rows(rows, "id").where("row_no BETWEEN 19961 AND 20000").orderBy("id")
+    assert [r.id for r in deep.collect()] == [r.id for r in numbered.collect()]
 
 
 def test_keyset_pages_cover_everything(spark):

@@ -243,6 +243,24 @@ def test_hot_link_is_split(spark, eager_skew_splitting):
     assert wide.where("d_id = 0 and authors = '0||1000||2000' and l_name = 'n0'").count() == 13334 + 13
 
 
+def test_hot_left_key_of_set_joins_is_split(spark, eager_skew_splitting):
+    from recordflow.operators import joins
+
+    i = F.col("id")
+    records = spark.range(0, 40000, 1, 8).select(F.when(i % 10 > 0, F.lit(0)).otherwise(i % 1000).alias("k"), F.rand(1).alias("x"))
+    child = spark.range(3000).select((i % 1000).alias("k"), i.alias("v"))
+    target = spark.range(3000).select(i.alias("v"), i.cast("string").alias("name"))
+    pairs = child.select(F.col("k").alias("a"), F.col("v").alias("b"))
+    for frame in (
+        joins.child_sets(records, child, "k", "k", {"vs": F.col("v")}),
+        joins.bridge_sets(records, child, target, "k", "k", "v", {"names": F.col("name")}),
+        joins.association_sets(records, pairs, "k", "a", "b"),
+        joins.association_partners(records, pairs, "k", "a", "b", ("one", "two")),
+    ):
+        assert "skew=true" in executed_plan(frame)
+        assert frame.count() == 40000
+
+
 def test_hot_key_of_expanded_rows_is_split(spark, eager_skew_splitting):
     flat = flat_extract(hot_tables(spark), small_spec(), expand="f")
     assert "skew=true" in executed_plan(flat)
