@@ -90,12 +90,12 @@ def vectors(spark, rows):
 
 
 @pytest.mark.parametrize("n, dim", [(700, 16), (60, 3), (15, 4)])
-def test_nearest_equals_brute_force(spark, n, dim, monkeypatch):
+def test_nearest_equals_brute_force(spark, n, dim):
     rnd = np.random.default_rng(n)
     rows = [(k, rnd.normal(size=dim).astype(np.float32).tolist()) for k in range(n)]
     rows[5] = (5, rows[4][1])  # a tie
     rows += [(n, None), (n + 1, []), (n + 2, [0.0] * dim), (n + 3, [float("nan")] * dim), (n + 4, [None] + [1.0] * (dim - 1)), (None, rows[0][1])]
-    rows += [rows[7], (20 * n, [1e30] * dim), (20 * n + 1, [float("inf")] * dim), (3 * n, [1.0, 2.0])]
+    rows += [rows[7], (20 * n, [float(np.float32(1e30))] * dim), (20 * n + 1, [float("inf")] * dim), (3 * n, [1.0, 2.0])]
     got = nearest(vectors(spark, rows).repartition(3), k=20).collect()
     assert {tuple(r) for r in got} == brute_nearest(rows, 20, 20)
     assert len(got) == len(brute_nearest(rows, 20, 20))
