@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from recordflow.bindings.archive_sql import archive_sql, member_sql
 from recordflow.bindings.archive_tables import ARCHIVE_CTES, archive_tables
 from recordflow.bindings.registry import bind
 from recordflow.bindings.wide_sql import wide_sql
@@ -16,7 +17,8 @@ from recordflow.operators.sets import distinct_join, distinct_members
 from recordflow.plans.archive import archive_spec, extract_archive, flat_spec
 from recordflow.plans.structuring import structure_extract
 from recordflow.plans.wide import (
-    Bridge, Children, Descriptor, Lookup, WideSpec, const, denormalize, flag, flat_extract, members, merge, raw, text,
+    Bridge, Children, Descriptor, Lookup, WideSpec, const, denormalize, flag, flat_extract, member_rows, members, merge, raw,
+    text,
 )
 
 def line_sets():
@@ -285,12 +287,30 @@ def extract_flat(t):
 ARCHIVE_URL = "https://files.example.org/archive/"
 
 
-@bind("extract_archive", ARCHIVE_CTES + wide_sql(archive_spec(ARCHIVE_URL)))
+@bind("extract_archive", ARCHIVE_CTES + archive_sql(ARCHIVE_URL))
 def extract_archive_full(t):
     """All 26 joins, 72 public and 7 internal columns, on an archive derived from the tables."""
     return extract_archive(archive_tables(t), ARCHIVE_URL, unique_key=True)
 
 
+@bind("extract_archive_members", ARCHIVE_CTES + member_sql(ARCHIVE_URL))
+def extract_archive_members(t):
+    """The multi-valued fields of the archive as rows."""
+    return member_rows(archive_tables(t), archive_spec(ARCHIVE_URL, unique_key=True))
+
+
+@bind("extract_archive_ids", ARCHIVE_CTES + wide_sql(archive_spec(url_source="tx.id_arquivo_anexo", file_names=False)))
+def extract_archive_ids(t):
+    """An earlier form: attachments by id, no file names."""
+    return denormalize(archive_tables(t), archive_spec(url_source="tx.id_arquivo_anexo", file_names=False, unique_key=True))
+
+
+@bind("extract_archive_protocols", ARCHIVE_CTES + archive_sql(ARCHIVE_URL, protocol_rows=True))
+def extract_archive_protocols(t):
+    """An earlier form: one row per record and protocol, flags in any spelling."""
+    return denormalize(archive_tables(t), archive_spec(ARCHIVE_URL, ignore_case=True, protocol_rows=True, unique_key=True))
+
+
 @bind("extract_archive_flat", ARCHIVE_CTES + wide_sql(flat_spec(), flat="tx"))
 def extract_archive_flat(t):
     """The flat archive rows, attachments expanded, other sets as text."""

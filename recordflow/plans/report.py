@@ -96,7 +96,7 @@ def report_lines(
 
     The head hangs on the single totals row, further fixed text on a constant
     row; distributions and column details stay distributed rows. So each of
-    the given frames is computed once.
+    the given frames is computed once per section it gives; give it stored rows.
     """
     constant = totals.sparkSession.range(1)
 

@@ -99,7 +99,7 @@ def test_earlier_forms_equal_their_plain_form(spark, options):
 
 def test_extract_is_ordered_by_number(spark):
     made = random_tables(4, rows=15, key_range=13)
-    ids = [int(r[0]) for r in extract_archive(frames(spark, made), URL).select("id_arquivo_acervo").where("id_arquivo_acervo is not null and id_arquivo_acervo <> ''").collect()]
+    ids = [int(r[0]) for r in extract_archive(frames(spark, made), URL, ordered=True).select("id_arquivo_acervo").where("id_arquivo_acervo is not null and id_arquivo_acervo <> ''").collect()]
     assert ids == sorted(ids)
 
 
