@@ -257,6 +257,6 @@ def sanitise(docs: DataFrame, remove: float = REMOVE, **settings) -> DataFrame:
         "doc_id", "s.start", "s.end", F.when(F.col("s.share") >= remove, "").otherwise("[TERM]").alias("put")
     )
     # Repeated rows share their spans.
-    return cut_spans(docs, base.unionByName(terms).distinct(), sanitised)
+    return cut_spans(docs, base.unionByName(terms).distinct(), sanitised, few=True)
 
 

@@ -77,15 +77,14 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, unit_words: int
     empty texts have no units; other columns are ignored.
 
     The first document per digest is pre-aggregated before the shuffle. The
-    join back is a plain join on the digest, so a very common unit is split by
-    the adaptive planner, or a broadcast of the repeated digests if their
-    measured size allows it.
+    join back is a plain join on the digest, the same at every size, so a very
+    common unit is split by the adaptive planner.
     """
     stages = Stages(docs.sparkSession, "substring")
     found = text_units(docs, unit_words)
     first = found.groupBy("d1", "d2").agg(F.min(F.coalesce("doc_id", F.lit(_LAST))).alias("kept_doc_id"), F.count("*").alias("n"))
     first = stages.write(first.where("n > 1").drop("n"), "repeated")
-    again = found.where("doc_id IS NOT NULL").join(bounded(first, 56 * first.count()), ["d1", "d2"])
+    again = found.where("doc_id IS NOT NULL").join(first, ["d1", "d2"])
     again = again.where("doc_id != kept_doc_id OR NOT opens")
     # Repeated rows give a unit twice: number the units of a document by distinct places.
     order = W.partitionBy("doc_id").orderBy("unit", "start")
@@ -112,18 +111,22 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(out)
 
 
-def cut_spans(docs: DataFrame, spans: DataFrame, edit=without) -> DataFrame:
+def cut_spans(docs: DataFrame, spans: DataFrame, edit=without, few: bool = False) -> DataFrame:
     """``docs`` with ``edit(text, spans)`` as text where ``spans(doc_id, start, end, ...)`` has any; ``n_chars`` follows.
 
-    Spans of one document come together (bounded by its length), never those of several.
+    Spans of one document come together (bounded by its length), never those of
+    several. ``few`` says that a small share of the documents has any: then they
+    are broadcast if their measured size allows it, and no text is shuffled.
     """
     stages = Stages(docs.sparkSession, "cut")
     extra = [c for c in spans.columns if c not in ("doc_id", "start", "end")]
     key, cell = unused(docs, "span_doc_id"), unused(docs, "spans")
     per_doc = spans.groupBy(F.col("doc_id").alias(key)).agg(F.collect_list(F.struct("start", "end", *extra)).alias(cell))
     per_doc = stages.write(per_doc, "spans")
-    size = per_doc.agg(F.count("*").alias("n"), F.sum(F.size(cell)).alias("spans")).first()
-    joined = docs.join(bounded(per_doc, 48 * size["n"] + (24 + 24 * len(extra)) * (size["spans"] or 0)), docs["doc_id"] == F.col(key), "left").drop(key)
+    if few:
+        size = per_doc.agg(F.count("*").alias("n"), F.sum(F.size(cell)).alias("spans")).first()
+        per_doc = bounded(per_doc, 48 * size["n"] + (24 + 24 * len(extra)) * (size["spans"] or 0))
+    joined = docs.join(per_doc, docs["doc_id"] == F.col(key), "left").drop(key)
     columns = docs.columns
     at_text = columns.index("text")
     at_chars = columns.index("n_chars") if "n_chars" in columns else None
