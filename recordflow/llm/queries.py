@@ -16,6 +16,7 @@ from recordflow.llm.packing import pack_documents
 from recordflow.llm.pii import personal_spans, span_report
 from recordflow.llm.prefix_bpe import encoding_digests
 from recordflow.llm.quality import line_quality
+from recordflow.llm.reference_sql import JACCARD, NEAREST, URLS
 from recordflow.llm.substring import repeated_spans
 from recordflow.llm.urls import Rule, filter_urls
 
@@ -57,12 +58,12 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-@bind("op1_ngram_jaccard_join")
+@bind("op1_ngram_jaccard_join", JACCARD)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(_table(spark, folder, "documents"), size=3, percent=90)
 
 
-@bind("op2_url_filters")
+@bind("op2_url_filters", URLS)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return filter_urls(_table(spark, folder, "pages"), RULES)
 
@@ -103,7 +104,7 @@ def document_path():
     )
 
 
-@bind("op7_nearest_neighbours")
+@bind("op7_nearest_neighbours", NEAREST)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(_table(spark, folder, "embeddings"), k=20, query_every=20)
 
