@@ -226,8 +226,9 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90, cell:
     rows = stages.write(shingle_classes(docs, size), "classes")
     reps = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("rep"))
     reps = stages.write(reps, "reps")
-    links = stages.write(_links(docs, reps, stages, size, percent, cell), "links")
+    links = _links(docs, reps, stages, size, percent, cell)
     component = connected_components(links, stages)
+    stages.drop(links)
     labelled = reps.join(component, F.col("rep") == F.col("node"), "left").select(
         F.col("n_shingles").alias("n"), F.col("h1").alias("a"), F.col("h2").alias("b"), F.coalesce("component", "rep").alias("component_id")
     )
@@ -261,17 +262,20 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 
 def _links(docs: DataFrame, reps: DataFrame, stages: Stages, size: int, percent: int, cell: int) -> DataFrame:
-    """``(src, dst)``: spanning links between class representatives, exact."""
+    """``(src, dst)``: spanning links between class representatives, exact, as a staged table."""
     # The filter is what the join would add to one side alone; with it both sides share one exchange.
     keys = class_keys(docs, size, percent).where("key IS NOT NULL AND h1 IS NOT NULL").repartition("key")
     shared = keys.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low != high").select("key", "low")
     stars = keys.join(shared, "key").where("h1 != low").select(F.col("h1").alias("src"), F.col("low").alias("dst")).distinct()
-    group = connected_components(stages.write(stars, "stars"), stages)
+    stars = stages.write(stars, "stars")
+    group = connected_components(stars, stages)
+    stages.drop(stars)
     member = reps.join(group, F.col("h1") == F.col("node")).select(
         F.col("rep").alias("id"), F.col("n_shingles").alias("n"), "h1", "h2", F.col("component").alias("grp")
     )
     member = stages.write(member, "members")
     placed = stages.write(_placed(member, percent, cell), "tiles")
+    stages.drop(member)
     size_of = placed.agg(F.count("*").alias("rows"), F.sum(F.size("tiles")).alias("tiles")).first()
     near = docs.select("doc_id", "text").join(
         bounded(placed, 48 * size_of["rows"] + 40 * (size_of["tiles"] or 0)), F.col("doc_id") == F.col("id")
@@ -279,7 +283,9 @@ def _links(docs: DataFrame, reps: DataFrame, stages: Stages, size: int, percent:
     sets = _sets(near.select("id", "text", "h1", "h2", "tiles"), size)
     in_tiles = sets.select("id", "items", F.explode("tiles").alias("t")).select("id", "items", "t.*")
     tile = ["grp", "a", "b"]
-    return _tiles(in_tiles.repartition(*tile).sortWithinPartitions(*tile), percent).distinct()
+    links = stages.write(_tiles(in_tiles.repartition(*tile).sortWithinPartitions(*tile), percent).distinct(), "links")
+    stages.drop(placed)
+    return links
 
 
 def _placed(member: DataFrame, percent: int, cell: int) -> DataFrame:

@@ -45,7 +45,7 @@ def brute(rows, size, percent):
 def test_equals_all_pairs(spark, size, percent, cell):
     rows = corpus(size * 100 + percent) + AWKWARD
     got = jaccard_components(documents(spark, rows).repartition(3), size, percent, cell).collect()
-    assert sorted((r.doc_id or -1, r.n_shingles) for r in got) == sorted((-1 if i is None else i, len(shingles(t, size))) for i, t in rows)
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_shingles) for r in got) == sorted((-1 if i is None else i, len(shingles(t, size))) for i, t in rows)
     want = brute(rows, size, percent)
     assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == want
     assert all(r.component_id is None for r in got if r.doc_id is None)
