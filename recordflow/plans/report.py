@@ -109,6 +109,7 @@ def report_lines(
     def texts(lines: list[str]) -> list[Column]:
         return [F.lit(x) for x in lines]
 
+    # The wording of the report, line by line.
     head = [
         *texts(_heading(TITLE + dataset)),
         F.lit(f"Data/Hora: {processed_at:%Y-%m-%d %H:%M:%S}"),
