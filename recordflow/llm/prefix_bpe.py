@@ -7,9 +7,9 @@ a text fills a table with each prefix's last token: of the pieces that end there
 (found by an Aho-Corasick automaton), the one that is compatible with the last
 token of the prefix before it. The ids are read backwards from the table's end.
 
-Neighbouring characters that occur side by side in no piece are never joined;
-texts are cut there, and the cut parts are encoded once per Python worker
-(bounded cache), since words repeat.
+Neighbouring characters that occur side by side in no piece are never joined.
+Texts are cut at such places, between words and around marks, and each part is
+encoded once per Python worker (bounded cache), since words repeat.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
-from operator import add
 from string import punctuation
 
 import ahocorasick
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 from recordflow.llm.common import on_workers, rows_of
 
 BLANK = "▁"
-CACHED = 200_000
+CACHED = 400_000
 PAIRS = 500_000
 
 
@@ -61,8 +60,8 @@ class PieceEncoder:
             raise ValueError("the model has pieces that reach over a word's end")
         self.words = self.word_pattern()
         self.fits: dict[tuple[str, str], bool] = {}
-        self.parts = _Generations(self._part)
         self.chunks = _Generations(self._chunk)
+        self.end = (struct.pack("<i", sp.eos_id()), str(sp.eos_id()))
 
     def word_pattern(self) -> re.Pattern:
         """Cuts where the vocabulary never joins: between words, after a word before a mark, around line ends."""
@@ -112,33 +111,24 @@ class PieceEncoder:
         out.reverse()
         return out
 
-    def _part(self, text: str) -> tuple[int, ...]:
-        ids = []
-        for token in self.tokens(text) if len(text) > 1 else [text]:
-            known = self.id.get(token)
-            if known is not None:
-                ids.append(known)
+    def _chunk(self, chunk: str) -> tuple[bytes, str]:
+        """Packed ids of a chunk, and the ids as text."""
+        ids, known = [], self.id
+        for token in self.tokens(chunk):
+            number = known.get(token)
+            if number is not None:
+                ids.append(number)
             elif self.byte:
                 ids += [self.byte[b] for b in token.encode("utf-8", "surrogatepass")]
             else:
                 ids.append(self.library.unk_id())
-        return tuple(ids)
-
-    def _chunk(self, chunk: str) -> tuple[bytes, str]:
-        """Packed ids of a word with the blanks before it, and the ids as text."""
-        ids, start, beside = [], 0, self.beside
-        for k in [k for k, pair in enumerate(map(add, chunk, chunk[1:]), 1) if pair not in beside]:
-            ids += self.parts[chunk[start:k]]
-            start = k
-        ids += self.parts[chunk[start:]]
         return struct.pack(f"<{len(ids)}i", *ids), " ".join(map(str, ids))
 
     def encode(self, text: str) -> tuple[np.ndarray, str]:
         """Ids with the end id, as numbers and as text."""
-        found = [self.chunks[c] for c in self.words.findall(self.library.normalize(text))]
-        end = self.library.eos_id()
-        ids = np.frombuffer(b"".join([f[0] for f in found]) + struct.pack("<i", end), np.int32)
-        return ids, " ".join([*(f[1] for f in found), str(end)])
+        found = map(self.chunks.__getitem__, self.words.findall(self.library.normalize(text)))
+        packed, written = zip(*found, self.end)
+        return np.frombuffer(b"".join(packed), np.int32), " ".join(written)
 
 
 class _Generations(dict):
