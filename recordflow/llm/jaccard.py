@@ -13,13 +13,16 @@ The join is exact. Its steps:
    with so many empty buckets that only those might agree sends keys for them.)
 3. *Candidate groups* are the connected components of "same key", linked as stars
    to the smallest class of a key, never as pairs.
-4. *Tiles.* Sets of a group go to one tile; a group too large for a tile is cut by
-   size band and salt into cells, and every pair of neighbouring cells is a tile.
-   In a tile, parity bitmaps of the hashes are compared: each differing bit needs
-   a differing shingle, so the bit count bounds the overlap from above. Surviving
-   pairs that are not yet connected in the tile are intersected exactly. A tile
-   returns a spanning forest of its true links: linear in its sets.
-5. *Components* of those links.
+4. *Tiles.* A group goes to one tile; a group too large for a tile is cut by size
+   band and salt into cells, and every pair of neighbouring cells is a tile.
+   First only parity bitmaps of the hashes go there: each differing bit needs a
+   differing shingle, so the bit count bounds the overlap from above. A tile
+   returns a spanning forest of the pairs that survive, linear in its sets; their
+   components are finer groups, close to the true ones.
+5. *Exact tiles.* Only now whole sets go to the tiles of the finer groups. Pairs
+   that survive the bitmaps and are not yet connected in the tile are
+   intersected; a tile returns a spanning forest of its true links.
+6. *Components* of those links.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
@@ -39,6 +42,9 @@ from recordflow.llm.shingles import mix, set_digest, text_sets
 
 #: Shingles of one cell of a tile; a tile holds at most two cells (32 MB of hashes).
 CELL_SHINGLES = 2_000_000
+#: The least weight of a row, so that a cell holds some thousand rows at most.
+ROW_WEIGHT = 512
+_TILE = ["grp", "a", "b"]
 _EMPTY = np.uint64(0xD6E8FEB86659FD93)
 _P, _Q = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
@@ -107,9 +113,13 @@ def bitmap(items: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
+def own_bitmap(items: np.ndarray) -> np.ndarray:
+    return bitmap(items, width(len(items)))
+
+
 def width(size: int) -> int:
-    """Bits for sets of a size: at least four a shingle, 2 KB at most."""
-    return min(1 << 14, max(256, 1 << int(4 * size - 1).bit_length()))
+    """Bits for sets of a size: at least two a shingle, 2 KB at most."""
+    return min(1 << 14, max(256, 1 << int(2 * size - 1).bit_length()))
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -121,22 +131,27 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a))
 
 
-def tile_links(sets: list[np.ndarray], left: np.ndarray, percent: int) -> list[tuple[int, int]]:
+def tile_links(sets: list[np.ndarray], left: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the true links among ``sets`` (indices).
 
     ``left`` splits the tile: None links within all sets, else only pairs of a
     left and a right set are looked at.
     """
-    sizes = np.array([len(s) for s in sets])
+    return spanning_links([len(s) for s in sets], [own_bitmap(s) for s in sets], sets, left, percent)
+
+
+def spanning_links(sizes, bitmaps: list[np.ndarray], sets: list[np.ndarray] | None, left: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that the bitmaps let through, or, with ``sets``, of the true links."""
+    sizes = np.array(sizes)
     order = np.argsort(sizes, kind="stable")
     sizes = sizes[order]
     side = None if left is None else left[order]
     widths = np.array([width(int(n)) for n in sizes])
-    maps = {w: np.stack([bitmap(sets[k], int(w)) for k in order[widths == w]]) for w in np.unique(widths)}
+    maps = {w: np.stack([bitmaps[k] for k in order[widths == w]]) for w in np.unique(widths)}
     first = {w: int(np.argmax(widths == w)) for w in maps}
-    label = np.arange(len(sets))
+    label = np.arange(len(sizes))
     found = []
-    for i in range(len(sets) - 1):
+    for i in range(len(sizes) - 1):
         stop = int(np.searchsorted(sizes, sizes[i] * 100 // percent, side="right"))
         own = maps[widths[i]][i - first[widths[i]]]
         for w, block in maps.items():
@@ -161,10 +176,12 @@ def tile_links(sets: list[np.ndarray], left: np.ndarray, percent: int) -> list[t
                 j = int(near[k])
                 if label[j] == label[i]:
                     continue
-                shared = overlap(sets[order[i]], sets[order[j]])
-                if 100 * shared >= percent * (int(sizes[i]) + int(sizes[j]) - shared):
-                    label[label == label[j]] = label[i]
-                    found.append((int(order[i]), int(order[j])))
+                if sets is not None:
+                    shared = overlap(sets[order[i]], sets[order[j]])
+                    if 100 * shared < percent * (int(sizes[i]) + int(sizes[j]) - shared):
+                        continue
+                label[label == label[j]] = label[i]
+                found.append((int(order[i]), int(order[j])))
     return found
 
 
@@ -172,16 +189,16 @@ def tile_links(sets: list[np.ndarray], left: np.ndarray, percent: int) -> list[t
 
 
 def shingle_classes(docs: DataFrame, size: int) -> DataFrame:
-    """``(doc_id, n_shingles, h1, h2)`` of every row; equal (n, h1, h2) means equal shingle sets."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())])
+    """``(doc_id, n_shingles, h1, h2, bits)`` of every row; equal (n, h1, h2) means equal shingle sets."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("bits", pa.binary())])
 
     def digest(batches):
         for batch in batches:
-            rows = [(len(s), *set_digest(s)) for _, s in text_sets(batch.column(1), size)]
+            rows = [(len(s), *set_digest(s), own_bitmap(s).tobytes() if len(s) else b"") for _, s in text_sets(batch.column(1), size)]
             if rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in zip(*rows))], schema=schema)
+                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t.type) for c, t in zip(zip(*rows), list(schema)[1:]))], schema=schema)
 
-    return _two(docs).mapInArrow(digest, "doc_id long, n_shingles long, h1 long, h2 long")
+    return _two(docs).mapInArrow(digest, "doc_id long, n_shingles long, h1 long, h2 long, bits binary")
 
 
 def class_keys(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -226,7 +243,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90, cell:
     rows = stages.write(shingle_classes(docs, size), "classes")
     reps = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("rep"))
     reps = stages.write(reps, "reps")
-    links = _links(docs, reps, stages, size, percent, cell)
+    links = _links(docs, rows, reps, stages, size, percent, cell)
     component = connected_components(links, stages)
     stages.drop(links)
     labelled = reps.join(component, F.col("rep") == F.col("node"), "left").select(
@@ -261,7 +278,7 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     return once.unionByName(again.dropDuplicates(["doc_id"]))
 
 
-def _links(docs: DataFrame, reps: DataFrame, stages: Stages, size: int, percent: int, cell: int) -> DataFrame:
+def _links(docs: DataFrame, rows: DataFrame, reps: DataFrame, stages: Stages, size: int, percent: int, cell: int) -> DataFrame:
     """``(src, dst)``: spanning links between class representatives, exact, as a staged table."""
     # The filter is what the join would add to one side alone; with it both sides share one exchange.
     keys = class_keys(docs, size, percent).where("key IS NOT NULL AND h1 IS NOT NULL").repartition("key")
@@ -274,31 +291,41 @@ def _links(docs: DataFrame, reps: DataFrame, stages: Stages, size: int, percent:
         F.col("rep").alias("id"), F.col("n_shingles").alias("n"), "h1", "h2", F.col("component").alias("grp")
     )
     member = stages.write(member, "members")
-    placed = stages.write(_placed(member, percent, cell), "tiles")
-    stages.drop(member)
+    # A bitmap is an eighth of its set at most (beside the smallest).
+    rough = _placed(member, percent, cell, F.greatest(F.col("n") / 8, F.lit(ROW_WEIGHT)))
+    bitmaps = rows.where("n_shingles > 0").select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "h1", "h2", "bits")
+    rough = rough.join(bitmaps, ["id", "h1", "h2"]).select("id", "n", "bits", F.explode("tiles").alias("t"))
+    alike = stages.write(_tiles(_by_tile(rough.select("id", "n", "bits", "t.*")), percent).distinct(), "alike")
+    finer = connected_components(alike, stages)
+    stages.drop(alike)
+    member = member.drop("grp").join(finer, F.col("id") == F.col("node")).withColumnRenamed("component", "grp").drop("node")
+    placed = stages.write(_placed(member, percent, cell, F.greatest("n", F.lit(ROW_WEIGHT))), "tiles")
     size_of = placed.agg(F.count("*").alias("rows"), F.sum(F.size("tiles")).alias("tiles")).first()
     near = docs.select("doc_id", "text").join(
         bounded(placed, 48 * size_of["rows"] + 40 * (size_of["tiles"] or 0)), F.col("doc_id") == F.col("id")
     )
     sets = _sets(near.select("id", "text", "h1", "h2", "tiles"), size)
     in_tiles = sets.select("id", "items", F.explode("tiles").alias("t")).select("id", "items", "t.*")
-    tile = ["grp", "a", "b"]
-    links = stages.write(_tiles(in_tiles.repartition(*tile).sortWithinPartitions(*tile), percent).distinct(), "links")
+    links = stages.write(_tiles(_by_tile(in_tiles), percent).distinct(), "links")
     stages.drop(placed)
     return links
 
 
-def _placed(member: DataFrame, percent: int, cell: int) -> DataFrame:
-    """Members with the tiles they go to: ``tiles`` of (grp, a, b, own cell)."""
+def _by_tile(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*_TILE).sortWithinPartitions(*_TILE)
+
+
+def _placed(member: DataFrame, percent: int, cell: int, weight: Column) -> DataFrame:
+    """Members with the tiles they go to: ``tiles`` of (grp, a, b, own cell); a cell weighs ``cell`` at most, about."""
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent) * 1.0001))
-    weighed = member.withColumn("band", band)
-    whole = weighed.groupBy("grp").agg(F.sum(F.col("n") + 64).alias("weight"), F.count("*").alias("members")).where("members > 1")
+    weighed = member.select("id", "h1", "h2", "grp", band.alias("band"), weight.cast("long").alias("w"))
+    whole = weighed.groupBy("grp").agg(F.sum("w").alias("weight"), F.count("*").alias("members")).where("members > 1")
     weighed = weighed.join(whole, "grp")
     small = weighed.where(F.col("weight") <= cell).select(
         "id", "h1", "h2", F.array(F.struct("grp", F.lit(-1).cast("long").alias("a"), F.lit(-1).cast("long").alias("b"), F.lit(-1).cast("long").alias("own"))).alias("tiles")
     )
     large = weighed.where(F.col("weight") > cell)
-    cells = large.groupBy("grp", "band").agg(F.ceil(F.sum(F.col("n") + 64) / F.lit(cell)).alias("cells"))
+    cells = large.groupBy("grp", "band").agg(F.ceil(F.sum("w") / F.lit(cell)).alias("cells"))
     # A cell is named by band and salt; salts stay below 2^32.
     partners = cells.select("grp", F.col("band").alias("pband"), F.col("cells").alias("pcells"), F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("o")).select(
         "grp", (F.col("pband") + F.col("o")).alias("band"), "pband", "pcells"
@@ -343,14 +370,16 @@ def _taken(batch: pa.RecordBatch, rows: list[int], items: list[bytes]) -> pa.Rec
 
 
 def _tiles(sets: DataFrame, percent: int) -> DataFrame:
+    """Spanning links of every tile: of true links for rows with ``items``, of what bitmaps let through for rows with ``bits``."""
     schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
 
     def compare(batches):
         for (_, a, b), tile in groups(batches, ["grp", "a", "b"]):
             ids = tile.column("id").to_pylist()
-            items = [np.frombuffer(x.as_buffer(), np.uint64) for chunk in tile.column("items").chunks for x in chunk]
+            whole = "items" in tile.column_names
+            items = [np.frombuffer(x.as_buffer(), np.uint64) for chunk in tile.column("items" if whole else "bits").chunks for x in chunk]
             left = None if a == b else np.array(tile.column("own").to_pylist()) == a
-            links = tile_links(items, left, percent)
+            links = tile_links(items, left, percent) if whole else spanning_links(tile.column("n").to_pylist(), items, None, left, percent)
             if links:
                 yield _columns(schema, *(np.array([ids[pair[k]] for pair in links], np.int64) for k in (0, 1)))
 
