@@ -1,11 +1,12 @@
 """Personal data: spans found by form, and terms that disclose them found by corpus co-occurrence.
 
-Emails, addresses, cards and phone numbers are protected entities. A term beside
-an entity discloses it when the corpus shows that the term tells which entity it
-is: with document counts n over N documents, pointwise mutual information
-``log(n_te N / (n_t n_e))`` against the entity's information ``log(N / n_e)``.
-Terms that reach ``generalise`` of it become a placeholder, those that reach
-``remove`` of it are removed. A pair needs ``min_docs`` documents to count as an
+Emails, addresses, cards and phone numbers are protected entities. A term of a
+document that holds an entity discloses it when the corpus shows that the term
+tells which entity it is: with document counts n over N documents, pointwise
+mutual information ``log(n_te N / (n_t n_e))`` against the entity's information
+``log(N / n_e)``. Terms that reach ``generalise`` of it become a placeholder,
+those that reach ``remove`` of it are removed, wherever they stand in a document
+that holds the entity. A pair needs ``min_docs`` documents to count as an
 estimate. Counts cover all words of all documents.
 """
 
@@ -25,7 +26,6 @@ from recordflow.llm.shingles import word_hashes
 from recordflow.llm.substring import cut_spans
 
 KINDS = ("email", "ip", "card", "phone", "term")
-WINDOW = 8
 MIN_DOCS = 3
 GENERALISE = 0.8
 REMOVE = 0.95
@@ -81,10 +81,14 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
+def entity_of(text: str, kind: str, start: int, end: int) -> str:
+    return f"{kind}:{re.sub(r'[ ().-]', '', text[start:end]).lower()}"
+
+
 def context(text: str, spans: list[tuple[str, int, int]], window: int) -> Iterator[tuple[str, str, int, int]]:
     """``(entity, term, start, end)``: the words within ``window`` words of a span on its line."""
     for kind, start, end in spans:
-        entity = f"{kind}:{re.sub(r'[ ().-]', '', text[start:end]).lower()}"
+        entity = entity_of(text, kind, start, end)
         line = text.rfind("\n", 0, start) + 1
         before = _nearby(text, line, start, window, last=True)
         stop = text.find("\n", end)
@@ -108,19 +112,45 @@ def _nearby(text: str, begin: int, end: int, window: int, last: bool) -> list[tu
         reach *= 4
 
 
+def _in_word(char: str) -> bool:
+    return char >= "\x80" or char.isalnum()
+
+
+def outside(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
+    """The pieces of ``text`` between spans, less the words that a span cuts."""
+    at = 0
+    for _, start, end in spans:
+        if _in_word(text[start]):
+            while start > at and _in_word(text[start - 1]):
+                start -= 1
+        if start > at:
+            yield at, start
+        at = max(at, end)
+        if _in_word(text[at - 1]):
+            while at < len(text) and _in_word(text[at]):
+                at += 1
+    if at < len(text):
+        yield at, len(text)
+
+
+def distinct_words(text: str) -> set[bytes]:
+    return set(text.lower().encode("utf-8", "surrogatepass").translate(_PUNCTUATION).split())
+
+
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-_NEAR = pa.struct([("e", pa.int64()), ("t", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
-_FOUND = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("spans", pa.list_(_SPAN)), ("near", pa.list_(_NEAR))])
+_FOUND = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("spans", pa.list_(_SPAN)), ("entities", pa.list_(pa.int64())), ("text", pa.string())])
 _SPANS_SQL = "array<struct<kind:string,start:bigint,end:bigint>>"
-_FOUND_SQL = f"row long, doc_id long, spans {_SPANS_SQL}, near array<struct<e:bigint,t:bigint,start:bigint,end:bigint>>"
+_FOUND_SQL = f"row long, doc_id long, spans {_SPANS_SQL}, entities array<long>, text string"
+_MARK = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("share", pa.float64())])
+_MARKS_SQL = "array<struct<start:bigint,end:bigint,share:double>>"
 
 
 def _hashed(items: list[str]) -> list[int]:
     return word_hashes([x.encode("utf-8", "surrogatepass") for x in items]).view(np.int64).tolist()
 
 
-def found_by_form(docs: DataFrame, window: int) -> DataFrame:
-    """One row per document: base spans, and hashed (entity, term) places around them."""
+def found_by_form(docs: DataFrame) -> DataFrame:
+    """One row per document: base spans, hashed entities, and the text where it has any."""
 
     def build(batches):
         # Unique within a written table: the task's number and a counter.
@@ -132,18 +162,59 @@ def found_by_form(docs: DataFrame, window: int) -> DataFrame:
             for doc_id, cell in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = cell.as_py() or ""
                 spans = base_spans(text)
-                near = list(context(text, spans, window))
-                e, t = _hashed([x[0] for x in near]), _hashed([x[1] for x in near])
+                entities = _hashed(sorted({entity_of(text, *s) for s in spans}))
                 count += 1
-                yield number + count, doc_id, [{"kind": k, "start": a, "end": b} for k, a, b in spans], [
-                    {"e": e[i], "t": t[i], "start": x[2], "end": x[3]} for i, x in enumerate(near)
-                ]
+                yield number + count, doc_id, [{"kind": k, "start": a, "end": b} for k, a, b in spans], entities, text if spans else None
 
         yield from rows_of(batches, _FOUND, rows)
 
     return docs.mapInArrow(build, _FOUND_SQL)
 
 
+def _by_text(texts: DataFrame, schema: pa.Schema, sql: str, rows_for) -> DataFrame:
+    """The rows of ``rows_for(row, text, spans, marks)`` for each row of ``texts(row, text, spans[, marks])``."""
+
+    def build(batch):
+        marks = batch.column(3) if batch.num_columns > 3 else [None] * batch.num_rows
+        for row, cell, spans, found in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), marks):
+            yield from rows_for(row, cell.as_py(), [(s["kind"], s["start"], s["end"]) for s in spans.as_py()], found and found.as_py())
+
+    return texts.mapInArrow(lambda batches: rows_of(batches, schema, build, 20_000), sql)
+
+
+def words_of(texts: DataFrame) -> DataFrame:
+    """``(row, t)``: the distinct words of each text outside its spans."""
+
+    def rows(row, text, spans, _):
+        found = distinct_words(" ".join(text[a:b] for a, b in outside(text, spans)))
+        yield from ((row, t) for t in word_hashes(list(found)).view(np.int64).tolist())
+
+    return _by_text(texts, pa.schema([("row", pa.int64()), ("t", pa.int64())]), "row long, t long", rows)
+
+
+def words_near(texts: DataFrame, window: int) -> DataFrame:
+    """``(row, e, t)``: the distinct words near each entity of a text."""
+
+    def rows(row, text, spans, _):
+        pairs = sorted({(e, t) for e, t, *_ in context(text, spans, window)})
+        yield from zip([row] * len(pairs), _hashed([e for e, _ in pairs]), _hashed([t for _, t in pairs]))
+
+    return _by_text(texts, pa.schema([("row", pa.int64()), ("e", pa.int64()), ("t", pa.int64())]), "row long, e long, t long", rows)
+
+
+def marked_words(texts: DataFrame) -> DataFrame:
+    """``(row, terms)``: every place outside spans of the words that ``marks`` lists."""
+
+    def rows(row, text, spans, marks):
+        share = {m["t"]: m["share"] for m in marks}
+        words = [(m.start(), m.end(), m.group().lower()) for a, b in outside(text, spans) for m in _TERM.finditer(text, a, b)]
+        known = list({w for *_, w in words})
+        hashes = dict(zip(known, _hashed(known)))
+        yield row, [{"start": a, "end": b, "share": share[hashes[w]]} for a, b, w in words if hashes[w] in share]
+
+    return _by_text(texts, pa.schema([("row", pa.int64()), ("terms", pa.list_(_MARK))]), f"row long, terms {_MARKS_SQL}", rows)
+
+
 def term_documents(docs: DataFrame) -> DataFrame:
     """``(t, n)``: documents that hold a word, summed within each block before the shuffle."""
     schema = pa.schema([("t", pa.int64()), ("n", pa.int64())])
@@ -153,7 +224,7 @@ def term_documents(docs: DataFrame) -> DataFrame:
         for batch in batches:
             pool, lengths = [], []
             for cell in batch.column(0):
-                found = set((cell.as_py() or "").lower().encode("utf-8", "surrogatepass").translate(_PUNCTUATION).split())
+                found = distinct_words(cell.as_py() or "")
                 pool.extend(found)
                 lengths.append(len(found))
                 if len(pool) > 500_000:
@@ -177,43 +248,62 @@ def _counted(held: list[np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(n.astype(np.int64))], schema=schema)
 
 
-def disclosing_pairs(found: DataFrame, docs: DataFrame, stages: Stages, min_docs: int, generalise: float) -> DataFrame:
-    """``(e, t, share)``: terms that tell an entity, with the share of its information that they give."""
-    near = found.select("row", F.explode("near").alias("x")).select("row", "x.e", "x.t").distinct()
-    pairs = near.groupBy("e", "t").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= min_docs)
-    pairs = stages.write(pairs, "pairs")
-    entities = near.select("row", "e").distinct().groupBy("e").agg(F.count("*").alias("n_e"))
-    wanted = pairs.select("t").distinct()
-    terms = term_documents(docs).join(bounded(wanted, 16 * pairs.count()), "t", "left_semi").withColumnRenamed("n", "n_t")
-    counted = pairs.join(entities, "e").join(terms, "t")
+def disclosing_terms(found: DataFrame, docs: DataFrame, stages: Stages, window: int | None, min_docs: int, generalise: float) -> DataFrame | None:
+    """``(row, terms)``: all places of words that tell an entity of their document, with the share of its information that they give."""
     n_all = F.lit(float(max(found.count(), 1)))
+    places = found.select("row", F.explode("entities").alias("e"))
+    entities = places.groupBy("e").agg(F.count("*").alias("n_e")).where((F.col("n_e") >= min_docs) & (F.col("n_e") < n_all))
+    # As n_te <= n_e, no term in more documents than this can reach the share.
+    most = n_all * F.pow(F.col("n_e") / n_all, F.lit(generalise)) * 1.000001
+    entities = stages.write(entities.withColumn("most", most), "entities")
+    size = entities.agg(F.count("*").alias("n"), F.max("most").alias("most")).first()
+    if not size["n"]:
+        return None
+    held = stages.write(places.join(bounded(entities, 48 * size["n"]), "e"), "held")
+    rows = bounded(held.select("row").distinct(), 16 * held.count())
+    texts = found.join(rows, "row", "left_semi").select("row", "text", "spans")
+    terms = term_documents(docs).withColumnRenamed("n", "n_t").where((F.col("n_t") >= min_docs) & (F.col("n_t") <= size["most"]))
+    terms = stages.write(terms, "terms")
+    terms = bounded(terms, 32 * terms.count())
+    # A word meets the entities of its own document only: the join is by document, which spreads a hot entity.
+    together = words_of(texts).join(terms, "t").join(held, "row").where("n_t <= most")
+    near = together if window is None else words_near(texts, window).join(terms, "t").join(held, ["row", "e"]).where("n_t <= most")
+    counted = near.groupBy("e", "t", "n_e", "n_t").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= min_docs)
     gain = F.log(F.col("n_te") * n_all / (F.col("n_t").cast("double") * F.col("n_e")))
     own = F.log(n_all / F.col("n_e"))
-    return counted.where(own > 0).select("e", "t", (gain / own).alias("share")).where(F.col("share") >= generalise)
+    pairs = stages.write(counted.select("e", "t", (gain / own).alias("share")).where(F.col("share") >= generalise), "disclosing")
+    # A term that tells two entities of a document is judged by the stronger disclosure.
+    marks = together.select("row", "e", "t").join(bounded(pairs, 48 * pairs.count()), ["e", "t"]).groupBy("row", "t").agg(F.max("share").alias("share"))
+    marks = marks.groupBy("row").agg(F.collect_list(F.struct("t", "share")).alias("marks"))
+    return marked_words(texts.join(marks, "row"))
+
+
+def _judged(docs: DataFrame, window: int | None = None, min_docs: int = MIN_DOCS, generalise: float = GENERALISE) -> DataFrame:
+    """``(doc_id, spans, terms, text)`` per row; the text only where it has spans."""
+    stages = Stages(docs.sparkSession, "pii")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = stages.write(found_by_form(rows), "found")
+    terms = disclosing_terms(found, rows, stages, window, min_docs, generalise)
+    none = F.array().cast(_MARKS_SQL)
+    if terms is None:
+        return found.select("doc_id", "spans", none.alias("terms"), "text")
+    return found.join(terms, "row", "left").select("doc_id", "spans", F.coalesce("terms", none).alias("terms"), "text")
 
 
 def personal_spans(
-    docs: DataFrame, window: int = WINDOW, min_docs: int = MIN_DOCS, generalise: float = GENERALISE
+    docs: DataFrame, window: int | None = None, min_docs: int = MIN_DOCS, generalise: float = GENERALISE
 ) -> DataFrame:
     """``(doc_id, spans, terms)`` for every row of ``docs(doc_id, text, ...)``.
 
     ``spans``: kind, start, end of what the forms find, by start and kind, in
-    code points. ``terms``: start, end, share of disclosing terms that lie near
-    such a span. Null and empty texts have neither; a null doc_id stays null;
-    repeated rows are answered one by one and count as documents of their own;
-    other columns are ignored.
+    code points. ``terms``: start, end, share of every disclosing term in the
+    rows that hold its entity. Terms are judged by all words of a document;
+    with ``window``, by those within so many words of the entity on its line.
+    Null and empty texts have neither; a null doc_id stays null; repeated rows
+    are answered one by one and count as documents of their own; other columns
+    are ignored.
     """
-    stages = Stages(docs.sparkSession, "pii")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = stages.write(found_by_form(rows, window), "found")
-    pairs = stages.write(disclosing_pairs(found, rows, stages, min_docs, generalise), "disclosing")
-    near = found.where(F.size("near") > 0).select("row", F.explode("near").alias("x")).select("row", "x.*")
-    terms = near.join(bounded(pairs, 48 * pairs.count()), ["e", "t"])
-    # A term near two entities is one span, judged by the stronger disclosure.
-    terms = terms.groupBy("row", "start", "end").agg(F.max("share").alias("share"))
-    terms = terms.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "share"))).alias("terms"))
-    none = F.array().cast("array<struct<start:bigint,end:bigint,share:double>>")
-    return found.drop("near").join(terms, "row", "left").select("doc_id", "spans", F.coalesce("terms", none).alias("terms"))
+    return _judged(docs, window, min_docs, generalise).drop("text")
 
 
 def span_report(spans: DataFrame) -> DataFrame:

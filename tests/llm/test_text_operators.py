@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from llm_common import AWKWARD, corpus, documents, prose
-from recordflow.llm.pii import base_spans, personal_spans, sanitise, sanitised, span_report
+from recordflow.llm.pii import base_spans, outside, personal_spans, sanitise, sanitised, span_report
 from recordflow.llm.quality import failing_rule, keep_clean, line_quality, repeated_words, split_lines
 from recordflow.llm.shingles import word_hashes
 from recordflow.llm.substring import cut_spans, repeated_spans, units, without
@@ -198,6 +198,33 @@ def test_disclosing_terms(spark):
     assert sanitised("abcdef", [(1, 3, "X"), (2, 4, "Y")]) == "aXef"
 
 
+def test_terms_disclose_from_anywhere_in_the_document(spark):
+    between = " ".join(prose(3, 30))
+    rows = [(k, f"Notes on Falcon\n\n{between} n{k}\nx@y.zz\n{between}\nsigned, falcon {k}") for k in range(4)]
+    # The term tells the entity here too; it stays in a document without the entity.
+    rows += [(10, f"falcon {between} {between}\n+1 (988) 555-2485 x@y.zz éx@y.zz falconry"), (11, f"a falcon of another text {between}")]
+    rows += [(100 + k, f"{between} {between} " + " ".join(prose(50 + k, 10))) for k in range(40)]
+    text = dict(rows)
+    spans = {r.doc_id: r.terms for r in personal_spans(documents(spark, rows)).collect()}
+    places = lambda k: [m.span() for m in re.finditer(r"(?i)\bfalcon\b", text[k])]
+    for k in (0, 1, 2, 3, 10):
+        assert set(places(k)) <= {(s.start, s.end) for s in spans[k]}
+    assert not spans[11] and not spans[100]
+    clean = {r.doc_id: r.text for r in sanitise(documents(spark, rows)).collect()}
+    assert all("falcon" not in clean[k].lower().split() for k in (0, 1, 2, 3, 10)) and clean[11] == text[11]
+
+
+def test_pieces_outside_spans():
+    rnd = random.Random(6)
+    for _ in range(3000):
+        text = "".join(rnd.choice("ab1.@-_ +2é\n") for _ in range(rnd.randint(0, 40)))
+        spans = base_spans(text)
+        words = [m.span() for m in re.finditer(r"[0-9A-Za-z\x80-\U0010FFFF]+", text)]
+        want = [(a, b) for a, b in words if not any(x < b and a < y for _, x, y in spans)]
+        pieces = list(outside(text, spans))
+        assert [(a + m.start(), a + m.end()) for a, b in pieces for m in re.finditer(r"[0-9A-Za-z\x80-\U0010FFFF]+", text[a:b])] == want
+
+
 def test_pmi_matches_brute_force(spark):
     rnd, rows = random.Random(8), []
     for k in range(60):
