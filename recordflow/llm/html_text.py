@@ -47,8 +47,9 @@ IMPLIED = {
     "thead": (TABLE_PARTS | _words("tr td th caption"), _words("table")),
     "tbody": (TABLE_PARTS | _words("tr td th caption"), _words("table")),
     "tfoot": (TABLE_PARTS | _words("tr td th caption"), _words("table")),
-    "body": (_words("head"), frozenset()),
 }
+#: What a head holds; any other start tag, or text, ends it.
+IN_HEAD = _words("base link meta title style script noscript noframes template")
 HEADINGS = _words("h1 h2 h3 h4 h5 h6")
 
 # Quoted values may hold ">"; their length is bounded so that an open quote costs little.
@@ -109,11 +110,17 @@ class TreeBuilder:
 
     def text(self, raw: str) -> None:
         if raw:
+            if self.open[-1].tag == "head" and raw.strip(" \t\n\r\f"):
+                self.open.pop()
             self.open[-1].children.append(unescape(raw) if "&" in raw else raw)
 
     def start(self, tag: str, attributes: str) -> None:
         if tag in ("html", "body") and any(n.tag == tag for n in self.open):
             return
+        if tag == "head" and any(isinstance(c, Node) or c.strip(" \t\n\r\f") for c in self.root.children):
+            return  # a page has one head, before all else
+        if self.open[-1].tag == "head" and tag not in IN_HEAD:
+            self.open.pop()
         if tag in CLOSES_P:
             self.close({"p"}, _words("table td th caption li button object"))
         if tag in HEADINGS and self.open[-1].tag in HEADINGS:
@@ -147,6 +154,8 @@ class TreeBuilder:
 
     def end(self, tag: str) -> None:
         if tag == "br":
+            if self.open[-1].tag == "head":
+                self.open.pop()
             self.open[-1].children.append(Node("br"))
             return
         inner = tag not in ("table", "body", "html")

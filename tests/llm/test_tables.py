@@ -138,6 +138,10 @@ CASES = {
     "<select><option>a<option>b</select>": "a\nb",
     "a<b": "a<b",
     "<a title='x>y'>t</a>": "t",
+    "<!DOCTYPE html><head><title>T</title><h1>Hi</h1><p>text": "Hi\n\ntext",
+    "<html><head>\n<meta charset=utf-8><link rel=x>\n<style>p{}</style>text<p>more": "text\n\nmore",
+    "<head><title>T</title></head><body>a<head>b</head>c": "abc",
+    "<head><script>no</script></br>a": "a",
 }
 
 
