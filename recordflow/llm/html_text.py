@@ -25,7 +25,7 @@ MAX_DEPTH = 120
 _words = lambda text: frozenset(text.split())
 VOID = _words("area base br col embed hr img input link meta param source track wbr")
 RAW = _words("script style textarea title noscript template iframe xmp noembed noframes")
-HIDDEN = _words("script style template head title noscript iframe noembed noframes datalist object audio video canvas svg math")
+HIDDEN = _words("script style template head title noscript iframe noembed noframes datalist object audio video canvas annotation annotation-xml")
 SPACED = _words("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr fieldset xmp listing")
 BLOCK = SPACED | _words(
     "html body div section article aside nav header footer main address li dt dd tr caption figcaption form legend details summary"
@@ -50,6 +50,17 @@ IMPLIED = {
 }
 #: What a head holds; any other start tag, or text, ends it.
 IN_HEAD = _words("base link meta title style script noscript noframes template")
+#: A start tag of a table ends what strays open inside it, up to these.
+CONTEXT = dict.fromkeys(TABLE_PARTS | _words("caption colgroup"), _words("table")) | {"tr": TABLE_PARTS | {"table"}} | dict.fromkeys(CELLS, TABLE_PARTS | _words("tr table"))
+FOREIGN = _words("svg math")
+#: HTML goes on inside these elements of a drawing or formula.
+INTEGRATION = _words("foreignobject desc title mi mo mn ms mtext annotation-xml")
+#: These start tags end a drawing or formula.
+BREAKOUT = _words(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s"
+    " small span strong strike sub sup table tt u ul var"
+)
+UNDRAWN = _words("defs desc metadata symbol clippath mask pattern marker")
 HEADINGS = _words("h1 h2 h3 h4 h5 h6")
 
 # Quoted values may hold ">"; their length is bounded so that an open quote costs little.
@@ -58,6 +69,7 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_SELF_CLOSED = re.compile(r"""(?:^|[\s"'])/$""")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 _INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
 
@@ -83,6 +95,7 @@ class TreeBuilder:
     def __init__(self):
         self.root = Node("html")
         self.open = [self.root]
+        self.foreign = False  # has a drawing or formula been seen?
 
     def build(self, html: str) -> Node:
         at = 0
@@ -121,16 +134,28 @@ class TreeBuilder:
             return  # a page has one head, before all else
         if self.open[-1].tag == "head" and tag not in IN_HEAD:
             self.open.pop()
+        if self.foreign and tag in BREAKOUT:
+            while (k := self.nearest(FOREIGN | INTEGRATION)) and self.open[k].tag in FOREIGN:
+                del self.open[k:]
+        self.foreign = self.foreign or tag in FOREIGN
         if tag in CLOSES_P:
             self.close({"p"}, _words("table td th caption li button object"))
         if tag in HEADINGS and self.open[-1].tag in HEADINGS:
             self.open.pop()
         if tag in IMPLIED:
             self.close(*IMPLIED[tag])
+        if tag in CONTEXT and (k := self.nearest(CONTEXT[tag])):
+            del self.open[k + 1 :]
         if tag in CELLS and self.open[-1].tag in TABLE_PARTS | {"table"}:
             self.push(Node("tr", depth=len(self.open)))
         node = Node(tag, attributes.rstrip("/"), len(self.open))
-        if tag in VOID:
+        empty = tag in VOID
+        if tag == "form":  # between rows or cells it holds nothing
+            empty = self.open[-1].tag in TABLE_PARTS | _words("table tr")
+        elif self.foreign and _SELF_CLOSED.search(attributes):
+            k = self.nearest(FOREIGN | {"foreignobject"})
+            empty = empty or tag in FOREIGN or bool(k) and self.open[k].tag in FOREIGN
+        if empty:
             self.open[-1].children.append(node)
         else:
             self.push(node)
@@ -141,6 +166,10 @@ class TreeBuilder:
         self.open[-1].children.append(node)
         self.open.append(node)
 
+    def nearest(self, tags) -> int:
+        """The place of the innermost open element of ``tags``, 0 if there is none."""
+        return next((k for k in range(len(self.open) - 1, 0, -1) if self.open[k].tag in tags), 0)
+
     def close(self, tags, scope) -> None:
         """End the outermost open element of ``tags`` above the nearest one of ``scope``."""
         found = None
@@ -250,6 +279,12 @@ def render(node: Node, page: Page) -> None:
     if tag == "table":
         page.whole(table_lines(node), 1)
         return
+    if tag == "svg":
+        for part in drawn(node):
+            page.put(" ")
+            inside(part, page)
+            page.put(" ")
+        return
     if tag in ("pre", "xmp", "listing"):
         text = "".join(plain(node))
         page.whole(text.removeprefix("\n").rstrip("\n").replace("\t", "    ").split("\n") if text.strip() else [], 1)
@@ -273,7 +308,11 @@ def render(node: Node, page: Page) -> None:
 
 
 def inside(node: Node, page: Page) -> None:
-    for child in node.children:
+    put_all(node.children, page)
+
+
+def put_all(children, page: Page) -> None:
+    for child in children:
         if isinstance(child, str):
             page.put(child)
         elif child.tag == "br":
@@ -315,10 +354,24 @@ def plain(node: Node) -> Iterator[str]:
             yield unescape(child) if node.tag in RAW else child
         elif child.tag == "br":
             yield "\n"
+        elif child.tag == "svg" and visible(child):
+            for part in drawn(child):
+                yield " "
+                yield from plain(part)
         elif visible(child):
             yield from plain(child)
 
 
+def drawn(node: Node) -> Iterator[Node]:
+    """The elements of a drawing whose text is shown; text elsewhere in it is not."""
+    for child in node.children:
+        if isinstance(child, Node) and child.tag not in UNDRAWN and visible(child):
+            if child.tag in ("text", "foreignobject"):
+                yield child
+            else:
+                yield from drawn(child)
+
+
 def table_rows(node: Node) -> Iterator[Node]:
     for child in node.children:
         if isinstance(child, Node) and visible(child):
@@ -328,20 +381,31 @@ def table_rows(node: Node) -> Iterator[Node]:
                 yield from table_rows(child)
 
 
+def strays(node: Node) -> Iterator[Node | str]:
+    """What stands in a table, its parts and rows outside cells, in order."""
+    for child in node.children:
+        if isinstance(child, str):
+            yield child
+        elif node.tag == "tr":
+            if child.tag not in CELLS:
+                yield child
+        elif child.tag == "tr" or child.tag in TABLE_PARTS:
+            if visible(child):
+                yield from strays(child)
+        else:
+            yield child
+
+
 def table_lines(node: Node) -> list[str]:
     """The caption, what stands in the table outside its cells, then rows with cells padded to columns."""
     page = Page()
-    for child in node.children:
-        if isinstance(child, str):
-            page.put(child)
-        elif child.tag not in TABLE_PARTS and child.tag != "tr" and visible(child):
-            render(child, page)
+    put_all(strays(node), page)
     out = page.finish()
     rows, taken = [], {}
     for row in table_rows(node):
         cells, column = [], 0
         for cell in row.children:
-            if not isinstance(cell, Node) or not visible(cell):
+            if not isinstance(cell, Node) or cell.tag not in CELLS or not visible(cell):
                 continue
             while taken.get(column, 0):  # held by a cell of a row above
                 taken[column] -= 1

@@ -142,6 +142,14 @@ CASES = {
     "<html><head>\n<meta charset=utf-8><link rel=x>\n<style>p{}</style>text<p>more": "text\n\nmore",
     "<head><title>T</title></head><body>a<head>b</head>c": "abc",
     "<head><script>no</script></br>a": "a",
+    "<table><tbody><form><tr><td>x<td>y</form><tr><td>z</table>": "x  y\nz",
+    "<table><tr>text<td>x</table>": "text\nx",
+    "<table><tbody>s<b>t</b><div>u<tr><td>x</td><i>v</i></table>w": "st\nu\nv\nx\n\nw",
+    "<table><caption>C<tr><td>a<table><tr>n<td>m</table></table>": "C\na\n\nn\nm",
+    "a<svg><title>no</title><defs/><path d='M0'/><desc>no</desc>no<g><text>b<tspan>c</tspan></text></g></svg>d": "a bc d",
+    "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math>": "x=1",
+    "<svg><path d=x><p>a": "a",
+    "<svg><foreignObject><p>a</p>b</foreignObject></svg><pre>c<svg><text>d</text></svg></pre>": "a\n\nb\n\nc d",
 }
 
 
@@ -150,6 +158,15 @@ def test_visible_text(html):
     assert visible_text(html) == CASES[html]
 
 
+def test_every_text_of_a_table_comes_out():
+    rnd = random.Random(5)
+    tags = ["<table>", "</table>", "<tbody>", "<thead>", "</tbody>", "<tr>", "</tr>", "<td>", "</td>", "<th>", "<form>", "</form>", "<div>", "</div>", "<b>", "<p>", "<li>", "<caption>", "<col>"]
+    for _ in range(1500):
+        parts = [rnd.choice(tags) if rnd.random() < 0.6 else f"w{k}w" for k in range(30)]
+        found = re.findall(r"w\d+w", visible_text("<table>" + "".join(parts)))
+        assert sorted(found) == sorted(p for p in parts if p[0] == "w"), parts
+
+
 def test_broken_pages_are_no_error(spark):
     rnd = random.Random(3)
     for _ in range(1500):
