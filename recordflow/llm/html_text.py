@@ -63,11 +63,9 @@ BREAKOUT = _words(
 UNDRAWN = _words("defs desc metadata symbol clippath mask pattern marker")
 HEADINGS = _words("h1 h2 h3 h4 h5 h6")
 
-# Quoted values may hold ">"; their length is bounded so that an open quote costs little.
-_TOKEN = re.compile(
-    r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]{0,1024}"|'[^']{0,1024}')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
-    re.DOTALL,
-)
+_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)", re.DOTALL)
+# The end of a tag, an opened quote, or a value without quotes.
+_STOP = re.compile(r"""(>)|=\s*(?:(["'])|[^\s>"'][^\s>]*)""")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SELF_CLOSED = re.compile(r"""(?:^|[\s"'])/$""")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
@@ -91,6 +89,44 @@ class Node:
         return None
 
 
+class TagEnds:
+    """Finds the ends of a page's tags, in time linear in the page: no piece is searched twice for the same thing."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.first: tuple[int, re.Match | None] = (len(html) + 1, None)  # the stop after a place
+        self.endless: set[int] = set()  # stops from which no tag ends
+        self.unclosed: set[str] = set()  # quotes of which no further one comes
+        self.closes = True  # does a ">" follow?
+
+    def after(self, at: int) -> int:
+        """The place of the ``>`` of the tag whose name ends at ``at``, outside quoted values; -1 if none follows.
+
+        Where quotes leave no end, the tag ends at the next ``>``.
+        """
+        since, stop = self.first
+        if not (since <= at and (stop is None or at <= stop.start())):
+            stop = _STOP.search(self.html, at)
+            self.first = at, stop
+        passed = []
+        while stop and stop.start() not in self.endless:
+            if stop[1]:
+                return stop.start()
+            passed.append(stop.start())
+            past = stop.end()
+            if stop[2]:
+                past = -1 if stop[2] in self.unclosed else self.html.find(stop[2], past)
+                if past < 0:
+                    self.unclosed.add(stop[2])
+                    break
+                past += 1
+            stop = _STOP.search(self.html, past)
+        self.endless.update(passed)
+        end = self.html.find(">", at) if self.closes else -1
+        self.closes = end >= 0
+        return end
+
+
 class TreeBuilder:
     def __init__(self):
         self.root = Node("html")
@@ -98,22 +134,23 @@ class TreeBuilder:
         self.foreign = False  # has a drawing or formula been seen?
 
     def build(self, html: str) -> Node:
-        at = 0
+        at, ends = 0, TagEnds(html)
         while True:
             m = _TOKEN.search(html, at)
-            if m is None:
-                self.text(html[at:])
+            close = ends.after(m.end()) if m and m[2] else 0
+            if m is None or close < 0:  # where no ">" follows, an open comment is all that can
+                comment = html.find("<!--", at)
+                self.text(html[at:comment] if comment >= 0 else html[at:])
                 return self.root
             self.text(html[at : m.start()])
-            at = m.end()
-            name = m[2] or m[5]
-            if not name:
+            at = close + 1 if m[2] else m.end()
+            if not m[2]:
                 continue
-            tag = name.lower()
-            if m[1] or m[4]:
+            tag = m[2].lower()
+            if m[1]:
                 self.end(tag)
                 continue
-            self.start(tag, m[3] or m[6] or "")
+            self.start(tag, html[m.end() : close])
             if tag in RAW:
                 close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.IGNORECASE).search(html, at)
                 inside = html[at : close.start() if close else len(html)]

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -146,6 +147,11 @@ CASES = {
     "<table><tr>text<td>x</table>": "text\nx",
     "<table><tbody>s<b>t</b><div>u<tr><td>x</td><i>v</i></table>w": "st\nu\nv\nx\n\nw",
     "<table><caption>C<tr><td>a<table><tr>n<td>m</table></table>": "C\na\n\nn\nm",
+    f"<div data-x='{'>no<p>' * 400}' hidden>no</div><p title=\"{'>' * 2000}\" style=display:none>no<p>yes": "yes",
+    "<a title=it's>don't</a> <a href=x=\"y>z</a>": "don't z",
+    "<p title='>x>y": "x>y",
+    "<p title='a' b='>x": "x",
+    "a<b <!-- no": "a<b",
     "a<svg><title>no</title><defs/><path d='M0'/><desc>no</desc>no<g><text>b<tspan>c</tspan></text></g></svg>d": "a bc d",
     "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math>": "x=1",
     "<svg><path d=x><p>a": "a",
@@ -158,6 +164,14 @@ def test_visible_text(html):
     assert visible_text(html) == CASES[html]
 
 
+def test_tag_ends_take_linear_time():
+    for piece in ("<a ", "<a b='", "<a b=\"'", "<a b=\">\" ", "<a b='x' c=\"", "<a =", "<a b='>' c=\">\"", "<a b=' \" c=\" '"):
+        for end in ("", ">", "'", "\"", "=\""):
+            start = time.perf_counter()
+            visible_text(piece * 60_000 + end)
+            assert time.perf_counter() - start < 10, (piece, end)
+
+
 def test_every_text_of_a_table_comes_out():
     rnd = random.Random(5)
     tags = ["<table>", "</table>", "<tbody>", "<thead>", "</tbody>", "<tr>", "</tr>", "<td>", "</td>", "<th>", "<form>", "</form>", "<div>", "</div>", "<b>", "<p>", "<li>", "<caption>", "<col>"]
