@@ -3,9 +3,10 @@
 Aliases are found in three ways: spellings of one address (fragment, tracking
 parameters, order of parameters, final slash), canonical links and refresh
 redirects in the pages' HTML, and, where given, a table of redirects. Addresses
-joined by such edges form components; a component that holds a blocked page
-blocks its members without a rule of their own. A page's own rule always wins,
-so an explicit allow is never overruled by an alias.
+joined by such edges form components; a component that holds a blocked address
+blocks its members without a rule of their own, whether a page of that address
+is in the table or only a link names it. A page's own rule always wins, so an
+explicit allow is never overruled by an alias.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ class Rule(NamedTuple):
 TRACKING = r"^(utm_[^=]*|ref|fbclid|gclid)(=|$)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
+_AMPERSAND = "&(?:amp|AMP|#0*38|#[xX]0*26);"
 _REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\burl\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -80,6 +82,11 @@ def own_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return F.array_max(fits)
 
 
+def _blocks(url: Column, rules: list[Rule]) -> Column:
+    """Does the rule that fits an address block it?"""
+    return ~F.coalesce(own_rule(host_of(url), path_of(url), rules)["allow"], F.lit(True))
+
+
 def filter_urls(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None = None) -> DataFrame:
     """``(page_id, host, path, rule, verdict, via)`` for every row of ``pages(page_id, url, html, ...)``.
 
@@ -97,17 +104,32 @@ def filter_urls(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None
     stages = Stages(pages.sparkSession, "urls")
     url, html = F.col("url").cast("string"), F.col("html").cast("string")
     host, path = host_of(F.col("url")), path_of(F.col("url"))
+    targets = [
+        resolved(F.regexp_replace(F.coalesce(F.regexp_extract("html", pattern, 1), F.lit("")), _AMPERSAND, "&"), F.col("url"))
+        for pattern in (_CANONICAL, _REFRESH)
+    ]
     parsed = pages.select(F.col("page_id").alias("page_id"), url.alias("url"), html.alias("html"))
-    parsed = parsed.select("page_id", host.alias("host"), path.alias("path"), address(F.col("url")).alias("address"), *(
-        address(resolved(F.coalesce(F.regexp_extract("html", pattern, 1), F.lit("")), F.col("url"))).alias(name)
-        for pattern, name in ((_CANONICAL, "canonical"), (_REFRESH, "refresh"))
-    )).withColumn("own", own_rule(F.col("host"), F.col("path"), rules))
+    parsed = parsed.withColumn("targets", F.array(*targets)).select(
+        "page_id", host.alias("host"), path.alias("path"), address(F.col("url")).alias("address"),
+        F.transform("targets", lambda t: F.struct(address(t).alias("address"), _blocks(t, rules).alias("bad"))).alias("targets"),
+    ).withColumn("own", own_rule(F.col("host"), F.col("path"), rules))
     parsed = stages.write(parsed, "pages")
-    edges = parsed.select(F.col("address").alias("src"), F.explode(F.array("canonical", "refresh")).alias("dst"))
+    links = parsed.where("address IS NOT NULL").select(F.col("address").alias("src"), F.lit(False).alias("src_bad"), F.explode("targets").alias("t"))
+    links = links.select("src", "src_bad", F.col("t.address").alias("dst"), F.col("t.bad").alias("dst_bad"))
     if redirects is not None:
-        edges = edges.unionByName(redirects.select(address(F.col("src")).alias("src"), address(F.col("dst")).alias("dst")))
-    edges = stages.write(edges.where("src IS NOT NULL AND dst IS NOT NULL AND src != dst").distinct(), "links")
-    blocked = parsed.where("address IS NOT NULL AND NOT own.allow").select("address").distinct()
+        # Names apart from the results': inside a lambda, an alias of the same select would be taken for the column.
+        src, dst = F.col("src_url"), F.col("dst_url")
+        given = redirects.select(F.col("src").cast("string").alias("src_url"), F.col("dst").cast("string").alias("dst_url"))
+        links = links.unionByName(given.select(
+            address(src).alias("src"), _blocks(src, rules).alias("src_bad"), address(dst).alias("dst"), _blocks(dst, rules).alias("dst_bad")
+        ))
+    links = links.where("src IS NOT NULL AND dst IS NOT NULL").groupBy("src", "dst").agg(F.max("src_bad").alias("src_bad"), F.max("dst_bad").alias("dst_bad"))
+    links = stages.write(links, "links")
+    # Both ends of a link are judged as they are written there; the address alone has lost final slashes.
+    blocked = parsed.where("address IS NOT NULL AND NOT own.allow").select("address")
+    blocked = blocked.unionByName(links.where("src_bad").select(F.col("src").alias("address")))
+    blocked = blocked.unionByName(links.where("dst_bad").select(F.col("dst").alias("address"))).distinct()
+    edges = links.where("src != dst").select("src", "dst")
     if not edges.isEmpty():
         member = stages.write(connected_components(edges, stages), "aliases")
         bad = member.join(blocked, F.col("node") == F.col("address"), "left_semi").select("component").distinct()

@@ -67,6 +67,21 @@ def test_blocks_reach_aliases(spark):
     assert filter_urls(pages(spark, rows[:1]), [Rule("allow", "net", "/es/"), Rule("block", "net", "/es/")]).first().verdict == "allow"
 
 
+def test_blocked_targets_without_a_page(spark):
+    link = '<link rel="canonical" href="{}">'.format
+    jump = "<meta http-equiv='refresh' content='0; url={}'>".format
+    rows = [
+        (1, "http://mirror.org/a", link("http://x.net/es/1")), (2, "http://far.org/b", jump("http://mirror.org/a/")), (3, "http://gone.org/", None),
+        (4, "http://clean.org/a", link("http://x.net/de/1")), (5, "http://q.org/a?x=1&y=2", None), (6, "http://q.org/b", link("/a?y=2&amp;x=1")),
+        (7, "http://q.org/c", jump("/a?x=1&#038;y=2")), (8, "http://self.net/es", link("/es/")), (9, "http://www.example.com/en/k", link("http://x.net/fr/2")),
+        (10, "http://old.org/x", None), (11, None, link("http://clean.org/a")),
+    ]
+    moved = spark.createDataFrame([("http://gone.org", "http://z.net/fr/9"), ("http://q.org/a?x=1&y=2", "http://z.net/es/1"), ("http://w.net/es/2", "http://old.org/x")], "src string, dst string")
+    got = {r.page_id: (r.verdict, r.via) for r in filter_urls(pages(spark, rows), RULES, moved).collect()}
+    assert [got[k] for k in (1, 2, 3, 5, 6, 7, 8, 10)] == [("block", "alias")] * 8
+    assert got[4] == got[11] == ("allow", "default") and got[9] == ("allow", "rule")
+
+
 # -- neighbours ----------------------------------------------------------------
 
 
