@@ -340,13 +340,15 @@ def sanitised(text: str, spans: list[tuple]) -> str:
 
 
 def sanitise(docs: DataFrame, remove: float = REMOVE, **settings) -> DataFrame:
-    """``docs`` with personal data replaced by its kind and disclosing terms generalised or removed; all columns stay."""
-    found = personal_spans(docs, **settings).where("doc_id IS NOT NULL")
+    """``docs`` with personal data replaced by its kind and disclosing terms generalised or removed; all columns stay.
+
+    Spans depend on a row's text alone, so they go back by the text's digest:
+    rows without a doc_id are cleaned like any other, and equal texts share their spans.
+    """
+    digest = F.sha2(F.col("text").cast("string"), 256)
+    found = _judged(docs, **settings).where(F.size("spans") > 0).select(digest.alias("doc_id"), "spans", "terms")
     base = found.select("doc_id", F.explode("spans").alias("s")).select("doc_id", "s.start", "s.end", F.concat(F.lit("["), F.upper("s.kind"), F.lit("]")).alias("put"))
     terms = found.select("doc_id", F.explode("terms").alias("s")).select(
         "doc_id", "s.start", "s.end", F.when(F.col("s.share") >= remove, "").otherwise("[TERM]").alias("put")
     )
-    # Repeated rows share their spans.
-    return cut_spans(docs, base.unionByName(terms).distinct(), sanitised, few=True)
-
-
+    return cut_spans(docs, base.unionByName(terms).distinct(), sanitised, few=True, same=digest)

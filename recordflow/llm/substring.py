@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -111,9 +111,10 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(out)
 
 
-def cut_spans(docs: DataFrame, spans: DataFrame, edit=without, few: bool = False) -> DataFrame:
+def cut_spans(docs: DataFrame, spans: DataFrame, edit=without, few: bool = False, same: Column | None = None) -> DataFrame:
     """``docs`` with ``edit(text, spans)`` as text where ``spans(doc_id, start, end, ...)`` has any; ``n_chars`` follows.
 
+    ``same`` is what of a document equals the spans' ``doc_id`` instead of its own.
     Spans of one document come together (bounded by its length), never those of
     several. ``few`` says that a small share of the documents has any: then they
     are broadcast if their measured size allows it, and no text is shuffled.
@@ -125,8 +126,8 @@ def cut_spans(docs: DataFrame, spans: DataFrame, edit=without, few: bool = False
     per_doc = stages.write(per_doc, "spans")
     if few:
         size = per_doc.agg(F.count("*").alias("n"), F.sum(F.size(cell)).alias("spans")).first()
-        per_doc = bounded(per_doc, 48 * size["n"] + (24 + 24 * len(extra)) * (size["spans"] or 0))
-    joined = docs.join(per_doc, docs["doc_id"] == F.col(key), "left").drop(key)
+        per_doc = bounded(per_doc, 128 * size["n"] + (24 + 24 * len(extra)) * (size["spans"] or 0))
+    joined = docs.join(per_doc, (docs["doc_id"] if same is None else same) == F.col(key), "left").drop(key)
     columns = docs.columns
     at_text = columns.index("text")
     at_chars = columns.index("n_chars") if "n_chars" in columns else None

@@ -214,6 +214,14 @@ def test_terms_disclose_from_anywhere_in_the_document(spark):
     assert all("falcon" not in clean[k].lower().split() for k in (0, 1, 2, 3, 10)) and clean[11] == text[11]
 
 
+def test_rows_without_a_doc_id_are_cleaned(spark):
+    rows = [(None, "write to a.b@c.de now"), (None, "call +1 (988) 555-2485"), (None, None), (None, "plain"), (3, "write to a.b@c.de now"), (3, "host 10.0.0.1")]
+    got = sanitise(documents(spark, rows)).collect()
+    want = [(None, "write to [EMAIL] now"), (None, "call [PHONE]"), (None, None), (None, "plain"), (3, "write to [EMAIL] now"), (3, "host [IP]")]
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in got))) == sorted(map(repr, want))
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got)
+
+
 def test_pieces_outside_spans():
     rnd = random.Random(6)
     for _ in range(3000):
