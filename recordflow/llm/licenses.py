@@ -1,7 +1,10 @@
 """Licence scan: TF-IDF cosine of headers and licence files to templates, then inheritance along paths.
 
-Units are the lines of a file that speak of a licence, and the whole text of a
-file named like a licence file. Each is a sparse TF-IDF vector, with document
+Units are the lines of a file that speak of a licence, SPDX tags, the words
+around a cue cut as the templates lie around theirs, and the whole text of a
+file named like a licence file. Words run across line ends and comment marks, so
+a notice inside a long line or wrapped over several is a unit of its own. An SPDX
+tag is one term with its identifier and fits no other licence. Each is a sparse TF-IDF vector, with document
 counts over all words of all files, joined term by term to the templates. A file
 takes the licence of its best unit. A file without one inherits from the nearest
 ancestor directory that holds a licence file, found by joining its directories'
@@ -11,7 +14,8 @@ paths.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +44,19 @@ TEMPLATES = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Proprietary", "All rights reserved"),
+    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("CC-BY-4.0", "SPDX-License-Identifier: CC-BY-4.0"),
+    ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0+"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("MIT", "SPDX-License-Identifier: MIT"),
+    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
 )
+#: Stands beside notices of any licence, so it yields to one that is named.
+RESERVED = "Proprietary"
 THRESHOLD = 0.6
 CUE = re.compile(r"licen[cs]e|copyright|spdx|all rights reserved|redistribut|permission is hereby", re.IGNORECASE)
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicen[cs]e|notice)([-_.][^/]*)?$"
@@ -48,8 +64,13 @@ _NAME = re.compile(LICENCE_FILE.removeprefix("(?i)"), re.IGNORECASE)
 _TERM = re.compile(r"[0-9A-Za-z\x80-\U0010FFFF]+")
 
 
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*\(*([0-9A-Za-z](?:[0-9A-Za-z.+-]*[0-9A-Za-z+])?)", re.IGNORECASE)
+
+
 def terms(text: str) -> list[bytes]:
-    return [t.encode("utf-8", "surrogatepass") for t in _TERM.findall(text.lower())]
+    """The words, and each SPDX tag as one term."""
+    tags = [f"spdx:{m[1].lower()}".encode() for m in _SPDX.finditer(text)]
+    return tags + [t.encode("utf-8", "surrogatepass") for t in _TERM.findall((_SPDX.sub(" ", text) if tags else text).lower())]
 
 
 def counted(text: str) -> list[dict]:
@@ -58,17 +79,57 @@ def counted(text: str) -> list[dict]:
     return [{"t": t, "tf": n} for t, n in zip(word_hashes(list(found)).view(np.int64).tolist(), found.values())]
 
 
-def file_units(path: str, text: str) -> Iterator[tuple[int, int, str]]:
-    """``(start, end, unit)``: the lines with a cue, and all of a licence file."""
+def cue_places(templates) -> dict[str, set[tuple[int, int]]]:
+    """For the word or else the kind of a cue: how many words of a template stand before its place, and from it on."""
+    places = defaultdict(set)
+    for _, text in templates:
+        if not _SPDX.search(text):
+            words = list(_TERM.finditer(text))
+            starts = [w.start() for w in words]
+            for cue in CUE.finditer(text):
+                k = bisect_right(starts, cue.start()) - 1
+                places[words[k].group().lower()].add((k, len(words) - k))
+                places[_kind(cue)].add((k, len(words) - k))
+    return dict(places)
+
+
+def _kind(cue: re.Match) -> str:
+    return "cue:" + cue.group()[:5].lower()
+
+
+def file_units(path: str, text: str, places: dict[str, set[tuple[int, int]]]) -> Iterator[tuple[int, int, str]]:
+    """``(start, end, unit)``: all of a licence file, lines with a cue, SPDX tags, and the words around each cue as templates have them."""
     if _NAME.match(path.rpartition("/")[2]):
         yield 0, len(text), text
+    cues = list(CUE.finditer(text))
     end = -1
-    for cue in CUE.finditer(text):
+    for cue in cues:
         if cue.start() > end:
             start = text.rfind("\n", 0, cue.start()) + 1
             end = text.find("\n", cue.end())
             end = len(text) if end < 0 else end
             yield start, end, text[start:end]
+    if not cues:
+        return
+    in_tag = -1
+    tags = {m.start(): m.end() for m in _SPDX.finditer(text)}
+    spans = [m.span() for m in _TERM.finditer(text)]
+    starts = [a for a, _ in spans]
+    seen = set()
+    for cue in cues:
+        if cue.start() in tags:
+            in_tag = tags[cue.start()]
+            yield cue.start(), in_tag, text[cue.start() : in_tag]
+        if cue.start() < in_tag:
+            continue
+        k = bisect_right(starts, cue.start()) - 1
+        a, b = spans[k]
+        for before, on in places.get(text[a:b].lower()) or places.get(_kind(cue), ()):
+            window = max(k - before, 0), min(k + on, len(spans))
+            if window not in seen:
+                seen.add(window)
+                start, stop = starts[window[0]], spans[window[1] - 1][1]
+                yield start, stop, text[start:stop]
 
 
 _UNITS = pa.schema(
@@ -76,14 +137,16 @@ _UNITS = pa.schema(
 )
 
 
-def units(files: DataFrame) -> DataFrame:
+def units(files: DataFrame, templates=TEMPLATES) -> DataFrame:
+    places = cue_places(templates)
+
     def build(batches):
         base, count = TaskContext.get().partitionId() << 40, 0
 
         def rows(batch):
             nonlocal count
             for path, cell in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for start, end, unit in file_units(path, cell.as_py() or ""):
+                for start, end, unit in file_units(path, cell.as_py() or "", places):
                     count += 1
                     yield base + count, path, start, end, counted(unit)
 
@@ -95,7 +158,7 @@ def units(files: DataFrame) -> DataFrame:
 def header_licences(files: DataFrame, stages: Stages, templates, threshold: float) -> DataFrame:
     """``(path, licence, score, start, end)``: the best unit of each file that reaches the threshold."""
     spark = files.sparkSession
-    found = stages.write(units(files), "units")
+    found = stages.write(units(files, templates), "units")
     rows = [(k, name, x["t"], x["tf"]) for k, (name, text) in enumerate(templates) for x in counted(text)]
     template = spark.createDataFrame(rows, "template int, licence string, t long, ttf long")  # bounded: the templates' words
     exploded = found.select("unit", F.explode("terms").alias("x")).select("unit", "x.t", "x.tf")
@@ -112,7 +175,7 @@ def header_licences(files: DataFrame, stages: Stages, templates, threshold: floa
     dot = weighed.join(template, "t").groupBy("unit", "template", "licence").agg((F.sum(F.col("w") * F.col("tw")) / F.first("tnorm")).alias("dot"))
     scored = dot.join(norm, "unit").select("unit", "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("score")).where(F.col("score") >= threshold)
     best = scored.join(found.select("unit", "path", "start", "end"), "unit")
-    first = F.struct(-F.col("score"), "licence", "start", "end", "score")
+    first = F.struct((F.col("licence") == RESERVED).alias("reserved"), -F.col("score"), "licence", "start", "end", "score")
     return best.groupBy("path").agg(F.min(first).alias("b")).select("path", "b.licence", "b.score", "b.start", "b.end")
 
 
@@ -124,10 +187,10 @@ def parent(path):
 def scan_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """``(path, licence, origin, score, from_path)`` for every row of ``files(path, text, ...)``.
 
-    ``origin`` is header (a line of the file), file (a licence file), inherited
+    ``origin`` is header (a notice in the file), file (a licence file), inherited
     (the nearest ancestor directory with a licence file; ``from_path`` is that
-    directory) or null. Ties go to the higher score, then to the smaller licence
-    name. A null path has no licence; rows that share a path are one file with
+    directory) or null. The best score wins, then the smaller licence name; "all
+    rights reserved" alone yields to any named licence. A null path has no licence; rows that share a path are one file with
     one answer each; null and empty texts have no units; other columns are
     ignored; an empty table gives no rows.
     """
@@ -135,7 +198,7 @@ def scan_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRE
     files = files.select(F.col("path").cast("string").alias("path"), F.col("text").cast("string").alias("text"))
     own = stages.write(header_licences(files, stages, templates, threshold), "own")
     is_file = F.regexp_extract("path", "[^/]*$", 0).rlike(LICENCE_FILE)
-    folders = own.where(is_file).groupBy(parent(F.col("path")).alias("folder")).agg(F.min(F.struct(-F.col("score"), "licence")).alias("b"))
+    folders = own.where(is_file).groupBy(parent(F.col("path")).alias("folder")).agg(F.min(F.struct((F.col("licence") == RESERVED).alias("reserved"), -F.col("score"), "licence")).alias("b"))
     folders = folders.select("folder", F.col("b.licence").alias("licence"))
     names = files.where("path IS NOT NULL").select("path")
     used = names.select(parent(F.col("path")).alias("used")).distinct()

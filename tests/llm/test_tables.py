@@ -279,6 +279,22 @@ def test_licences_equal_brute_force(spark):
     assert scan_licences(table.limit(0)).collect() == []
 
 
+def test_notices_inside_other_text(spark):
+    filler = " ".join(t.replace("\n", " ") for _, t in corpus(9, 12))
+    wrapped = TEMPLATES[8][1].split()
+    files = [
+        ("a/LICENSE", "Released under the MIT License"), ("a/min.js", f"var a=1;/*! {filler} Licensed under the Apache License, Version 2.0 {filler} */f()"),
+        ("a/tag.c", "// SPDX-License-Identifier: GPL-3.0-or-later"), ("a/one.js", f"/* {filler} SPDX-License-Identifier: (MPL-2.0 OR MIT). {filler} */"), ("a/isc.c", "# SPDX-License-Identifier: ISC"),
+        ("a/wrap.py", "\n".join("# " + " ".join(wrapped[k : k + 7]) for k in range(0, len(wrapped), 7))), ("a/prose.txt", f"{filler} and this work is licensed under CC BY 4.0, as said. {filler}"),
+        ("a/both.c", f"Copyright 2020 someone. All rights reserved. {TEMPLATES[2][1]}: {filler}"), ("a/none.c", filler),
+    ]
+    got = {r.path: (r.licence, r.origin) for r in scan_licences(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert got == {
+        "a/LICENSE": ("MIT", "file"), "a/min.js": ("Apache-2.0", "header"), "a/tag.c": ("GPL-3.0", "header"), "a/one.js": ("MPL-2.0", "header"), "a/isc.c": ("MIT", "inherited"),
+        "a/wrap.py": ("GPL-3.0", "header"), "a/prose.txt": ("CC-BY-4.0", "header"), "a/both.c": ("BSD-3-Clause", "header"), "a/none.c": ("MIT", "inherited"),
+    }
+
+
 def test_paths_of_documents(spark):
     from recordflow.llm.queries import document_path
 
