@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from recordflow.llm.html_text import page_texts
 from recordflow.llm.jaccard import jaccard_components
 from recordflow.llm.licenses import scan_licences
+from recordflow.llm.merkle import lowered_third, manifest, manifest_report
 from recordflow.llm.neighbours import nearest
 from recordflow.llm.packing import pack_documents
 from recordflow.llm.pii import personal_spans, span_report
 from recordflow.llm.prefix_bpe import encoding_digests
 from recordflow.llm.quality import line_quality
-from recordflow.llm.reference_sql import JACCARD, NEAREST, URLS
+from recordflow.llm.reference_sql import CONTAMINATION, JACCARD, MANIFEST, NEAREST, RESAMPLING, URLS
+from recordflow.llm.resampling import resample
 from recordflow.llm.substring import repeated_spans
 from recordflow.llm.urls import Rule, filter_urls
+from recordflow.llm.winnowing import contamination, contamination_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -122,3 +125,18 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @bind("op10_html_extraction")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return page_texts(_table(spark, folder, "pages"))
+
+
+@bind("op11_importance_resampling", RESAMPLING)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark")).drop("n_words")
+
+
+@bind("op12_decontamination", CONTAMINATION)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination_report(contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark")))
+
+
+@bind("op13_merkle_manifest", MANIFEST)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest_report(manifest(_table(spark, folder, "documents"), lowered_third))

@@ -81,3 +81,108 @@ SELECT page_id, host, path, rule,
             WHEN address IN (SELECT address FROM bad) THEN 'block' ELSE 'allow' END AS verdict,
        CASE WHEN rule IS NOT NULL THEN 'rule' WHEN address IN (SELECT address FROM bad) THEN 'alias' ELSE 'default' END AS via
 FROM f"""
+
+
+def _words(text: str) -> str:
+    """Runs of digits, a-z and non-ASCII characters, after A-Z are lower-cased."""
+    return f"list_filter(regexp_split_to_array(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+
+
+#: crc32 by its byte table, which follows from the polynomial.
+_CRC_TABLE = """
+bits(i, r, k) AS (
+  SELECT CAST(range AS UBIGINT), CAST(range AS UBIGINT), 0 FROM range(256)
+  UNION ALL SELECT i, CASE WHEN r % 2 = 1 THEN xor(r // 2, CAST(3988292384 AS UBIGINT)) ELSE r // 2 END, k + 1 FROM bits WHERE k < 8),
+crc_table AS (SELECT list(r ORDER BY i) AS t FROM bits WHERE k = 8)"""
+
+
+def _crc(text: str) -> str:
+    """crc32 of a text's UTF-8 bytes, with ``t`` the byte table."""
+    codes = f"list_transform(range(0, strlen({text})), lambda i: CAST('0x' || substr(hex({text}), 2 * i + 1, 2) AS UBIGINT))"
+    fold = f"list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), {codes}), lambda c, b: xor(c // 256, t[CAST(xor(c % 256, b) AS BIGINT) + 1]))"
+    return f"xor({fold}, CAST(4294967295 AS UBIGINT))"
+
+
+#: Features counted by text, each distinct one sent to its bucket once.
+RESAMPLING = f"""
+WITH RECURSIVE {_CRC_TABLE},
+w AS (
+  SELECT 0 AS side, doc_id AS id, row_number() OVER () AS k, {_words("text")} AS ws FROM documents
+  UNION ALL SELECT 1, NULL, -row_number() OVER (), {_words("text")} FROM benchmark),
+f AS (
+  SELECT side, k, unnest(ws) AS g FROM w
+  UNION ALL SELECT side, k, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM w),
+c AS (SELECT side, k, g, count(*) AS n FROM f GROUP BY ALL),
+b AS (SELECT g, {_crc("g")} % 10000 AS bucket FROM (SELECT DISTINCT g FROM c), crc_table),
+h AS (SELECT side, bucket, CAST(sum(n) AS DOUBLE) AS n FROM c JOIN b USING (g) GROUP BY ALL),
+total AS (SELECT coalesce(sum(n) FILTER (side = 0), 0) AS s, coalesce(sum(n) FILTER (side = 1), 0) AS t FROM h),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(sum(n) FILTER (side = 1), 0) + 1) * (s + 10000) / ((coalesce(sum(n) FILTER (side = 0), 0) + 1) * (t + 10000)))) AS BIGINT) AS gain
+  FROM h, total GROUP BY bucket, s, t),
+d AS (SELECT k, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS DOUBLE) AS total FROM c JOIN b USING (g) JOIN gains USING (bucket) WHERE side = 0 GROUP BY k),
+r AS (
+  SELECT w.id AS doc_id, len(ws) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(CAST(floor(total / n_features) AS BIGINT), 0) AS weight,
+         CAST(('0x' || substr(sha256('7:' || coalesce(CAST(w.id AS VARCHAR), '')), 1, 8)) AS UBIGINT) AS h
+  FROM w LEFT JOIN d USING (k) WHERE side = 0),
+scored AS (SELECT doc_id, n_words, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM r),
+placed AS (
+  SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) END AS place,
+         25 * count(*) FILTER (n_words >= 20) OVER () // 100 AS drawn FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM placed"""
+
+#: Every window of every document against every window of the items.
+CONTAMINATION = f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, {_words("text")} AS ws FROM documents),
+i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_words("text")} AS ws FROM benchmark),
+iw AS (
+  SELECT DISTINCT item, least(10, len(ws)) AS width, array_to_string(ws[p : p + least(10, len(ws)) - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS p FROM i WHERE len(ws) > 0)),
+dw AS (
+  SELECT k, p, width, array_to_string(ws[p : p + width - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(ws) - width + 2)) AS p FROM d, (SELECT DISTINCT width FROM iw))),
+hit AS (SELECT DISTINCT k, p, width, item FROM dw JOIN iw USING (width, win)),
+words AS (SELECT k, count(*) AS n_hit FROM (SELECT DISTINCT k, unnest(range(p, p + width)) AS at FROM hit) GROUP BY k),
+items AS (SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT k, item FROM hit) GROUP BY k)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (k) LEFT JOIN items USING (k)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(v) for v in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)) + ")"
+
+
+#: Levels as lists of digests, one list per tree and level; the last tree's leaves are the other trees' roots.
+MANIFEST = f"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (
+  SELECT row_number() OVER () AS k, doc_id, lang, {_leaf("text")} AS leaf,
+         CASE WHEN text IS NOT NULL AND {_crc("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN {_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} END AS other
+  FROM documents, crc_table),
+p AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+l(tree, level, nodes) AS (
+  SELECT tree, 0, list(leaf ORDER BY pos) FROM p GROUP BY tree
+  UNION ALL SELECT tree, level + 1, list_transform(range(0, (len(nodes) + 7) // 8), lambda i: sha256(array_to_string(nodes[8 * i + 1 : 8 * i + 8], ''))) FROM l WHERE len(nodes) > 1),
+subroots AS (SELECT tree, nodes[1] AS subroot, level AS height FROM l WHERE len(nodes) = 1),
+u(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY tree) FROM subroots HAVING count(*) > 0
+  UNION ALL SELECT level + 1, list_transform(range(0, (len(nodes) + 7) // 8), lambda i: sha256(array_to_string(nodes[8 * i + 1 : 8 * i + 8], ''))) FROM u WHERE len(nodes) > 1),
+f(k, tree, height, level, pos, node, proof) AS (
+  SELECT k, tree, height, 0, pos, coalesce(other, leaf), '' FROM p JOIN subroots USING (tree)
+  UNION ALL
+  SELECT k, f.tree, height, f.level + 1, CASE WHEN f.level + 1 = height THEN f.tree ELSE pos // 8 END,
+         sha256(array_to_string(run[: pos % 8] || [node] || run[pos % 8 + 2 :], '')), proof || array_to_string(run[: pos % 8] || run[pos % 8 + 2 :], '')
+  FROM (
+    SELECT f.*, coalesce(l.nodes, u.nodes)[f.pos // 8 * 8 + 1 : f.pos // 8 * 8 + 8] AS run
+    FROM (SELECT k, tree, height, level, CASE WHEN level = height THEN tree ELSE pos END AS pos, node, proof FROM f) f
+    LEFT JOIN l ON l.tree = f.tree AND l.level = f.level AND f.level < height LEFT JOIN u ON u.level = f.level - height AND f.level >= height
+    WHERE coalesce(len(l.nodes), len(u.nodes)) > 1) f)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified
+FROM p JOIN subroots USING (tree) JOIN (SELECT k, arg_max(node, level) AS node, arg_max(proof, level) AS proof FROM f GROUP BY k) USING (k),
+     (SELECT nodes[1] AS root FROM u WHERE len(nodes) = 1)"""
