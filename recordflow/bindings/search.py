@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from recordflow.bindings.expressions import STATUS
 from recordflow.bindings.registry import bind
@@ -15,7 +16,9 @@ from recordflow.operators.paging import number_rows, page, page_after, page_coun
 from recordflow.operators.search import (
     LOOKUP_SIZE, SEARCH_SIZE, lookup, search_contains, search_exact, search_exact_or_partial, search_records,
 )
+from recordflow.operators.search_index import build_search_index
 from recordflow.operators.sets import distinct_join
+from recordflow.session import scratch_path
 from recordflow.sources.tables import capped
 
 # Orders with the names of their parts in one multi-valued cell.
@@ -79,6 +82,30 @@ def lookup_pattern_all(t):
     return lookup(cells(t), "RED.*gear", "id", "names")
 
 
+_MEMBER = "id = '{0}' OR list_contains(string_split(names, '||'), '{0}')"
+
+
+@bind(
+    "search_index",
+    f"""SELECT 'member' AS kind, id, names FROM {CELLS} WHERE {_MEMBER.format("red widget")}
+        UNION ALL SELECT 'id', id, names FROM {CELLS} WHERE {_MEMBER.format("77")}
+        UNION ALL SELECT 'inside', id, names FROM {CELLS} WHERE contains(names, 'widge') OR contains(id, 'widge')
+        UNION ALL SELECT 'short', id, names FROM {CELLS} WHERE contains(names, 'd g') OR contains(id, 'd g')
+        UNION ALL SELECT 'several', id, names FROM {CELLS} WHERE contains(names, 'gear||green') OR contains(id, 'gear||green')
+        UNION ALL SELECT 'pattern', id, names FROM {CELLS} WHERE regexp_matches(names, 'RED.*gear', 'i') OR regexp_matches(id, 'RED.*gear', 'i')
+        UNION ALL SELECT 'number', id, names FROM {CELLS} WHERE id = '77'""",
+)
+def search_index_query(t):
+    """The searches above, each over one stored index of the members and letters of all cells."""
+    index = build_search_index(cells(t), scratch_path(t.spark, "search-index"), "id", "names")
+    found = {
+        "member": index.exact(" Red Widget "), "id": index.exact("77"), "inside": index.contains("WIDGE"),
+        "short": index.contains("d g"), "several": index.contains("gear||green"), "pattern": index.lookup("RED.*gear"),
+        "number": index.lookup("77"),
+    }
+    return reduce(DataFrame.unionAll, [df.select(F.lit(kind).alias("kind"), "id", "names") for kind, df in found.items()])
+
+
 @bind("lookup_numeric_id", "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderkey = 77")
 def lookup_numeric_id(t):
     return lookup(t.orders.select("o_orderkey", "o_orderpriority"), "77", "o_orderkey", "o_orderpriority")

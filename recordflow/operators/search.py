@@ -19,6 +19,24 @@ def _first(df: DataFrame, order: Sequence[str], size: int | None) -> DataFrame:
     return df.orderBy(*order) if size is None else df.orderBy(*order).limit(size)
 
 
+def is_number(term: str) -> bool:
+    """Decimal digits as an id has them; other scripts' digits and superscripts are patterns."""
+    return term.isascii() and term.isdigit()
+
+
+def lookup_condition(df: DataFrame, term: str, id_column: str, name_column: str) -> Column:
+    """What :func:`lookup` asks of a row."""
+    ident = F.col(id_column).cast("string")
+    if is_number(term):
+        kind = df.schema[id_column].dataType
+        typed = isinstance(kind, T.IntegralType) and str(int(term)) == term and int(term) < 1 << 31
+        return F.col(id_column) == F.lit(int(term)).cast(kind) if typed else ident == term
+    pattern = F.lit("(?i)" + term)
+    return F.coalesce(F.regexp_like(ident, pattern), F.lit(False)) | F.coalesce(
+        F.regexp_like(F.col(name_column), pattern), F.lit(False)
+    )
+
+
 def lookup(
     df: DataFrame, term: str, id_column: str, name_column: str, order: Sequence[str] | None = None,
     size: int | None = None,
@@ -29,24 +47,15 @@ def lookup(
     ``size`` keeps the first hits only. A number in its plain form is compared
     with a numeric id column as a number, so the filter reaches the scan.
     """
-    ident = F.col(id_column).cast("string")
-    if term.isdigit():
-        kind = df.schema[id_column].dataType
-        typed = isinstance(kind, T.IntegralType) and str(int(term)) == term and int(term) < 1 << 31
-        hit = F.col(id_column) == F.lit(int(term)).cast(kind) if typed else ident == term
-    else:
-        pattern = F.lit("(?i)" + term)
-        hit = F.coalesce(F.regexp_like(ident, pattern), F.lit(False)) | F.coalesce(
-            F.regexp_like(F.col(name_column), pattern), F.lit(False)
-        )
+    hit = lookup_condition(df, term, id_column, name_column)
     return _first(df.where(hit), order or [id_column], size)
 
 
-def _exact(term: str, id_column: str, name_column: str, separator: str) -> Column:
+def exact_condition(term: str, id_column: str, name_column: str, separator: str) -> Column:
     return (search_key(F.col(id_column)) == term) | has_member(search_key(F.col(name_column)), term, separator)
 
 
-def _contains(term: str, id_column: str, name_column: str) -> Column:
+def contains_condition(term: str, id_column: str, name_column: str) -> Column:
     return search_key(F.col(name_column)).contains(term) | search_key(F.col(id_column)).contains(term)
 
 
@@ -54,12 +63,12 @@ def search_exact(
     df: DataFrame, term: str, id_column: str, name_column: str, separator: str = SEPARATOR
 ) -> DataFrame:
     """Id equals the term, or one member of the multi-valued cell does."""
-    return df.where(_exact(term.strip().lower(), id_column, name_column, separator))
+    return df.where(exact_condition(term.strip().lower(), id_column, name_column, separator))
 
 
 def search_contains(df: DataFrame, term: str, id_column: str, name_column: str) -> DataFrame:
     """The term occurs literally in the id or the names."""
-    return df.where(_contains(term.strip().lower(), id_column, name_column))
+    return df.where(contains_condition(term.strip().lower(), id_column, name_column))
 
 
 def search_exact_or_partial(
@@ -81,8 +90,8 @@ def search_exact_or_partial(
     term = term.strip().lower()
     if not term:
         return _first(df, order, size)
-    exact = df.where(_exact(term, id_column, name_column, separator))
-    partial = df.where(~exact.exists() & _contains(term, id_column, name_column))
+    exact = df.where(exact_condition(term, id_column, name_column, separator))
+    partial = df.where(~exact.exists() & contains_condition(term, id_column, name_column))
     return exact.unionAll(partial if size is None else _first(partial, order, size))
 
 
