@@ -15,11 +15,13 @@ from recordflow.operators.joins import (
 )
 from recordflow.operators.sets import distinct_join, distinct_members
 from recordflow.plans.archive import archive_spec, extract_archive, flat_spec
+from recordflow.plans.layout import write_layout
 from recordflow.plans.structuring import structure_extract
 from recordflow.plans.wide import (
     Bridge, Children, Descriptor, Lookup, WideSpec, const, denormalize, flag, flat_extract, member_rows, members, merge, raw,
     text,
 )
+from recordflow.session import scratch_path
 
 def line_sets():
     return {"flags": F.col("l_returnflag"), "years": F.year("l_shipdate")}
@@ -293,6 +295,14 @@ def extract_archive_full(t):
     return extract_archive(archive_tables(t), ARCHIVE_URL, unique_key=True)
 
 
+@bind("extract_archive_stored", ARCHIVE_CTES + archive_sql(ARCHIVE_URL))
+def extract_archive_stored(t):
+    """The same rows from tables stored by their link keys: child sets are made where the rows lie."""
+    spec = archive_spec(ARCHIVE_URL, unique_key=True)
+    layout = write_layout(archive_tables(t), spec, scratch_path(t.spark, "layout"), buckets=8)
+    return denormalize(layout.tables, layout.spec)
+
+
 @bind("extract_archive_members", ARCHIVE_CTES + member_sql(ARCHIVE_URL))
 def extract_archive_members(t):
     """The multi-valued fields of the archive as rows."""

@@ -64,6 +64,17 @@ def distinct_arrays(df: DataFrame, key: str, values: Mapping[str, Column], keep_
     return _gathered(_members(df, key, values, nulls=keep_empty), key, list(values))
 
 
+def stored_arrays(df: DataFrame, key: str, values: Mapping[str, Column]) -> DataFrame:
+    """:func:`distinct_arrays` of a table that lies by ``key``: one grouping where the rows are, no shuffle.
+
+    A key's members already lie in one bucket, so a key with very many of them
+    is one task's, as its cell would be in any case.
+    """
+    texts = [c.cast("string").alias(name) for name, c in values.items()]
+    rows = df.select(key, *texts).where(F.col(key).isNotNull() & F.coalesce(*values).isNotNull())
+    return rows.groupBy(key).agg(*[F.array_sort(F.collect_set(name)).alias(name) for name in values])
+
+
 def distinct_join(df: DataFrame, key: str, values: Mapping[str, Column], separator: str = SEPARATOR) -> DataFrame:
     """Every key of ``df`` with its sets as joined text, empty text for empty sets."""
     arrays = distinct_arrays(df, key, values, keep_empty=True)
