@@ -15,6 +15,7 @@ from recordflow.sinks.delimited import (
     preview_header, preview_lines, run_metrics, write_records_csv, write_structured, write_text,
 )
 from recordflow.sources.delimited import read_columns, read_csv_as_text, read_records_csv
+from recordflow.sources.mixed import REST, read_mixed_records
 from recordflow.sources.files import archive_plan, file_inventory, latest_file
 
 ORDER_TYPES = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp, paid boolean, extra long"
@@ -68,6 +69,21 @@ def scan_csv_mixed_headers(t):
     return read_csv_as_text(t.spark, f"{path}/*", mixed=True)
 
 
+@bind(
+    "scan_mixed_one_pass",
+    """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name || '; "' || p_brand || '"' AS label,
+              CASE WHEN p_size <= 25 THEN p_size END AS p_size, CASE WHEN p_size > 25 THEN p_type END AS type_of_second FROM part""",
+)
+def scan_mixed_one_pass(t):
+    """Two exports in one folder, read by the data source that takes each file's own header; undeclared columns go to a map."""
+    path, small = scratch_path(t.spark, "scan-one-pass"), F.col("p_size") <= 25
+    label = F.concat("p_name", F.lit('; "'), "p_brand", F.lit('"')).alias("label")
+    write_records_csv(t.part.where(small).select("p_partkey", label, "p_size"), f"{path}/first")
+    write_records_csv(t.part.where(~small).select("p_type", label, "p_partkey"), f"{path}/second")
+    read = read_mixed_records(t.spark, f"{path}/*", "p_partkey string, label string, p_size int", rest=True)
+    return read.select("p_partkey", "label", "p_size", F.col(REST)["p_type"].alias("type_of_second"))
+
+
 @bind("scan_pruned_fallback", "SELECT 'N/A' AS id_arquivo_acervo, p_name AS nome_arquivo_gravado FROM part")
 def scan_pruned_fallback(t):
     path = scratch_path(t.spark, "scan-pruned")

@@ -47,6 +47,14 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def package_on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is not installed."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = [x for x in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Remove a scratch path below the shared folder, once its owner's result has been written."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
