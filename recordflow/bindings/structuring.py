@@ -70,3 +70,19 @@ def structure_records(t):
 def structure_checks(t):
     """The warning counts of the same run."""
     return run(t).checks
+
+
+@bind(
+    "run_observed",
+    RECORDS + """SELECT count(*) AS "rows", 18 AS "columns", count(*) AS total,
+        count(*) FILTER (id_situacao IS NOT NULL) AS complete,
+        coalesce(count(*) FILTER (id_situacao IS NOT NULL) * 100.0::DOUBLE / nullif(count(*), 0), 0) AS pct_complete,
+        count(*) FILTER (coalesce(id_descritor_informacional, id_descritor_catalografico, id_descritor_tecnico) IS NOT NULL) AS described,
+        CAST(coalesce(sum(ic_publicado_internet), 0) AS BIGINT) AS published, count(*) AS duplicates, true AS sized, true AS timed FROM r""",
+)
+def run_observed(t):
+    """What a run counts while it writes: rows, quality totals and copies left out; the size is that of its files."""
+    result = run(t)
+    listed = t.spark.read.format("binaryFile").load(result.path).agg(F.round(F.sum("length") / 1048576, 2)).scalar()
+    metrics = result.metrics.select("rows", "columns", (F.col("size_mb") == listed).alias("sized"), (F.col("duration_seconds") > 0).alias("timed"))
+    return metrics.crossJoin(result.totals).crossJoin(result.checks.select("duplicates"))

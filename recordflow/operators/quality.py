@@ -37,22 +37,34 @@ def quality_counts(
     extra: Sequence[Column] = (),
 ) -> DataFrame:
     """One row with every warning count; columns that do not exist are skipped."""
-    have = set(df.columns)
+    return df.agg(*count_metrics(df.columns, ids, flags, dates, asof), *extra)
+
+
+def count_metrics(
+    columns: Sequence[str], ids: Sequence[str] = (), flags: Sequence[str] = (), dates: Sequence[str] = (), asof: datetime | None = None
+) -> list[Column]:
+    """The aggregates of :func:`quality_counts`."""
+    have = set(columns)
     checks = negative_counts([c for c in ids if c in have])
     checks += [invalid_flag_count(c) for c in flags if c in have]
     if asof is not None:
         checks += [future_count(c, asof) for c in dates if c in have]
-    return df.agg(F.count(F.lit(1)).alias("rows"), *checks, *extra)
+    return [F.count(F.lit(1)).alias("rows"), *checks]
 
 
 def quality_totals(df: DataFrame, complete: Column, described: Column, published: Column) -> DataFrame:
     """Complete rows (count, percent), described rows and published sum."""
+    return df.agg(*total_metrics(complete, described, published))
+
+
+def total_metrics(complete: Column, described: Column, published: Column) -> list[Column]:
+    """The aggregates of :func:`quality_totals`."""
     total = F.count(F.lit(1))
     n_complete = F.count_if(complete)
-    return df.agg(
+    return [
         total.alias("total"),
         n_complete.alias("complete"),
         F.coalesce(F.try_divide(n_complete * F.lit(100.0), total), F.lit(0.0)).alias("pct_complete"),
         F.count_if(described).alias("described"),
         F.coalesce(F.sum(published.cast("bigint")), F.lit(0)).cast("bigint").alias("published"),
-    )
+    ]

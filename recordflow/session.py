@@ -57,10 +57,15 @@ def package_on_workers(spark: SparkSession) -> None:
 
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Remove a scratch path below the shared folder, once its owner's result has been written."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not str(hadoop.toString()).startswith(shared_folder(spark).rstrip("/")):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = found.getFileSystem(spark._jsc.hadoopConfiguration())
+    root = store.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark)))
+    above = store.makeQualified(found).getParent()
+    while above is not None and not above.equals(root):
+        above = above.getParent()
+    if above is None or ".." in path.split("/"):
         raise ValueError(f"{path} is not below the shared folder")
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    store.delete(found, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
