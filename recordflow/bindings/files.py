@@ -14,6 +14,7 @@ from recordflow.session import scratch_path
 from recordflow.sinks.delimited import (
     preview_header, preview_lines, run_metrics, write_records_csv, write_structured, write_text,
 )
+from recordflow.sinks.versions import current_path, write_version
 from recordflow.sources.delimited import read_columns, read_csv_as_text, read_records_csv
 from recordflow.sources.mixed import REST, read_mixed_records
 from recordflow.sources.files import archive_plan, file_inventory, latest_file
@@ -116,6 +117,16 @@ def sink_overwrite(t):
     return read_csv_as_text(t.spark, path)
 
 
+@bind("sink_versions", "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name FROM part")
+def sink_versions(t):
+    """Two versions, and a third whose writer was lost before its last step: readers keep the second."""
+    path = scratch_path(t.spark, "versions")
+    write_version(t.part.select("p_partkey", "p_brand"), path)
+    write_version(t.part.select("p_partkey", "p_name"), path)
+    write_records_csv(t.part.select("p_partkey", "p_type"), f"{path}/data/000000000002.unfinished")
+    return read_csv_as_text(t.spark, current_path(t.spark, path))
+
+
 @bind(
     "sink_text_lines",
     '''SELECT CAST(p_partkey AS VARCHAR) || ';"' || p_name || '; ""x"""' || ';' || CASE WHEN p_size > 20 THEN 'True'

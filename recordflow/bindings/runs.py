@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from recordflow.bindings.registry import bind
 from recordflow.session import scratch_path
 from recordflow.sources.history import (
-    append_history, history_between, history_logs, history_recent, read_history, read_run_logs, run_ids,
+    append_history, commit_history, history_between, history_logs, history_recent, log_text, read_commits, read_history, read_run_logs, run_ids,
 )
 from recordflow.streaming.progress import log_progress, read_progress, run_progress_stream
 
@@ -80,6 +80,35 @@ def history_append(t):
     return read_history(t.spark, path, lines=True)
 
 
+@bind("history_commits", f"SELECT * FROM {RUNS}")
+def history_commits(t):
+    """Two commits, the second repeated in another order as by a driver that was started again."""
+    path, all_runs = scratch_path(t.spark, "history-commits"), runs(t)
+    commit_history(all_runs.where(F.col("status") == "Success"), path)
+    failed = all_runs.where(F.col("status") == "Error")
+    commit_history(failed, path)
+    commit_history(failed.orderBy(F.desc("id")), path)
+    return read_commits(t.spark, path)
+
+
+@bind(
+    "run_log_text",
+    """SELECT log, chunk, string_agg(line || chr(10), '' ORDER BY conv_id, turn) AS text FROM (
+         SELECT 'conv_' || CAST(conv_id % 10 AS VARCHAR) AS log, conv_id, turn, role || ' ' || CAST(turn AS VARCHAR) AS line,
+                (row_number() OVER (PARTITION BY conv_id % 10 ORDER BY conv_id, turn) - 1) // 50 + 1 AS chunk FROM conversations)
+       GROUP BY log, chunk""",
+)
+def run_log_text(t):
+    """The logs of ten runs as written, in order, fifty lines a chunk."""
+    path = scratch_path(t.spark, "log-text")
+    log = F.concat(F.lit("conv_"), (F.col("conv_id") % 10).cast("string"))
+    lines = t.conversations.select(log.alias("log"), "conv_id", "turn", F.concat_ws(" ", "role", "turn").alias("value"))
+    # One file per run: a log is written by its run alone.
+    lines.repartition("log").sortWithinPartitions("log", "conv_id", "turn").select("log", "value").write.partitionBy("log").text(path)
+    run = F.regexp_extract("path", "log=(conv_[0-9]+)/", 1).alias("log")
+    return log_text(t.spark, f"{path}/*", lines=50).select(run, "chunk", "text")
+
+
 @bind(
     "history_between",
     f"SELECT * FROM {RUNS} WHERE CAST(date AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'",

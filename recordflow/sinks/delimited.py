@@ -52,7 +52,11 @@ def write_records_csv(df: DataFrame, path: str, date_format: str = DATE_FORMAT,
 
 
 def write_structured(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Replace the structured data set under its fixed name; Parquet keeps the types."""
+    """Replace the structured data set under its fixed name; Parquet keeps the types.
+
+    Readers see nothing while it is rewritten; where that matters, use
+    :func:`recordflow.sinks.versions.write_version`.
+    """
     if fmt == "csv":
         write_records_csv(df, path, mode="overwrite")
     else:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from recordflow.sinks.versions import as_parquet, current_path, expire_versions, write_version
+
 # Phrase in a log line -> progress in percent.
 PHASES = {
     "Conectando ao Impala": 10,
@@ -42,17 +44,20 @@ def read_log_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_progress_stream(lines: DataFrame, run: str, line: str, target: str, checkpoint: str) -> None:
-    """Process all waiting log lines and store the progress per run as Parquet.
+    """Process all waiting log lines and store the progress of every run as a version of ``target``.
 
-    Every trigger overwrites its own batch folder, so a batch repeated after a
-    failure leaves the same result; the newest state is the maximum over all.
+    The stream keeps the furthest progress per run as its state, so a version is
+    written from the state and not from earlier files. It is named by its batch:
+    a batch repeated after a failure replaces its own version. Older versions
+    are removed, whatever the number of batches.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        write_version(batch, target, as_parquet, number=batch_id)
+        expire_versions(batch.sparkSession, target)
 
     query = (
         log_progress(lines, run, line)
-        .writeStream.outputMode("update")
+        .writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(store)
@@ -62,5 +67,5 @@ def run_progress_stream(lines: DataFrame, run: str, line: str, target: str, chec
 
 
 def read_progress(spark: SparkSession, target: str, run: str) -> DataFrame:
-    """The newest progress per run over all stored batches."""
-    return spark.read.parquet(target).groupBy(run).agg(F.max("progress").alias("progress"))
+    """The progress per run in the newest version: a reader opens that version's files only."""
+    return spark.read.parquet(current_path(spark, target)).select(run, "progress")
