@@ -13,7 +13,7 @@ from recordflow.operators.filters import exclude_value, published_only
 from recordflow.operators.joins import (
     association_partners, association_sets, bridge_sets, child_sets, left_join_rows, lookup_join,
 )
-from recordflow.operators.sets import distinct_join, distinct_members
+from recordflow.operators.sets import chunked_sets, distinct_join, distinct_members, joined_below
 from recordflow.plans.archive import archive_spec, extract_archive, flat_spec
 from recordflow.plans.layout import write_layout
 from recordflow.plans.structuring import structure_extract
@@ -145,6 +145,22 @@ def members_long(t):
     return distinct_members(t.lineitem, "l_orderkey", line_sets())
 
 
+@bind(
+    "sets_in_chunks",
+    """SELECT segment, field, chunk, string_agg(value, '||' ORDER BY value) AS members FROM (
+         SELECT *, (row_number() OVER (PARTITION BY segment, field ORDER BY value) - 1) // 1000000 + 1 AS chunk FROM (
+           SELECT DISTINCT c_mktsegment AS segment, 'customers' AS field, c_name AS value FROM customer UNION
+           SELECT DISTINCT c_mktsegment, 'nations', CAST(c_nationkey AS VARCHAR) FROM customer))
+       GROUP BY segment, field, chunk""",
+)
+def sets_in_chunks(t):
+    """Few keys with many members: the cells of each put together again (their cuts follow the partitions)."""
+    values = {"customers": F.col("c_name"), "nations": F.col("c_nationkey")}
+    chunks = chunked_sets(t.customer, "c_mktsegment", values, cell=100)
+    whole = joined_below(chunks, "c_mktsegment", most=1_000_000)
+    return whole.select(F.col("c_mktsegment").alias("segment"), "field", F.lit(1).cast("long").alias("chunk"), F.col("text").alias("members"))
+
+
 @bind(
     "group_wide_keys",
     """SELECT o_orderkey, o_orderstatus, nullif(o_orderpriority, '4-NOT SPECIFIED') AS priority, c_mktsegment,

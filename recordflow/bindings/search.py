@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from recordflow.bindings.expressions import STATUS
 from recordflow.bindings.registry import bind
 from recordflow.functions.multivalue import SEPARATOR, split_values
+from recordflow.operators.directory import By, build_page_directory
 from recordflow.operators.manifest import attachment_manifest, url_params, url_params_grouped
 from recordflow.operators.outcomes import outcome_failures, outcome_summary
 from recordflow.operators.paging import number_rows, page, page_after, page_count, sort_nulls_last, top_n
@@ -251,6 +252,25 @@ def paginate_all(t):
     return rows.select("o_orderkey", F.ceil(F.col("row_no") / 50).cast("bigint").alias("page"))
 
 
+@bind(
+    "paginate_directory",
+    """SELECT page, o_orderkey, o_totalprice, position FROM (
+         SELECT o_orderkey, o_totalprice, (row_number() OVER w - 1) // 50 + 1 AS page, CAST((row_number() OVER w - 1) % 50 AS INTEGER) AS position
+         FROM orders WINDOW w AS (ORDER BY o_orderpriority DESC, o_orderkey)) WHERE page IN (1, 7, 31)""",
+)
+def paginate_directory(t):
+    """Three pages by the ranges of one directory, with the place of each row on its page."""
+    orders = t.orders
+    directory = build_page_directory(orders, scratch_path(t.spark, "pages"), [By("o_orderpriority", descending=True), "o_orderkey"], stride=200)
+    pages = []
+    for number in (1, 7, 31):
+        rows = directory.page(orders, 50, number).agg(F.sort_array(F.collect_list(F.struct(F.col("o_orderpriority").alias("p"), "o_orderkey", "o_totalprice"))).alias("r"))
+        # At most a page of rows: by priority from the last, then by key.
+        ordered = F.array_sort("r", lambda a, b: F.when(a["p"] != b["p"], F.when(a["p"] > b["p"], -1).otherwise(1)).otherwise(F.when(a["o_orderkey"] < b["o_orderkey"], -1).otherwise(1)))
+        pages.append(rows.select(F.lit(number).cast("long").alias("page"), F.posexplode(ordered).alias("position", "o")))
+    return reduce(DataFrame.unionAll, pages).select("page", "o.o_orderkey", "o.o_totalprice", "position")
+
+
 @bind("page_count", "SELECT count(*) AS rows, CAST(ceil(count(*) / 50.0) AS BIGINT) AS pages FROM orders")
 def page_count_query(t):
     return page_count(t.orders, 50)

@@ -15,9 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from recordflow.functions.multivalue import SEPARATOR, join_values
+from recordflow.session import scratch_path
 
 
 def _members(df: DataFrame, key: str, values: Mapping[str, Column], nulls: bool) -> DataFrame:
@@ -64,6 +65,46 @@ def distinct_arrays(df: DataFrame, key: str, values: Mapping[str, Column], keep_
     return _gathered(_members(df, key, values, nulls=keep_empty), key, list(values))
 
 
+def chunked_sets(df: DataFrame, key: str, values: Mapping[str, Column], cell: int = 1000) -> DataFrame:
+    """``key, field, chunk, members``: each set in numbered cells of at most ``cell`` sorted members.
+
+    The cells of a key and field, by number, put together are the array of
+    :func:`distinct_arrays`. Members are range-cut by key and value, so a key
+    that owns a third of them is spread over the tasks before and after; keys
+    without members have no cell.
+    """
+    spark = df.sparkSession
+    members = distinct_members(df, key, values).withColumnRenamed(key, "_key")
+    order = ["_key", "field", "value"]
+    path = scratch_path(spark, "chunks")
+    placed = members.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed.write.parquet(path)  # where a member lies must not change between counting and cutting
+    rows = spark.read.schema(placed.schema).parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    # Runs of one key and field in one partition; narrow, one row per run.
+    run = ["_key", "field", "_part"]
+    runs = rows.groupBy(*run).agg(F.ceil(F.count(F.lit(1)) / F.lit(cell)).alias("_cells"))
+    before = Window.partitionBy("_key", "field").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(*run, F.coalesce(F.sum("_cells").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy(*run).orderBy("_at")) - 1
+    numbered = rows.join(runs, run).withColumn("chunk", (F.col("_start") + F.floor(inside / cell) + 1).cast("long"))
+    cells = numbered.groupBy(*run, "chunk").agg(F.array_sort(F.collect_list("value")).alias("members"))
+    return cells.select(F.col("_key").alias(key), "field", "chunk", "members")
+
+
+def joined_below(chunks: DataFrame, key: str, most: int, separator: str = SEPARATOR) -> DataFrame:
+    """``key, field, n, text`` of :func:`chunked_sets`: joined text of sets with at most ``most`` members, else NULL.
+
+    Larger sets are counted and never brought together.
+    """
+    counts = chunks.groupBy(key, "field").agg(F.sum(F.size("members")).alias("n"))
+    small = counts.where(F.col("n") <= most).select(F.col(key).alias("_key"), F.col("field").alias("_field"))
+    few = chunks.join(small, (F.col(key) == F.col("_key")) & (F.col("field") == F.col("_field"))).drop("_key", "_field")
+    whole = few.groupBy(key, "field").agg(F.sort_array(F.collect_list(F.struct("chunk", "members"))).alias("cells"))
+    texts = whole.select(F.col(key).alias("_key"), F.col("field").alias("_field"), F.array_join(F.flatten(F.col("cells")["members"]), separator).alias("text"))
+    joined = counts.join(texts, (F.col(key) == F.col("_key")) & (F.col("field") == F.col("_field")), "left")
+    return joined.select(key, "field", F.col("n").cast("long"), "text")
+
+
 def stored_arrays(df: DataFrame, key: str, values: Mapping[str, Column]) -> DataFrame:
     """:func:`distinct_arrays` of a table that lies by ``key``: one grouping where the rows are, no shuffle.
 

@@ -1,0 +1,84 @@
+"""Pages by key ranges, and sets in bounded cells."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from recordflow.operators.directory import By, build_page_directory, open_page_directory
+from recordflow.operators.sets import chunked_sets, distinct_arrays, joined_below
+from recordflow.session import shared_folder
+
+
+def table(spark, n, seed=1):
+    rnd = random.Random(seed)
+    rows = [(rnd.choice([None, "a", "b", "c", "é"]), rnd.choice([None, 1.5, -2.0, 7.25]), i) for i in range(n)]
+    rnd.shuffle(rows)
+    return spark.createDataFrame(rows, "g string, x double, id long").repartition(5)
+
+
+@pytest.mark.parametrize("order", [["id"], [By("id", True)], ["g", "id"], [By("g", True), By("x"), By("id", True)], ["x", By("g", True), "id"]])
+def test_pages(spark, tmp_path, order):
+    df = table(spark, 230).cache()
+    directory = build_page_directory(df, str(tmp_path / "d"), order, stride=17)
+    sort = [by.sort() if isinstance(by, By) else F.asc(by) for by in order]
+    whole = [tuple(r) for r in df.orderBy(*sort).collect()]
+    assert directory.rows == 230 and directory.pages(50) == 5
+    for size, number in ((50, 1), (50, 3), (50, 5), (50, 6), (7, 20), (17, 2), (1, 230), (500, 1)):
+        got = [tuple(r) for r in open_page_directory(spark, directory.path).page(df, size, number).collect()]
+        assert got == whole[(number - 1) * size : number * size], (size, number)
+
+
+def test_pages_of_rows_without_a_total_order(spark, tmp_path):
+    """All pages together hold as many rows of each value as the table."""
+    df = table(spark, 200).select("g").cache()
+    directory = build_page_directory(df, str(tmp_path / "d"), ["g"], stride=9)
+    got = [r["g"] for n in range(1, 11) for r in directory.page(df, 20, n).collect()]
+    assert got == [r["g"] for r in df.orderBy("g").collect()]
+
+
+def test_empty_table_and_wrong_pages(spark, tmp_path):
+    df = spark.createDataFrame([], "id long")
+    directory = build_page_directory(df, str(tmp_path / "d"), ["id"])
+    assert directory.page(df, 10, 1).collect() == [] and directory.pages(10) == 0
+    with pytest.raises(ValueError):
+        directory.page(df, 10, 0)
+
+
+def test_a_deep_page_reads_its_range_and_nothing_stays(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(0, 100_000, 1, 20).withColumn("v", F.col("id") * 2).write.parquet(path)  # files in key order
+    df = spark.read.parquet(path)
+    before = set(os.listdir(shared_folder(spark).removeprefix("file:")))
+    directory = build_page_directory(df, str(tmp_path / "d"), ["id"], stride=1000)
+    assert set(os.listdir(shared_folder(spark).removeprefix("file:"))) == before
+    page = directory.page(df, 50, 1000)
+    assert [r["id"] for r in page.collect()] == list(range(49_950, 50_000))
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,49000)" in plan and "PushedFilters" in plan
+    low, high, skip = directory.range_of(50, 1000)
+    assert (low["_pos"], high["_pos"], skip) == (49_000, 50_000, 950)
+    # Row groups outside the range are skipped: each file is one row group here.
+    opened = spark.read.parquet(path).where("id >= 49000 and id < 50000").select(F.input_file_name()).distinct().count()
+    assert opened == 1
+
+
+def test_chunks_of_a_hot_key(spark):
+    rows = [("hot", f"m{i % 3000}") for i in range(9000)] + [(f"k{i}", f"v{i % 5}") for i in range(3000)] + [(None, "x"), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v string").repartition(6)
+    chunks = chunked_sets(df, "k", {"v": F.col("v"), "first": F.substring("v", 1, 1)}, cell=100).collect()
+    hot = sorted((r["chunk"], r["members"]) for r in chunks if r["k"] == "hot" and r["field"] == "v")
+    assert len(hot) >= 30 and all(len(m) <= 100 for _, m in hot) and [n for n, _ in hot] == list(range(1, len(hot) + 1))
+    together = {}
+    for r in sorted(chunks, key=lambda r: r["chunk"]):
+        together.setdefault((r["k"], r["field"]), []).extend(r["members"])
+    whole = distinct_arrays(df, "k", {"v": F.col("v"), "first": F.substring("v", 1, 1)}).collect()
+    assert together == {(r["k"], f): r[f] for r in whole for f in ("v", "first") if r[f]}
+
+
+def test_text_below_a_bound(spark):
+    df = spark.createDataFrame([("a", str(i)) for i in range(250)] + [("b", "y"), ("b", "x")], "k string, v string")
+    got = {r["k"]: (r["n"], r["text"]) for r in joined_below(chunked_sets(df, "k", {"v": F.col("v")}, cell=20), "k", most=100).collect()}
+    assert got == {"a": (250, None), "b": (2, "x||y")}
+    assert joined_below(chunked_sets(df.where("false"), "k", {"v": F.col("v")}), "k", most=100).collect() == []
