@@ -7,11 +7,18 @@ mutual information ``log(n_te N / (n_t n_e))`` against the entity's information
 ``log(N / n_e)``. Terms that reach ``generalise`` of it become a placeholder,
 those that reach ``remove`` of it are removed, wherever they stand in a document
 that holds the entity. A pair needs ``min_docs`` documents to count as an
-estimate. Counts cover all words of all documents.
+estimate, and half a document is taken off its count, so that few documents say
+less than many. Counts cover all words of all documents.
+
+Of an entity in a single document no co-occurrence can be estimated: every rare
+word of the document would seem to tell it. There only words that are part of
+the entity's own text count, the names in a mail address: such a word names the
+entity, and its own information ``log(N / n_t)`` says how much that tells.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -26,7 +33,9 @@ from recordflow.llm.shingles import word_hashes
 from recordflow.llm.substring import cut_spans
 
 KINDS = ("email", "ip", "card", "phone", "term")
-MIN_DOCS = 3
+MIN_DOCS = 2
+#: Documents taken off the count of a pair.
+DISCOUNT = 0.5
 GENERALISE = 0.8
 REMOVE = 0.95
 
@@ -82,7 +91,17 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def entity_of(text: str, kind: str, start: int, end: int) -> str:
-    return f"{kind}:{re.sub(r'[ ().-]', '', text[start:end]).lower()}"
+    """Numbers are compared by their digits, since they are written with different marks; other kinds as they stand."""
+    found = text[start:end]
+    return f"{kind}:{re.sub(r'[ ().-]', '', found) if kind in ('card', 'phone') else found.lower()}"
+
+
+def names_in(text: str, spans: list[tuple[str, int, int]]) -> set[bytes]:
+    """Words of three letters or more that stand in a mail address before the ``@`` and elsewhere in the text."""
+    parts = {w for kind, a, b in spans if kind == "email" for w in re.findall(r"[^\W\d_]{3,}", text[a:b].split("@")[0].lower())}
+    if not parts:
+        return set()
+    return {w.encode("utf-8", "surrogatepass") for w in parts} & distinct_words(" ".join(text[a:b] for a, b in outside(text, spans)))
 
 
 def context(text: str, spans: list[tuple[str, int, int]], window: int) -> Iterator[tuple[str, str, int, int]]:
@@ -138,9 +157,9 @@ def distinct_words(text: str) -> set[bytes]:
 
 
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-_FOUND = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("spans", pa.list_(_SPAN)), ("entities", pa.list_(pa.int64())), ("text", pa.string())])
+_FOUND = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("spans", pa.list_(_SPAN)), ("entities", pa.list_(pa.int64())), ("names", pa.list_(pa.int64())), ("text", pa.string())])
 _SPANS_SQL = "array<struct<kind:string,start:bigint,end:bigint>>"
-_FOUND_SQL = f"row long, doc_id long, spans {_SPANS_SQL}, entities array<long>, text string"
+_FOUND_SQL = f"row long, doc_id long, spans {_SPANS_SQL}, entities array<long>, names array<long>, text string"
 _MARK = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("share", pa.float64())])
 _MARKS_SQL = "array<struct<start:bigint,end:bigint,share:double>>"
 
@@ -163,8 +182,9 @@ def found_by_form(docs: DataFrame) -> DataFrame:
                 text = cell.as_py() or ""
                 spans = base_spans(text)
                 entities = _hashed(sorted({entity_of(text, *s) for s in spans}))
+                names = word_hashes(sorted(names_in(text, spans))).view(np.int64).tolist()
                 count += 1
-                yield number + count, doc_id, [{"kind": k, "start": a, "end": b} for k, a, b in spans], entities, text if spans else None
+                yield number + count, doc_id, [{"kind": k, "start": a, "end": b} for k, a, b in spans], entities, names, text if spans else None
 
         yield from rows_of(batches, _FOUND, rows)
 
@@ -250,30 +270,39 @@ def _counted(held: list[np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
 
 def disclosing_terms(found: DataFrame, docs: DataFrame, stages: Stages, window: int | None, min_docs: int, generalise: float) -> DataFrame | None:
     """``(row, terms)``: all places of words that tell an entity of their document, with the share of its information that they give."""
-    n_all = F.lit(float(max(found.count(), 1)))
+    total = float(max(found.count(), 1))
+    n_all = F.lit(total)
     places = found.select("row", F.explode("entities").alias("e"))
     entities = places.groupBy("e").agg(F.count("*").alias("n_e")).where((F.col("n_e") >= min_docs) & (F.col("n_e") < n_all))
     # As n_te <= n_e, no term in more documents than this can reach the share.
     most = n_all * F.pow(F.col("n_e") / n_all, F.lit(generalise)) * 1.000001
     entities = stages.write(entities.withColumn("most", most), "entities")
-    size = entities.agg(F.count("*").alias("n"), F.max("most").alias("most")).first()
-    if not size["n"]:
+    size = entities.agg(F.count("*").alias("n"), F.coalesce(F.max("most"), F.lit(0.0)).alias("most")).first()
+    names = stages.write(found.select("row", F.explode("names").alias("t")), "names")
+    n_names = names.count()
+    if not size["n"] and not n_names:
         return None
     held = stages.write(places.join(bounded(entities, 48 * size["n"]), "e"), "held")
-    rows = bounded(held.select("row").distinct(), 16 * held.count())
-    texts = found.join(rows, "row", "left_semi").select("row", "text", "spans")
-    terms = term_documents(docs).withColumnRenamed("n", "n_t").where((F.col("n_t") >= min_docs) & (F.col("n_t") <= size["most"]))
-    terms = stages.write(terms, "terms")
-    terms = bounded(terms, 32 * terms.count())
+    concerned = held.select("row").unionByName(names.select("row")).distinct()
+    texts = found.join(bounded(concerned, 16 * (held.count() + n_names)), "row", "left_semi").select("row", "text", "spans")
+    named = names.select("t").distinct().withColumn("name", F.lit(True))
+    terms = term_documents(docs).withColumnRenamed("n", "n_t").join(bounded(named, 24 * n_names), "t", "left")
+    terms = stages.write(terms.where(F.col("name") | (F.col("n_t") >= min_docs) & (F.col("n_t") <= size["most"])), "terms")
+    paired = terms.where((F.col("n_t") >= min_docs) & (F.col("n_t") <= size["most"])).select("t", "n_t")
+    paired = bounded(paired, 32 * paired.count())
     # A word meets the entities of its own document only: the join is by document, which spreads a hot entity.
-    together = words_of(texts).join(terms, "t").join(held, "row").where("n_t <= most")
-    near = together if window is None else words_near(texts, window).join(terms, "t").join(held, ["row", "e"]).where("n_t <= most")
+    together = words_of(texts).join(paired, "t").join(held, "row").where("n_t <= most")
+    near = together if window is None else words_near(texts, window).join(paired, "t").join(held, ["row", "e"]).where("n_t <= most")
     counted = near.groupBy("e", "t", "n_e", "n_t").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= min_docs)
-    gain = F.log(F.col("n_te") * n_all / (F.col("n_t").cast("double") * F.col("n_e")))
+    gain = F.log((F.col("n_te") - DISCOUNT) * n_all / (F.col("n_t").cast("double") * F.col("n_e")))
     own = F.log(n_all / F.col("n_e"))
     pairs = stages.write(counted.select("e", "t", (gain / own).alias("share")).where(F.col("share") >= generalise), "disclosing")
+    # A name tells its entity; how much, its own information says, against that of an entity in one document.
+    telling = names.join(terms.where("name").select("t", "n_t"), "t").select("row", "t", (F.log(n_all / F.col("n_t")) / math.log(max(total, 2.0))).alias("share"))
+    telling = telling.where(F.col("share") >= generalise)
     # A term that tells two entities of a document is judged by the stronger disclosure.
-    marks = together.select("row", "e", "t").join(bounded(pairs, 48 * pairs.count()), ["e", "t"]).groupBy("row", "t").agg(F.max("share").alias("share"))
+    marks = together.select("row", "e", "t").join(bounded(pairs, 48 * pairs.count()), ["e", "t"]).select("row", "t", "share")
+    marks = marks.unionByName(telling).groupBy("row", "t").agg(F.max("share").alias("share"))
     marks = marks.groupBy("row").agg(F.collect_list(F.struct("t", "share")).alias("marks"))
     return marked_words(texts.join(marks, "row"))
 
@@ -299,6 +328,7 @@ def personal_spans(
     code points. ``terms``: start, end, share of every disclosing term in the
     rows that hold its entity. Terms are judged by all words of a document;
     with ``window``, by those within so many words of the entity on its line.
+    Names in a mail address are judged wherever they stand in its document.
     Null and empty texts have neither; a null doc_id stays null; repeated rows
     are answered one by one and count as documents of their own; other columns
     are ignored.

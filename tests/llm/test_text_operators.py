@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 
 from llm_common import AWKWARD, corpus, documents, prose
-from recordflow.llm.pii import base_spans, outside, personal_spans, sanitise, sanitised, span_report
+from recordflow.llm import common
+from recordflow.llm.pii import base_spans, entity_of, outside, personal_spans, sanitise, sanitised, span_report
 from recordflow.llm.quality import failing_rule, keep_clean, line_quality, repeated_words, split_lines
 from recordflow.llm.shingles import word_hashes
 from recordflow.llm.substring import cut_spans, repeated_spans, units, without
@@ -222,6 +223,39 @@ def test_rows_without_a_doc_id_are_cleaned(spark):
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got)
 
 
+def test_names_beside_a_unique_address(spark):
+    """A name that a mail address holds goes where it stands; common words and other documents keep theirs."""
+    rows = [(k, "the report of " + " ".join(prose(k, 12))) for k in range(60)]
+    rows += [(100, "Anna Schmidt\nwrites: the report is at anna.schmidt@x.com, said SCHMIDT. Annabel too."), (101, "the schmidt report"), (102, "the report from the.report9@x.com")]
+    text = dict(rows)
+    terms = {r.doc_id: {text[r.doc_id][t.start : t.end] for t in r.terms} for r in personal_spans(documents(spark, rows)).collect()}
+    assert terms[100] == {"Anna", "Schmidt", "SCHMIDT"}
+    assert not terms[101] and not terms[102] and not terms[0]
+    clean = {r.doc_id: r.text for r in sanitise(documents(spark, rows)).collect()}
+    assert "chmidt" not in clean[100].lower() and "[EMAIL]" in clean[100] and "Annabel" in clean[100] and clean[101] == text[101]
+
+
+def test_entities_of_two_documents_and_exact_keys(spark):
+    rows = [(k, "the report of " + " ".join(prose(k, 12))) for k in range(60)]
+    rows += [(100, "operation kestrel host 1.23.4.5 the report"), (101, "again kestrel via 1.23.4.5 now"), (102, "other host 12.3.4.5 osprey"), (103, "ab@x.com and osprey"), (104, "a.b@x.com or heron")]
+    text = dict(rows)
+    terms = {r.doc_id: {text[r.doc_id][t.start : t.end] for t in r.terms} for r in personal_spans(documents(spark, rows)).collect()}
+    assert terms[100] == terms[101] == {"kestrel"}
+    # 1.23.4.5 and 12.3.4.5, ab@x.com and a.b@x.com are different; each stands in one document only.
+    assert not terms[102] and not terms[103] and not terms[104]
+    assert len({entity_of(t, k, 0, len(t)) for k, t in (("ip", "1.23.4.5"), ("ip", "12.3.4.5"), ("email", "a.b@x.com"), ("email", "ab@x.com"), ("email", "AB@x.com"))}) == 4
+    assert entity_of("+1 (98) 85-5", "phone", 0, 12) == entity_of("+1 98 855", "phone", 0, 9)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_terms_without_broadcasts(spark, monkeypatch, seed):
+    """Shuffled joins give what broadcasts give."""
+    rows = [(k, " ".join(prose(seed * 99 + k % 9, 15)) + f" x{k % 7}.kite@y.zz" * (k % 3 == 0)) for k in range(50)]
+    want = sorted(map(str, personal_spans(documents(spark, rows)).collect()))
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    assert sorted(map(str, personal_spans(documents(spark, rows)).collect())) == want
+
+
 def test_pieces_outside_spans():
     rnd = random.Random(6)
     for _ in range(3000):
@@ -249,7 +283,7 @@ def test_pmi_matches_brute_force(spark):
             near.setdefault((e, t), set()).add(k)
     flagged = set()
     for (e, t), both in near.items():
-        gain = np.log(len(both) * len(rows) / (len(holds[t]) * len(holds[e])))
+        gain = np.log((len(both) - 0.5) * len(rows) / (len(holds[t]) * len(holds[e])))
         if len(both) >= 3 and gain >= 0.3 * np.log(len(rows) / len(holds[e])):
             flagged |= {(k, t) for k in both}
     got = personal_spans(documents(spark, rows), window=8, min_docs=3, generalise=0.3).collect()
