@@ -2,8 +2,9 @@
 
 A text is cut at line ends and after sentence marks. Each unit is normalised
 (lower case, single spaces) and hashed to 128 bits; equal digests are grouped
-over all documents. The occurrence with the smallest (doc_id, start) stays, the
-others are removed. Short units are common in any language, so consecutive
+over all documents. The occurrence with the smallest (doc_id, text_key, start)
+stays, the others are removed; ``text_key`` is a hash of the whole text, so rows
+that share a doc_id and differ are different documents. Short units are common in any language, so consecutive
 repeated units of a document form a run, and only runs of ``min_words`` words
 or more are removed. Offsets are code points of the original text.
 """
@@ -51,54 +52,70 @@ def hashed_units(text: str, unit_words: int) -> Iterator[tuple]:
             seen.add(digest)
 
 
-_SCHEMA = pa.schema([("doc_id", pa.int64()), ("unit", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("words", pa.int32()), ("opens", pa.bool_()), ("d1", pa.int64()), ("d2", pa.int64())])
+_SCHEMA = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("unit", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("words", pa.int32()), ("opens", pa.bool_()), ("d1", pa.int64()), ("d2", pa.int64())])
 
 
 def text_units(docs: DataFrame, unit_words: int = UNIT_WORDS) -> DataFrame:
     on_workers(docs.sparkSession)
 
     def build(batch) -> Iterator[tuple]:
-        for doc_id, cell in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for doc_id, key, cell in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
             for found in hashed_units(cell.as_py() or "", unit_words):
-                yield doc_id, *found
+                yield doc_id, key, *found
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     return rows.mapInArrow(
-        lambda batches: rows_of(batches, _SCHEMA, build, 20_000), "doc_id long, unit int, start long, end long, words int, opens boolean, d1 long, d2 long"
+        lambda batches: rows_of(batches, _SCHEMA, build, 20_000), "doc_id long, text_key long, unit int, start long, end long, words int, opens boolean, d1 long, d2 long"
     )
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, unit_words: int = UNIT_WORDS) -> DataFrame:
-    """The spans to remove, one row per repeated unit: doc_id, start, end, n_words, kept_doc_id.
+    """The spans to remove, one row per repeated unit: doc_id, text_key, start, end, n_words, kept_doc_id.
 
-    ``kept_doc_id`` is the document whose first such unit stays. Rows that share a doc_id are one
-    document: the same place in the same document is never a repeat of itself.
-    Rows without a doc_id rank last, are never cut, and give no rows. Null and
-    empty texts have no units; other columns are ignored.
+    ``kept_doc_id`` is the document whose first such unit stays. Rows that share
+    doc_id and text are one document: the same place in the same document is
+    never a repeat of itself. Rows that share a doc_id and differ in text are
+    different documents, told apart by ``text_key``. Rows without a doc_id rank
+    last, are never cut, and give no rows. Null and empty texts have no units;
+    other columns are ignored.
 
     The first document per digest is pre-aggregated before the shuffle. The
     join back is a plain join on the digest, the same at every size, so a very
-    common unit is split by the adaptive planner.
+    common unit is split by the adaptive planner. Texts are cut and hashed once.
     """
     stages = Stages(docs.sparkSession, "substring")
-    found = text_units(docs, unit_words)
-    first = found.groupBy("d1", "d2").agg(F.min(F.coalesce("doc_id", F.lit(_LAST))).alias("kept_doc_id"), F.count("*").alias("n"))
-    first = stages.write(first.where("n > 1").drop("n"), "repeated")
+    found = stages.write(text_units(docs, unit_words), "units")
+    kept = F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("doc_id"), "text_key")).alias("kept")
+    first = found.groupBy("d1", "d2").agg(kept, F.count("*").alias("n"))
+    first = stages.write(first.where("n > 1").select("d1", "d2", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.text_key").alias("kept_key")), "repeated")
     again = found.where("doc_id IS NOT NULL").join(first, ["d1", "d2"])
-    again = again.where("doc_id != kept_doc_id OR NOT opens")
+    again = again.where("doc_id != kept_doc_id OR text_key != kept_key OR NOT opens")
     # Repeated rows give a unit twice: number the units of a document by distinct places.
-    order = W.partitionBy("doc_id").orderBy("unit", "start")
+    order = W.partitionBy("doc_id", "text_key").orderBy("unit", "start")
     gap = F.when(F.col("unit") - F.lag("unit").over(order) <= 1, 0).otherwise(1)
     runs = again.withColumn("fresh", gap).withColumn("run", F.sum("fresh").over(order))
-    total = F.sum("words").over(W.partitionBy("doc_id", "run"))
+    # Equal rows of a document bring a unit several times; it counts once for the length of its run.
+    once = F.when(F.row_number().over(W.partitionBy("doc_id", "text_key", "run", "start").orderBy("unit")) == 1, F.col("words")).otherwise(0)
+    total = F.sum("own_words").over(W.partitionBy("doc_id", "text_key", "run"))
     return (
-        runs.withColumn("run_words", total)
+        runs.withColumn("own_words", once)
+        .withColumn("run_words", total)
         .where(F.col("run_words") >= min_words)
-        .select("doc_id", "start", "end", F.col("words").cast("long").alias("n_words"), "kept_doc_id")
+        .select("doc_id", "text_key", "start", "end", F.col("words").cast("long").alias("n_words"), "kept_doc_id")
         .distinct()
     )
 
 
+def without_repeats(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` without the spans of :func:`repeated_spans`; each row loses what its own text repeats."""
+    spans = repeated_spans(docs, **settings)
+    key = lambda doc_id, text_key: F.concat_ws(":", doc_id.cast("string"), text_key.cast("string"))
+    keyed = spans.select(key(F.col("doc_id"), F.col("text_key")).alias("doc_id"), "start", "end")
+    # A null doc_id gives a key without a colon, which no span has.
+    return cut_spans(docs, keyed, same=key(docs["doc_id"].cast("long"), F.xxhash64(docs["text"].cast("string"))))
+
+
 def without(text: str, spans: list[tuple[int, int]]) -> str:
     """``text`` without the spans; the blank that followed a removed span goes with it."""
     out, at = [], 0

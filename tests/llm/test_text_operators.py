@@ -5,13 +5,14 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 
 from llm_common import AWKWARD, corpus, documents, prose
 from recordflow.llm import common
 from recordflow.llm.pii import base_spans, entity_of, outside, personal_spans, sanitise, sanitised, span_report
 from recordflow.llm.quality import failing_rule, keep_clean, line_quality, repeated_words, split_lines
 from recordflow.llm.shingles import word_hashes
-from recordflow.llm.substring import cut_spans, repeated_spans, units, without
+from recordflow.llm.substring import repeated_spans, units, without, without_repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -74,24 +75,29 @@ def test_repeated_words_of_overlapping_windows():
 # -- substring dedup -----------------------------------------------------------
 
 
+def key_of(text):
+    """Spark's hash of a text: xxHash64 with seed 42, signed."""
+    return int(np.uint64(xxhash.xxh64_intdigest(text.encode(), 42)).view(np.int64))
+
+
 def brute_repeats(rows, min_words=8, unit_words=3):
     seen, marked = {}, {}
-    docs = sorted({(i, t) for i, t in rows if i is not None and t})
-    for i, t in docs:
+    docs = sorted({(i, key_of(t), t) for i, t in rows if i is not None and t})
+    for i, key, t in docs:
         for number, (a, b, unit) in enumerate(units(t)):
             words = unit.lower().split()
             if len(words) >= unit_words:
-                first = seen.setdefault(" ".join(words), (i, a))
-                if first != (i, a):
-                    marked.setdefault(i, []).append((number, a, b, len(words)))
+                first = seen.setdefault(" ".join(words), (i, key, a))
+                if first != (i, key, a):
+                    marked.setdefault((i, key), []).append((number, a, b, len(words)))
     out = set()
-    for i, found in marked.items():
+    for (i, key), found in marked.items():
         run = []
         for k, item in enumerate(found):
             run.append(item)
             if k + 1 == len(found) or found[k + 1][0] > item[0] + 1:
                 if sum(x[3] for x in run) >= min_words:
-                    out |= {(i, a, b) for _, a, b, _ in run}
+                    out |= {(i, key, a, b) for _, a, b, _ in run}
                 run = []
     return out
 
@@ -111,8 +117,9 @@ def test_repeats_equal_brute_force(spark):
             text[at:at] = rnd.choice(passages)
         rows.append((i, rnd.choice([" ", "\n"]).join(text)))
     rows += [(40, "Short one. " * 5), (41, "Short one."), (900, None), (901, ""), (None, rows[0][1]), rows[3]]
+    rows += [(7, " ".join(passages[0] + sentences(333, 3))), (7, " ".join(sentences(334, 2) + passages[0])), (7, rows[7][1])]
     got = repeated_spans(documents(spark, rows).repartition(4)).collect()
-    assert {(r.doc_id, r.start, r.end) for r in got} == brute_repeats(rows)
+    assert {(r.doc_id, r.text_key, r.start, r.end) for r in got} == brute_repeats(rows)
     assert len(got) == len(brute_repeats(rows))
     assert all(r.kept_doc_id <= r.doc_id for r in got)
     assert repeated_spans(documents(spark, [])).collect() == []
@@ -122,13 +129,21 @@ def test_spans_are_cut_and_all_columns_stay(spark):
     passage = " ".join(sentences(77, 8))
     rows = [(1, "Own words open this one. " + passage), (2, "Another text opens here now. " + passage + " And ends."), (3, "Untouched  text."), (None, passage), (4, None)]
     docs = documents(spark, rows)
-    out = {r.doc_id: r for r in cut_spans(docs, repeated_spans(docs).select("doc_id", "start", "end")).collect()}
+    out = {r.doc_id: r for r in without_repeats(docs).collect()}
     assert out[1].text == rows[0][1] and out[3].text == "Untouched  text." and out[4].text is None
     assert out[2].text == "Another text opens here now. And ends." and out[2].n_chars == len(out[2].text)
     assert out[None].text == passage
     assert without("abc def ghi", [(4, 7)]) == "abc ghi"
 
 
+def test_rows_that_share_an_id_lose_their_own_repeats_only(spark):
+    passage = " ".join(sentences(78, 6))
+    other = "A wholly different text that happens to share the id and must not be cut at all here."
+    rows = [(0, passage), (1, "Opening words stand here. " + passage), (1, other), (1, passage + " And more."), (1, None), (None, passage)]
+    got = sorted(str((r.doc_id, r.text)) for r in without_repeats(documents(spark, rows)).collect())
+    assert got == sorted(map(str, [(0, passage), (1, "Opening words stand here. "), (1, other), (1, "And more."), (1, None), (None, passage)]))
+
+
 # -- personal data -------------------------------------------------------------
 
 FORMS = {
