@@ -1,6 +1,8 @@
 """Every bound query against its reference SQL on the smallest data set."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -27,3 +29,14 @@ def test_query(spark, con, name):
     frame = bindings.queries()[name](spark, FOLDER)
     assert frame.columns == list(dict.fromkeys(frame.columns))
     assert difference(frame, con, bindings.oracle_sql()[name]) is None
+
+
+def test_a_missing_optional_library_disables_its_queries_only(tmp_path):
+    """Without a library of the training-data operators the other queries are there, and a warning says why."""
+    (tmp_path / "tokenizers.py").write_text("raise ImportError('no tokenizers here', name='tokenizers')\n")
+    (tmp_path / "ahocorasick.py").write_text("raise ImportError('no ahocorasick here', name='ahocorasick')\n")
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'denormalize' in q and not any(n.startswith('op') and n[2].isdigit() for n in q); assert set(e.oracle_sql()) <= set(q)"
+    done = subprocess.run([sys.executable, "-W", "always", "-c", code], env=os.environ | {"PYTHONPATH": f"{tmp_path}:{root}"}, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+    assert "left out" in done.stderr
