@@ -1,14 +1,20 @@
 """Licence scan: TF-IDF cosine of headers and licence files to templates, then inheritance along paths.
 
-Units are the lines of a file that speak of a licence, SPDX tags, the words
-around a cue cut as the templates lie around theirs, and the whole text of a
-file named like a licence file. Words run across line ends and comment marks, so
-a notice inside a long line or wrapped over several is a unit of its own. An SPDX
-tag is one term with its identifier and fits no other licence. Each is a sparse TF-IDF vector, with document
-counts over all words of all files, joined term by term to the templates. A file
-takes the licence of its best unit. A file without one inherits from the nearest
-ancestor directory that holds a licence file, found by joining its directories'
-paths.
+Units are the lines of a file that speak of a licence, the words around a cue
+cut as the templates lie around theirs, and the whole text of a file named like
+a licence file. Words run across line ends and comment marks, so a notice inside
+a long line or wrapped over several is a unit of its own. Each is a sparse TF-IDF
+vector, with document counts over all words of all files, joined term by term to
+the templates.
+
+Texts of one family differ in few words, so the cosine alone confuses them: a
+template wins only if the unit has its version and its qualifiers (Lesser,
+Affero, NonCommercial, ...), and a short unit no other qualifier. An SPDX tag
+states its licences itself, known to the templates or not.
+
+A file takes the licence of its best unit. A file without one inherits from the
+nearest ancestor directory that holds a licence file, found by joining its
+directories' paths.
 """
 
 from __future__ import annotations
@@ -44,33 +50,81 @@ TEMPLATES = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Proprietary", "All rights reserved"),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
-    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
-    ("CC-BY-4.0", "SPDX-License-Identifier: CC-BY-4.0"),
-    ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0+"),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
-    ("MIT", "SPDX-License-Identifier: MIT"),
-    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("AGPL-3.0", "GNU Affero General Public License, version 3"),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0"),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0"),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0"),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("GPL-2.0", "GNU General Public License, version 2"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "GNU General Public License, version 3"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-2.1", "GNU Lesser General Public License, version 2.1"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "GNU Lesser General Public License, version 3"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 #: Stands beside notices of any licence, so it yields to one that is named.
 RESERVED = "Proprietary"
 THRESHOLD = 0.6
-CUE = re.compile(r"licen[cs]e|copyright|spdx|all rights reserved|redistribut|permission is hereby", re.IGNORECASE)
+CUE = re.compile(r"licen[cs]e|copyright|all rights reserved|redistribut|permission is hereby|permission to use|unencumbered|\bcc by\b", re.IGNORECASE)
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicen[cs]e|notice)([-_.][^/]*)?$"
 _NAME = re.compile(LICENCE_FILE.removeprefix("(?i)"), re.IGNORECASE)
 _TERM = re.compile(r"[0-9A-Za-z\x80-\U0010FFFF]+")
 
 
-_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*\(*([0-9A-Za-z](?:[0-9A-Za-z.+-]*[0-9A-Za-z+])?)", re.IGNORECASE)
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([0-9A-Za-z(][0-9A-Za-z.+() \t-]*)", re.IGNORECASE)
+_SPDX_WORD = re.compile(r"[()]|[0-9A-Za-z.+-]+")
+# Words that tell licences of a family apart, in the forms of titles and of short names.
+_QUALIFIERS = {
+    "affero": "affero", "lesser": "lesser", "noncommercial": "nc", "nc": "nc", "noderivatives": "nd", "noderivs": "nd", "nd": "nd", "sharealike": "sa", "sa": "sa",
+}
+_VERSION = re.compile(r"(?<![0-9.])([0-9]{1,2}(?:\.[0-9]{1,2})?)(?![0-9]|\.[0-9])")
+#: Units of more words may speak of other licences besides their own.
+SHORT = 100
+
+
+def marks(text: str) -> set[str]:
+    """The version numbers of a text (2.0 is 2) and its qualifiers."""
+    versions = {v[1].removesuffix(".0") for v in _VERSION.finditer(text)}
+    return versions | {_QUALIFIERS[w] for w in _TERM.findall(text.lower()) if w in _QUALIFIERS}
+
+
+def fits(needed: set[str], found: set[str], n_words: int) -> bool:
+    """Has a unit all versions and qualifiers of a template, and a short one no other qualifier?"""
+    others = found & set(_QUALIFIERS.values())
+    return needed <= found and (n_words > SHORT or others <= needed)
+
+
+def spdx_expression(tag: str) -> str:
+    """The ids of a tag's expression in their usual spelling, with its operators; text after the expression is left out."""
+    out, due = [], True  # is an id due?
+    for word in _SPDX_WORD.findall(tag):
+        if word in "()":
+            continue
+        if not due:
+            if word not in ("OR", "AND", "WITH"):
+                break
+            out.append(word)
+        else:
+            plain = word.rstrip(".+-").removesuffix("-only").removesuffix("-or-later")
+            out.append(_KNOWN.get(plain.lower(), plain))
+        due = not due
+    return " ".join(out if not due else out[:-1])
+
+
+_KNOWN = {name.lower(): name for name, _ in TEMPLATES if name != RESERVED}
 
 
 def terms(text: str) -> list[bytes]:
-    """The words, and each SPDX tag as one term."""
-    tags = [f"spdx:{m[1].lower()}".encode() for m in _SPDX.finditer(text)]
-    return tags + [t.encode("utf-8", "surrogatepass") for t in _TERM.findall((_SPDX.sub(" ", text) if tags else text).lower())]
+    """The words, less SPDX tags."""
+    return [t.encode("utf-8", "surrogatepass") for t in _TERM.findall(_SPDX.sub(" ", text).lower())]
 
 
 def counted(text: str) -> list[dict]:
@@ -83,13 +137,12 @@ def cue_places(templates) -> dict[str, set[tuple[int, int]]]:
     """For the word or else the kind of a cue: how many words of a template stand before its place, and from it on."""
     places = defaultdict(set)
     for _, text in templates:
-        if not _SPDX.search(text):
-            words = list(_TERM.finditer(text))
-            starts = [w.start() for w in words]
-            for cue in CUE.finditer(text):
-                k = bisect_right(starts, cue.start()) - 1
-                places[words[k].group().lower()].add((k, len(words) - k))
-                places[_kind(cue)].add((k, len(words) - k))
+        words = list(_TERM.finditer(text))
+        starts = [w.start() for w in words]
+        for cue in CUE.finditer(text):
+            k = bisect_right(starts, cue.start()) - 1
+            places[words[k].group().lower()].add((k, len(words) - k))
+            places[_kind(cue)].add((k, len(words) - k))
     return dict(places)
 
 
@@ -98,7 +151,7 @@ def _kind(cue: re.Match) -> str:
 
 
 def file_units(path: str, text: str, places: dict[str, set[tuple[int, int]]]) -> Iterator[tuple[int, int, str]]:
-    """``(start, end, unit)``: all of a licence file, lines with a cue, SPDX tags, and the words around each cue as templates have them."""
+    """``(start, end, unit)``: all of a licence file, lines with a cue, and the words around each cue as templates have them."""
     if _NAME.match(path.rpartition("/")[2]):
         yield 0, len(text), text
     cues = list(CUE.finditer(text))
@@ -111,17 +164,10 @@ def file_units(path: str, text: str, places: dict[str, set[tuple[int, int]]]) ->
             yield start, end, text[start:end]
     if not cues:
         return
-    in_tag = -1
-    tags = {m.start(): m.end() for m in _SPDX.finditer(text)}
     spans = [m.span() for m in _TERM.finditer(text)]
     starts = [a for a, _ in spans]
     seen = set()
     for cue in cues:
-        if cue.start() in tags:
-            in_tag = tags[cue.start()]
-            yield cue.start(), in_tag, text[cue.start() : in_tag]
-        if cue.start() < in_tag:
-            continue
         k = bisect_right(starts, cue.start()) - 1
         a, b = spans[k]
         for before, on in places.get(text[a:b].lower()) or places.get(_kind(cue), ()):
@@ -133,12 +179,15 @@ def file_units(path: str, text: str, places: dict[str, set[tuple[int, int]]]) ->
 
 
 _UNITS = pa.schema(
-    [("unit", pa.int64()), ("path", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("terms", pa.list_(pa.struct([("t", pa.int64()), ("tf", pa.int64())])))]
+    [("unit", pa.int64()), ("path", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("stated", pa.string()), ("fits", pa.list_(pa.int32()))]
+    + [("terms", pa.list_(pa.struct([("t", pa.int64()), ("tf", pa.int64())])))]
 )
 
 
 def units(files: DataFrame, templates=TEMPLATES) -> DataFrame:
+    """``(unit, path, start, end, stated, fits, terms)``: ``stated`` is an SPDX tag's expression, ``fits`` the templates that may win."""
     places = cue_places(templates)
+    needed = [marks(text) for _, text in templates]
 
     def build(batches):
         base, count = TaskContext.get().partitionId() << 40, 0
@@ -146,13 +195,20 @@ def units(files: DataFrame, templates=TEMPLATES) -> DataFrame:
         def rows(batch):
             nonlocal count
             for path, cell in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for start, end, unit in file_units(path, cell.as_py() or "", places):
+                text = cell.as_py() or ""
+                for tag in _SPDX.finditer(text):
+                    stated = spdx_expression(tag[1])
+                    if stated:
+                        count += 1
+                        yield base + count, path, tag.start(), tag.end(), stated, [], []
+                for start, end, unit in file_units(path, text, places):
                     count += 1
-                    yield base + count, path, start, end, counted(unit)
+                    found, n_words = marks(unit), len(_TERM.findall(unit))
+                    yield base + count, path, start, end, None, [k for k, need in enumerate(needed) if fits(need, found, n_words)], counted(unit)
 
         yield from rows_of(batches, _UNITS, rows)
 
-    return files.where("path IS NOT NULL").select("path", "text").mapInArrow(build, "unit long, path string, start long, end long, terms array<struct<t:bigint,tf:bigint>>")
+    return files.where("path IS NOT NULL").select("path", "text").mapInArrow(build, "unit long, path string, start long, end long, stated string, fits array<int>, terms array<struct<t:bigint,tf:bigint>>")
 
 
 def header_licences(files: DataFrame, stages: Stages, templates, threshold: float) -> DataFrame:
@@ -173,8 +229,10 @@ def header_licences(files: DataFrame, stages: Stages, templates, threshold: floa
     sizes = template.groupBy("template").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tnorm"))
     template = F.broadcast(template.join(sizes, "template"))  # a few hundred rows, as many as the templates have words
     dot = weighed.join(template, "t").groupBy("unit", "template", "licence").agg((F.sum(F.col("w") * F.col("tw")) / F.first("tnorm")).alias("dot"))
-    scored = dot.join(norm, "unit").select("unit", "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("score")).where(F.col("score") >= threshold)
-    best = scored.join(found.select("unit", "path", "start", "end"), "unit")
+    scored = dot.join(norm, "unit").select("unit", "template", "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("score")).where(F.col("score") >= threshold)
+    best = scored.join(found.select("unit", "path", "start", "end", "fits"), "unit").where("array_contains(fits, template)")
+    stated = found.where("stated IS NOT NULL").select("path", F.col("stated").alias("licence"), F.lit(1.0).alias("score"), "start", "end")
+    best = best.select(*stated.columns).unionByName(stated)
     first = F.struct((F.col("licence") == RESERVED).alias("reserved"), -F.col("score"), "licence", "start", "end", "score")
     return best.groupBy("path").agg(F.min(first).alias("b")).select("path", "b.licence", "b.score", "b.start", "b.end")
 
@@ -189,7 +247,9 @@ def scan_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRE
 
     ``origin`` is header (a notice in the file), file (a licence file), inherited
     (the nearest ancestor directory with a licence file; ``from_path`` is that
-    directory) or null. The best score wins, then the smaller licence name; "all
+    directory) or null. An SPDX tag gives its whole expression ("Apache-2.0 OR
+    MIT"), also of ids that no template has; such a file inherits nothing. Texts
+    of any length are scanned whole. The best score wins, then the smaller licence name; "all
     rights reserved" alone yields to any named licence. A null path has no licence; rows that share a path are one file with
     one answer each; null and empty texts have no units; other columns are
     ignored; an empty table gives no rows.

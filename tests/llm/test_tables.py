@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from llm_common import AWKWARD, corpus, documents
+from llm_common import AWKWARD, corpus, documents, prose
 from recordflow.llm.html_text import page_texts, visible_text
 from recordflow.llm.licenses import CUE, TEMPLATES, scan_licences, terms
 from recordflow.llm.neighbours import Tile, nearest
@@ -211,6 +211,16 @@ def test_broken_pages_are_no_error(spark):
 # -- licences ------------------------------------------------------------------
 
 
+def told_apart(unit, template):
+    """Versions and qualifiers, by words: the template's are all there, and no other qualifier in a short unit."""
+    words = lambda t: re.findall(r"[0-9]+(?:\.[0-9]+)*|[^\W\d_]+", t.lower())
+    alike = {"noncommercial": "nc", "noderivatives": "nd", "noderivs": "nd", "sharealike": "sa"}
+    qualifiers = lambda t: {alike.get(w, w) for w in words(t)} & {"affero", "lesser", "nc", "nd", "sa"}
+    versions = lambda t: {w.removesuffix(".0") for w in words(t) if re.fullmatch(r"[0-9]{1,2}(\.[0-9]{1,2})?", w)}
+    short = len(re.findall(r"[0-9A-Za-z\x80-\U0010FFFF]+", unit)) <= 100
+    return versions(template) <= versions(unit) and (qualifiers(template) == qualifiers(unit) if short else qualifiers(template) <= qualifiers(unit))
+
+
 def brute_licences(files, threshold):
     """Cosine and inheritance by the definitions, in plain Python."""
     known = sorted({p for p, _ in files if p is not None})
@@ -234,7 +244,7 @@ def brute_licences(files, threshold):
     own = {}
     for p in known:
         units = [line for t in text[p] for line in t.split("\n") if CUE.search(line)] + [t for t in text[p] if is_file(p)]
-        scored = [(-round(cosine(vector(u), vector(s)), 9), name) for u in units for name, s in TEMPLATES]
+        scored = [(-round(cosine(vector(u), vector(s)), 9), name) for u in units for name, s in TEMPLATES if told_apart(u, s)]
         scored = [x for x in scored if -x[0] >= threshold]
         if scored:
             own[p] = min(scored)
@@ -290,11 +300,26 @@ def test_notices_inside_other_text(spark):
     ]
     got = {r.path: (r.licence, r.origin) for r in scan_licences(spark.createDataFrame(files, "path string, text string")).collect()}
     assert got == {
-        "a/LICENSE": ("MIT", "file"), "a/min.js": ("Apache-2.0", "header"), "a/tag.c": ("GPL-3.0", "header"), "a/one.js": ("MPL-2.0", "header"), "a/isc.c": ("MIT", "inherited"),
+        "a/LICENSE": ("MIT", "file"), "a/min.js": ("Apache-2.0", "header"), "a/tag.c": ("GPL-3.0", "header"), "a/one.js": ("MPL-2.0 OR MIT", "header"), "a/isc.c": ("ISC", "header"),
         "a/wrap.py": ("GPL-3.0", "header"), "a/prose.txt": ("CC-BY-4.0", "header"), "a/both.c": ("BSD-3-Clause", "header"), "a/none.c": ("MIT", "inherited"),
     }
 
 
+def test_licences_of_one_family_are_told_apart(spark):
+    files = {
+        "gpl2.c": ("Licensed under the GNU General Public License, version 2", "GPL-2.0"), "gpl3.c": ("under the GNU General Public License, version 3 only", "GPL-3.0"),
+        "agpl.c": ("This work is licensed under the GNU Affero General Public License v3", "AGPL-3.0"), "sa.c": ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "CC-BY-SA-4.0"),
+        "by.c": ("This work is licensed under a Creative Commons Attribution 4.0 International License", "CC-BY-4.0"), "by3.c": ("This work is licensed under a Creative Commons Attribution 3.0 International License", None),
+        "a/LICENSE": ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n" + " ".join(prose(5, 300)), "LGPL-3.0"), "a/x.c": ("nothing", "LGPL-3.0"),
+        "two.c": ("# SPDX-License-Identifier: Apache-2.0 OR MIT", "Apache-2.0 OR MIT"), "with.c": ("/* SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 */", "GPL-2.0 WITH Classpath-exception-2.0"),
+        "a/isc.c": ("# SPDX-License-Identifier: ISC", "ISC"), "a/odd.c": ("# SPDX-License-Identifier: LicenseRef-Own and more", "LicenseRef-Own"), "a/dash.c": ("-- SPDX-License-Identifier: mit -->", "MIT"),
+        "apache1.c": ("Licensed under the Apache License, Version 1.1", None), "none.c": ("GNU General Public License", None), "isc2.c": (dict(TEMPLATES)["ISC"], "ISC"), "nc.c": ("Licensed under CC BY-NC-SA 4.0", "CC-BY-NC-SA-4.0"),
+        "COPYING": (None, None), "empty/LICENSE": ("", None), "empty/x.c": ("plain", None),
+    }
+    got = {r.path: r.licence for r in scan_licences(spark.createDataFrame([(p, t) for p, (t, _) in files.items()], "path string, text string")).collect()}
+    assert got == {p: want for p, (_, want) in files.items()}
+
+
 def test_paths_of_documents(spark):
     from recordflow.llm.queries import document_path
 
