@@ -147,18 +147,15 @@ def members_long(t):
 
 @bind(
     "sets_in_chunks",
-    """SELECT segment, field, chunk, string_agg(value, '||' ORDER BY value) AS members FROM (
-         SELECT *, (row_number() OVER (PARTITION BY segment, field ORDER BY value) - 1) // 1000000 + 1 AS chunk FROM (
-           SELECT DISTINCT c_mktsegment AS segment, 'customers' AS field, c_name AS value FROM customer UNION
-           SELECT DISTINCT c_mktsegment, 'nations', CAST(c_nationkey AS VARCHAR) FROM customer))
-       GROUP BY segment, field, chunk""",
+    """SELECT source, field, count(*) AS n, CASE WHEN count(*) <= 60 THEN string_agg(value, '||' ORDER BY value) END AS text FROM (
+         SELECT DISTINCT source, 'documents' AS field, CAST(doc_id AS VARCHAR) AS value FROM documents UNION
+         SELECT DISTINCT source, 'languages', lang FROM documents)
+       GROUP BY source, field""",
 )
 def sets_in_chunks(t):
-    """Few keys with many members: the cells of each put together again (their cuts follow the partitions)."""
-    values = {"customers": F.col("c_name"), "nations": F.col("c_nationkey")}
-    chunks = chunked_sets(t.customer, "c_mktsegment", values, cell=100)
-    whole = joined_below(chunks, "c_mktsegment", most=1_000_000)
-    return whole.select(F.col("c_mktsegment").alias("segment"), "field", F.lit(1).cast("long").alias("chunk"), F.col("text").alias("members"))
+    """Few keys with many members, one of them with a third of all: numbered cells, joined to text only below a bound."""
+    values = {"documents": F.col("doc_id"), "languages": F.col("lang")}
+    return joined_below(chunked_sets(t.documents, "source", values, cell=500), "source", most=60)
 
 
 @bind(

@@ -72,17 +72,17 @@ def scan_csv_mixed_headers(t):
 
 @bind(
     "scan_mixed_one_pass",
-    """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name || '; "' || p_brand || '"' AS label,
-              CASE WHEN p_size <= 25 THEN p_size END AS p_size, CASE WHEN p_size > 25 THEN p_type END AS type_of_second FROM part""",
+    """SELECT doc_id, source || '; "' || lang || '"' AS label, CASE WHEN lang = 'en' THEN n_chars END AS n_chars,
+              CASE WHEN lang <> 'en' THEN lang END AS lang_of_second FROM documents""",
 )
 def scan_mixed_one_pass(t):
     """Two exports in one folder, read by the data source that takes each file's own header; undeclared columns go to a map."""
-    path, small = scratch_path(t.spark, "scan-one-pass"), F.col("p_size") <= 25
-    label = F.concat("p_name", F.lit('; "'), "p_brand", F.lit('"')).alias("label")
-    write_records_csv(t.part.where(small).select("p_partkey", label, "p_size"), f"{path}/first")
-    write_records_csv(t.part.where(~small).select("p_type", label, "p_partkey"), f"{path}/second")
-    read = read_mixed_records(t.spark, f"{path}/*", "p_partkey string, label string, p_size int", rest=True)
-    return read.select("p_partkey", "label", "p_size", F.col(REST)["p_type"].alias("type_of_second"))
+    path, first = scratch_path(t.spark, "scan-one-pass"), F.col("lang") == "en"
+    label = F.concat("source", F.lit('; "'), "lang", F.lit('"')).alias("label")
+    write_records_csv(t.documents.where(first).select("doc_id", label, "n_chars"), f"{path}/first")
+    write_records_csv(t.documents.where(~first).select("lang", label, "doc_id"), f"{path}/second")
+    read = read_mixed_records(t.spark, f"{path}/*", "doc_id long, label string, n_chars long", rest=True)
+    return read.select("doc_id", "label", "n_chars", F.col(REST)["lang"].alias("lang_of_second"))
 
 
 @bind("scan_pruned_fallback", "SELECT 'N/A' AS id_arquivo_acervo, p_name AS nome_arquivo_gravado FROM part")
@@ -117,13 +117,13 @@ def sink_overwrite(t):
     return read_csv_as_text(t.spark, path)
 
 
-@bind("sink_versions", "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name FROM part")
+@bind("sink_versions", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, source FROM documents")
 def sink_versions(t):
     """Two versions, and a third whose writer was lost before its last step: readers keep the second."""
     path = scratch_path(t.spark, "versions")
-    write_version(t.part.select("p_partkey", "p_brand"), path)
-    write_version(t.part.select("p_partkey", "p_name"), path)
-    write_records_csv(t.part.select("p_partkey", "p_type"), f"{path}/data/000000000002.unfinished")
+    write_version(t.documents.select("doc_id", "lang"), path)
+    write_version(t.documents.select("doc_id", "source"), path)
+    write_records_csv(t.documents.select("doc_id", "n_chars"), f"{path}/data/000000000002.unfinished")
     return read_csv_as_text(t.spark, current_path(t.spark, path))
 
 

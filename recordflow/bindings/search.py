@@ -107,6 +107,25 @@ def search_index_query(t):
     return reduce(DataFrame.unionAll, [df.select(F.lit(kind).alias("kind"), "id", "names") for kind, df in found.items()])
 
 
+# Addresses cut at their marks, as cells of many members.
+PARTS = "(SELECT CAST(page_id AS VARCHAR) AS id, regexp_replace(url, '[/?&#.]+', '||', 'g') AS names FROM pages)"
+
+
+@bind(
+    "search_index_pages",
+    f"""SELECT 'member' AS kind, id, names FROM {PARTS} WHERE {_MEMBER.format("es")}
+        UNION ALL SELECT 'id', id, names FROM {PARTS} WHERE {_MEMBER.format("41")}
+        UNION ALL SELECT 'inside', id, names FROM {PARTS} WHERE contains(lower(names), 'org||fr') OR contains(id, 'org||fr')
+        UNION ALL SELECT 'pattern', id, names FROM {PARTS} WHERE regexp_matches(names, 'net.*/*9$', 'i') OR regexp_matches(id, 'net.*/*9$', 'i')""",
+)
+def search_index_pages(t):
+    """The same over the addresses of all pages; some members stand in most of them."""
+    parts = t.pages.select(F.col("page_id").cast("string").alias("id"), F.regexp_replace("url", "[/?&#.]+", SEPARATOR).alias("names"))
+    index = build_search_index(parts, scratch_path(t.spark, "page-index"), "id", "names")
+    found = {"member": index.exact("es"), "id": index.exact("41"), "inside": index.contains("org||fr"), "pattern": index.lookup("net.*/*9$")}
+    return reduce(DataFrame.unionAll, [df.select(F.lit(kind).alias("kind"), "id", "names") for kind, df in found.items()])
+
+
 @bind("lookup_numeric_id", "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderkey = 77")
 def lookup_numeric_id(t):
     return lookup(t.orders.select("o_orderkey", "o_orderpriority"), "77", "o_orderkey", "o_orderpriority")
@@ -254,21 +273,21 @@ def paginate_all(t):
 
 @bind(
     "paginate_directory",
-    """SELECT page, o_orderkey, o_totalprice, position FROM (
-         SELECT o_orderkey, o_totalprice, (row_number() OVER w - 1) // 50 + 1 AS page, CAST((row_number() OVER w - 1) % 50 AS INTEGER) AS position
-         FROM orders WINDOW w AS (ORDER BY o_orderpriority DESC, o_orderkey)) WHERE page IN (1, 7, 31)""",
+    """SELECT page, doc_id, n_chars, position FROM (
+         SELECT doc_id, n_chars, (row_number() OVER w - 1) // 50 + 1 AS page, CAST((row_number() OVER w - 1) % 50 AS INTEGER) AS position
+         FROM documents WINDOW w AS (ORDER BY n_chars DESC, doc_id)) WHERE page IN (1, 3, 4)""",
 )
 def paginate_directory(t):
-    """Three pages by the ranges of one directory, with the place of each row on its page."""
-    orders = t.orders
-    directory = build_page_directory(orders, scratch_path(t.spark, "pages"), [By("o_orderpriority", descending=True), "o_orderkey"], stride=200)
+    """Three pages by the ranges of one directory over all rows, with the place of each row on its page."""
+    rows = t.documents.select("doc_id", "n_chars")
+    directory = build_page_directory(rows, scratch_path(t.spark, "pages"), [By("n_chars", descending=True), "doc_id"], stride=1000)
     pages = []
-    for number in (1, 7, 31):
-        rows = directory.page(orders, 50, number).agg(F.sort_array(F.collect_list(F.struct(F.col("o_orderpriority").alias("p"), "o_orderkey", "o_totalprice"))).alias("r"))
-        # At most a page of rows: by priority from the last, then by key.
-        ordered = F.array_sort("r", lambda a, b: F.when(a["p"] != b["p"], F.when(a["p"] > b["p"], -1).otherwise(1)).otherwise(F.when(a["o_orderkey"] < b["o_orderkey"], -1).otherwise(1)))
-        pages.append(rows.select(F.lit(number).cast("long").alias("page"), F.posexplode(ordered).alias("position", "o")))
-    return reduce(DataFrame.unionAll, pages).select("page", "o.o_orderkey", "o.o_totalprice", "position")
+    for number in (1, 3, 4):
+        # A page of rows at most: the longest first, then by id.
+        place = F.struct((-F.col("n_chars")).alias("n"), "doc_id")
+        held = directory.page(rows, 50, number).agg(F.sort_array(F.collect_list(place)).alias("r"))
+        pages.append(held.select(F.lit(number).cast("long").alias("page"), F.posexplode("r").alias("position", "o")))
+    return reduce(DataFrame.unionAll, pages).select("page", "o.doc_id", (-F.col("o.n")).alias("n_chars"), "position")
 
 
 @bind("page_count", "SELECT count(*) AS rows, CAST(ceil(count(*) / 50.0) AS BIGINT) AS pages FROM orders")
