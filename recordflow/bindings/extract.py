@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recordflow.bindings.archive_sql import archive_sql, member_sql
+from recordflow.bindings.archive_sql import archive_sql, flat_sql, member_sql
 from recordflow.bindings.archive_tables import ARCHIVE_CTES, archive_tables
 from recordflow.bindings.registry import bind
-from recordflow.bindings.wide_sql import wide_sql
 from recordflow.functions.text import as_text
 from recordflow.operators.filters import exclude_value, published_only
 from recordflow.operators.joins import (
@@ -322,7 +321,7 @@ def extract_archive_members(t):
     return member_rows(archive_tables(t), archive_spec(ARCHIVE_URL, unique_key=True))
 
 
-@bind("extract_archive_ids", ARCHIVE_CTES + wide_sql(archive_spec(url_source="tx.id_arquivo_anexo", file_names=False)))
+@bind("extract_archive_ids", ARCHIVE_CTES + archive_sql("", ids=True))
 def extract_archive_ids(t):
     """An earlier form: attachments by id, no file names."""
     return denormalize(archive_tables(t), archive_spec(url_source="tx.id_arquivo_anexo", file_names=False, unique_key=True))
@@ -334,7 +333,7 @@ def extract_archive_protocols(t):
     return denormalize(archive_tables(t), archive_spec(ARCHIVE_URL, ignore_case=True, protocol_rows=True, unique_key=True))
 
 
-@bind("extract_archive_flat", ARCHIVE_CTES + wide_sql(flat_spec(), flat="tx"))
+@bind("extract_archive_flat", ARCHIVE_CTES + flat_sql())
 def extract_archive_flat(t):
     """The flat archive rows, attachments expanded, other sets as text."""
     flat = flat_extract(archive_tables(t), flat_spec(unique_key=True), expand="tx")
@@ -358,7 +357,7 @@ def extract_archive_flat(t):
              AS ic_tem_iconografico,
            id_arquivo_acervo_pai <> '' AS ic_tem_arquivo_pai,
            CAST(year(TRY_CAST(dt_emissao_etiqueta AS TIMESTAMP)) AS BIGINT) AS nu_ano_emissao_etiqueta
-    FROM ({wide_sql(archive_spec(ARCHIVE_URL))}) w""")
+    FROM ({archive_sql(ARCHIVE_URL)}) w""")
 def structure_archive(t):
     """The structured extract: 84 columns."""
     return structure_extract(extract_archive(archive_tables(t), ARCHIVE_URL, ordered=False, unique_key=True))

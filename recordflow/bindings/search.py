@@ -8,17 +8,20 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from recordflow.bindings.expressions import STATUS
+from recordflow.bindings.extract import denormalize_orders
 from recordflow.bindings.registry import bind
+from recordflow.bindings.runs import runs
 from recordflow.functions.multivalue import SEPARATOR, split_values
 from recordflow.operators.directory import By, build_page_directory
 from recordflow.operators.manifest import attachment_manifest, url_params, url_params_grouped
 from recordflow.operators.outcomes import outcome_failures, outcome_summary
-from recordflow.operators.paging import number_rows, page, page_after, page_count, sort_nulls_last, top_n
+from recordflow.operators.paging import number_rows, number_sorted, page, page_after, page_count, sort_nulls_last, top_n
 from recordflow.operators.search import (
     LOOKUP_SIZE, SEARCH_SIZE, lookup, search_contains, search_exact, search_exact_or_partial, search_records,
 )
 from recordflow.operators.search_index import build_search_index
 from recordflow.operators.sets import distinct_join
+from recordflow.sources.history import history_recent
 from recordflow.session import scratch_path
 from recordflow.sources.tables import capped
 
@@ -235,6 +238,30 @@ def sort_nulls_last_query(t):
     return sort_nulls_last(t.orders.select("o_orderkey", priority, "o_custkey"), "priority", "o_custkey", "o_orderkey")
 
 
+@bind(
+    "row_order",
+    f"""SELECT 'sorted' AS kind, CAST(o_orderkey AS VARCHAR) AS key, row_number() OVER (ORDER BY priority NULLS LAST, o_custkey, o_orderkey) AS row_no
+        FROM (SELECT *, nullif(o_orderpriority, '4-NOT SPECIFIED') AS priority FROM orders)
+        UNION ALL SELECT 'recent', CAST(event_id AS VARCHAR), row_number() OVER (ORDER BY strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') DESC, CAST(event_id AS VARCHAR)) FROM events
+        UNION ALL SELECT 'labels', label, row_number() OVER (ORDER BY label)
+        FROM (SELECT DISTINCT '[' || id || '] ' || file AS label FROM (SELECT id, unnest(string_split(names, '||')) AS file FROM {CELLS}))
+        UNION ALL SELECT 'extract', CAST(o_orderkey AS VARCHAR), row_number() OVER (ORDER BY o_orderkey) FROM orders WHERE o_orderstatus IS NULL OR o_orderstatus <> 'O'""",
+)
+def row_order(t):
+    """The place of every row in the outputs whose order is their purpose."""
+    priority = F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("priority")
+    ordered = {
+        "sorted": (sort_nulls_last(t.orders.select("o_orderkey", priority, "o_custkey"), "priority", "o_custkey", "o_orderkey"), "o_orderkey"),
+        "recent": (history_recent(runs(t)), "id"),
+        "labels": (attachment_manifest(cells(t), "id", "names", "https://files.example.org", "a").orderBy("label"), "label"),
+        "extract": (denormalize_orders(t), "o_orderkey"),
+    }
+    parts = [
+        number_sorted(df).select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key"), "row_no") for kind, (df, key) in ordered.items()
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 @bind("top_n", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
 def top_n_query(t):
     return top_n(t.orders.select("o_orderkey", "o_totalprice"), 10, F.desc("o_totalprice"), "o_orderkey")

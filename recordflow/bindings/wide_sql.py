@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recordflow.plans.wide import Bridge, Children, Field, WideSpec
+from recordflow.plans.wide import Bridge, Field, WideSpec
 
 
 def _value(f: Field) -> str:
@@ -66,35 +66,3 @@ def naive_sql(spec: WideSpec) -> str:
         f"SELECT {', '.join(columns)} FROM {spec.table} {spec.alias}\n{_joins(spec, _plain)}\n"
         f"{_where(spec)} GROUP BY {', '.join(keys)}"
     )
-
-
-def wide_sql(spec: WideSpec, flat: str | None = None) -> str:
-    """Every child table aggregated in a sub-query; ``flat`` names one that is joined as rows."""
-    def link_sql(link) -> str:
-        if not isinstance(link, Children) or link.alias == flat:
-            return _plain(link)
-        fields = [f for f in spec.fields if f.kind == "members" and f.sources[0].startswith(link.alias + ".")]
-        sets = ", ".join(
-            f"string_agg(DISTINCT {_value(f)}, '||' ORDER BY {_value(f)}) AS {f.name}" for f in fields
-        )
-        source, key = f"{link.table} {link.alias}", f"{link.alias}.{link.key}"
-        if isinstance(link, Bridge):
-            ids = f"{link.alias}_ids"
-            key = f"{ids}.{link.key}"
-            source = f"{link.table} {ids} JOIN {link.target} {link.alias} USING ({link.target_key})"
-        return (
-            f"LEFT JOIN (SELECT {key} AS _key, {sets} FROM {source} GROUP BY 1) {link.alias} "
-            f"ON {link.alias}._key = {link.parent}.{link.on}"
-        )
-
-    columns = []
-    for f in spec.fields:
-        alias = f.sources[0].split(".")[0] if f.sources else ""
-        member = f"coalesce({alias}.{f.name}, '')"
-        if alias == flat:
-            member = _value(f)
-        columns.append(f"{_render(f, member)} AS {f.name}")
-    distinct = "" if flat else "DISTINCT "
-    return (
-        f"SELECT {distinct}{', '.join(columns)} FROM {spec.table} {spec.alias}\n{_joins(spec, link_sql)}\n{_where(spec)}"
-    )

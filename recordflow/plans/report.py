@@ -159,5 +159,5 @@ def in_print_order(lines: DataFrame) -> DataFrame:
 
 
 def write_report(lines: DataFrame, path: str) -> None:
-    """One text file: a report has a few lines per column, not per row."""
-    in_print_order(lines).coalesce(1).write.mode("overwrite").text(path)
+    """Text files whose names sort as the lines do: distributions have a line per value and may be long."""
+    in_print_order(lines).write.mode("overwrite").text(path)
