@@ -1,5 +1,10 @@
 """Layout-aware text of HTML pages: a tree builder with implied tags, visibility rules, and a block renderer.
 
+Visibility comes from the element, its attributes, its style and the page's
+style sheets, as far as their selectors name elements, classes and ids (without
+combinators and at-rules). What is not displayed takes its contents with it;
+what is displayed but not visible may hold visible parts.
+
 The tree follows the usual repairs: void elements, raw text, end tags implied by
 a following start tag, table rows implied around cells, unclosed elements closed
 by their parents. The renderer emits all visible text: blocks on lines of their
@@ -10,6 +15,7 @@ with indentation, preformatted text as it is, and table cells padded to columns.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -19,13 +25,18 @@ from pyspark.sql import functions as F
 
 from recordflow.llm.common import on_workers, rows_of
 
-#: Deeper elements become siblings, as in browsers; so nesting is bounded.
+#: Deeper elements are flattened: their text, line breaks and visibility stay, their layout does not.
 MAX_DEPTH = 120
+#: Holds the text of a flattened element whose visibility is its own.
+SHELL = "#text"
 
 _words = lambda text: frozenset(text.split())
 VOID = _words("area base br col embed hr img input link meta param source track wbr")
+#: Raw text in which character references count.
+DECODED = _words("textarea title")
+PREFORMATTED = _words("pre xmp listing textarea")
 RAW = _words("script style textarea title noscript template iframe xmp noembed noframes")
-HIDDEN = _words("script style template head title noscript iframe noembed noframes datalist object audio video canvas annotation annotation-xml")
+HIDDEN = _words("script style template head title noscript iframe noembed noframes datalist object audio video canvas annotation annotation-xml rp")
 SPACED = _words("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr fieldset xmp listing")
 BLOCK = SPACED | _words(
     "html body div section article aside nav header footer main address li dt dd tr caption figcaption form legend details summary"
@@ -69,15 +80,42 @@ _STOP = re.compile(r"""(>)|=\s*(?:(["'])|[^\s>"'][^\s>]*)""")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SELF_CLOSED = re.compile(r"""(?:^|[\s"'])/$""")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
-_INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
+_PROPERTY = re.compile(r"(?:^|[;{\s])(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?", re.IGNORECASE)
+_CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL)
+_SELECTOR = re.compile(r"([a-zA-Z][a-zA-Z0-9]*|\*)?((?:[.#][\w-]+)*)")
+#: Bounds of HTML for spans of cells, and of whole numbers.
+MAX_COLSPAN, MAX_ROWSPAN, MAX_INT = 1000, 65534, 2147483647
+#: A column counts as this wide at most for where the next one starts; longer lines push the rest of their own row.
+COLUMN = 80
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children", "depth")
+    __slots__ = ("tag", "attributes", "children", "depth", "displayed", "visibility")
 
     def __init__(self, tag: str, attributes: str = "", depth: int = 0):
         self.tag, self.attributes, self.depth = tag, attributes, depth
         self.children: list[Node | str] = []
+        self.style(())
+
+    def style(self, rules: "tuple | Rules") -> None:
+        """Settle whether the element is displayed, and its own visibility if it has one."""
+        self.visibility: bool | None = None
+        self.displayed = self.tag not in HIDDEN and self.tag != "input"
+        if not self.displayed:
+            return
+        if self.tag == "dialog" and self.get("open") is None or self.get("hidden") is not None:
+            self.displayed = False
+        found = {}
+        if rules:
+            found = rules.of(self)
+        if self.attributes and (style := self.get("style")):
+            for name, (value, important) in properties(style).items():
+                if important or not found.get(name, ("", False))[1]:
+                    found[name] = value, important
+        if "display" in found:
+            self.displayed = found["display"][0] != "none"
+        if "visibility" in found:
+            self.visibility = {"visible": True, "hidden": False, "collapse": False}.get(found["visibility"][0])
 
     def get(self, name: str) -> str | None:
         """An attribute's value, empty if it has none, None if it is missing."""
@@ -89,6 +127,72 @@ class Node:
         return None
 
 
+def properties(style: str) -> dict[str, tuple[str, bool]]:
+    """``display`` and ``visibility`` of a list of declarations, with whether they are important; the last one counts."""
+    out: dict[str, tuple[str, bool]] = {}
+    for m in _PROPERTY.finditer(style):
+        name, important = m[1].lower(), bool(m[3])
+        if important or not out.get(name, ("", False))[1]:
+            out[name] = m[2].lower(), important
+    return out
+
+
+class Rules:
+    """Rules of style sheets that name an element, classes and ids, by the rarest part of their selector."""
+
+    def __init__(self, sheets: list[str]):
+        self.by_part: dict[str, list[tuple]] = {}
+        number = 0
+        for selectors, body in (pair for sheet in sheets for pair in _rule_sets(sheet)):
+            declared = properties(body)
+            for selector in selectors.split(",") if declared else ():
+                m = _SELECTOR.fullmatch(selector.strip())
+                if not m or not m.group():
+                    continue
+                tag, parts = (m[1] or "*").lower(), re.findall(r"[.#][\w-]+", m[2])
+                number += 1
+                rank = sum(x[0] == "#" for x in parts), sum(x[0] == "." for x in parts), tag != "*", number
+                self.by_part.setdefault(parts[0] if parts else tag, []).append((tag, frozenset(parts), rank, declared))
+
+    def __bool__(self) -> bool:
+        return bool(self.by_part)
+
+    def of(self, node: Node) -> dict[str, tuple[str, bool]]:
+        parts = {f".{c}" for c in (node.get("class") or "").split()}
+        if own := (node.get("id") or "").strip():
+            parts.add(f"#{own}")
+        best: dict[str, tuple] = {}
+        for part in (*parts, node.tag, "*"):
+            for tag, needed, rank, declared in self.by_part.get(part, ()):
+                if tag in ("*", node.tag) and needed <= parts:
+                    for name, (value, important) in declared.items():
+                        if (important, rank) > best.get(name, ((False, ()),))[0]:
+                            best[name] = (important, rank), value, important
+        return {name: found[1:] for name, found in best.items()}
+
+
+def _rule_sets(sheet: str) -> Iterator[tuple[str, str]]:
+    """``(selectors, declarations)`` of a style sheet, without at-rules."""
+    sheet, at = _CSS_COMMENT.sub(" ", sheet), 0
+    while (brace := sheet.find("{", at)) >= 0:
+        head = sheet[at:brace].rpartition(";")[2].strip()
+        end = sheet.find("}", brace)
+        if head.startswith("@"):  # it may hold rules of its own
+            depth = 0
+            for m in re.finditer("[{}]", sheet[brace:]):
+                depth += 1 if m.group() == "{" else -1
+                if not depth:
+                    at = brace + m.end()
+                    break
+            else:
+                return
+            continue
+        yield head, sheet[brace + 1 : end if end >= 0 else len(sheet)]
+        if end < 0:
+            return
+        at = end + 1
+
+
 class TagEnds:
     """Finds the ends of a page's tags, in time linear in the page: no piece is searched twice for the same thing."""
 
@@ -132,8 +236,24 @@ class TreeBuilder:
         self.root = Node("html")
         self.open = [self.root]
         self.foreign = False  # has a drawing or formula been seen?
+        self.sheets: list[str] = []
+        self.rules, self.known = Rules([]), 0
+        # Open elements below the greatest depth: tag, displayed, visibility.
+        self.buried: list[tuple[str, bool, bool | None]] = []
+        self.counts: Counter = Counter()
 
     def build(self, html: str) -> Node:
+        root = self.tree(html)
+        if self.sheets and (rules := Rules(self.sheets)):
+            todo = [root]
+            while todo:
+                node = todo.pop()
+                if node.tag != SHELL:
+                    node.style(rules)
+                todo += [c for c in node.children if isinstance(c, Node)]
+        return root
+
+    def tree(self, html: str) -> Node:
         at, ends = 0, TagEnds(html)
         while True:
             m = _TOKEN.search(html, at)
@@ -154,7 +274,9 @@ class TreeBuilder:
             if tag in RAW:
                 close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.IGNORECASE).search(html, at)
                 inside = html[at : close.start() if close else len(html)]
-                self.open[-1].children.append(inside)
+                if tag == "style":
+                    self.sheets.append(inside)
+                self.add(unescape(inside) if tag in DECODED else inside)
                 self.end(tag)
                 at = close.end() if close else len(html)
 
@@ -162,7 +284,19 @@ class TreeBuilder:
         if raw:
             if self.open[-1].tag == "head" and raw.strip(" \t\n\r\f"):
                 self.open.pop()
-            self.open[-1].children.append(unescape(raw) if "&" in raw else raw)
+            self.add(unescape(raw) if "&" in raw else raw)
+
+    def add(self, child: Node | str) -> None:
+        """Into the innermost open element, if that is displayed."""
+        if self.buried:
+            _, displayed, visibility = self.buried[-1]
+            if not displayed:
+                return
+            if visibility is not None:
+                shell = Node(SHELL)
+                shell.visibility, shell.children = visibility, [child]
+                child = shell
+        self.open[-1].children.append(child)
 
     def start(self, tag: str, attributes: str) -> None:
         if tag in ("html", "body") and any(n.tag == tag for n in self.open):
@@ -171,6 +305,13 @@ class TreeBuilder:
             return  # a page has one head, before all else
         if self.open[-1].tag == "head" and tag not in IN_HEAD:
             self.open.pop()
+        if self.buried:
+            # A row, cell or item of a table or list further up ends what strays open in it.
+            scope = CONTEXT.get(tag) or IMPLIED.get(tag, ((), ()))[1]
+            if not scope or any(self.counts[x] for x in scope) or not self.nearest(scope):
+                self.bury(tag, attributes)
+                return
+            self.unbury()
         if self.foreign and tag in BREAKOUT:
             while (k := self.nearest(FOREIGN | INTEGRATION)) and self.open[k].tag in FOREIGN:
                 del self.open[k:]
@@ -199,10 +340,30 @@ class TreeBuilder:
 
     def push(self, node: Node) -> None:
         if len(self.open) > MAX_DEPTH:
-            self.open.pop()
+            self.bury(node.tag, node.attributes)
+            return
         self.open[-1].children.append(node)
         self.open.append(node)
 
+    def bury(self, tag: str, attributes: str) -> None:
+        """Open an element below the greatest depth; style sheets that stand before it count."""
+        node = Node(tag, attributes.rstrip("/"))
+        if len(self.sheets) > self.known:
+            self.rules, self.known = Rules(self.sheets), len(self.sheets)
+        if self.rules:
+            node.style(self.rules)
+        if tag in VOID:
+            if node.displayed:
+                self.add(node)
+            return
+        _, displayed, visibility = self.buried[-1] if self.buried else ("", True, None)
+        self.buried.append((tag, displayed and node.displayed, visibility if node.visibility is None else node.visibility))
+        self.counts[tag] += 1
+        self.add(Node("div") if tag in BLOCK else " " if tag in CELLS else "")
+
+    def unbury(self) -> None:
+        self.buried, self.counts = [], Counter()
+
     def nearest(self, tags) -> int:
         """The place of the innermost open element of ``tags``, 0 if there is none."""
         return next((k for k in range(len(self.open) - 1, 0, -1) if self.open[k].tag in tags), 0)
@@ -222,43 +383,48 @@ class TreeBuilder:
         if tag == "br":
             if self.open[-1].tag == "head":
                 self.open.pop()
-            self.open[-1].children.append(Node("br"))
+            self.add(Node("br"))
             return
+        if self.counts[tag]:
+            while True:
+                last, *_ = self.buried[-1]
+                if last in BLOCK:
+                    self.add(Node("div"))
+                self.buried.pop()
+                self.counts[last] -= 1
+                if last == tag:
+                    return
         inner = tag not in ("table", "body", "html")
         for k in range(len(self.open) - 1, 0, -1):
             if self.open[k].tag == tag:
                 del self.open[k:]
+                self.unbury()
                 return
             if inner and (self.open[k].tag == "table" or self.open[k].tag in CELLS and tag not in TABLE_PARTS | {"tr"}):
                 break
         if tag == "p":
-            self.open[-1].children.append(Node("p"))
+            self.add(Node("p"))
 
 
 def visible(node: Node) -> bool:
-    if node.tag in HIDDEN:
-        return False
-    if not node.attributes:
-        return node.tag != "dialog"
-    if node.get("hidden") is not None or node.tag == "input":
-        return False
-    if node.tag == "dialog" and node.get("open") is None:
-        return False
-    style = node.get("style")
-    return not (style and _INVISIBLE.search(style))
+    """Is the element displayed? Whether its text shows is the page's state, see :func:`inside`."""
+    return node.displayed
 
 
 class Page:
     """Lines under construction."""
 
-    def __init__(self):
+    def __init__(self, shows: bool = True):
         self.lines: list[str] = []
         self.line: list[str] = []
         self.gap = -1  # -1: a line is open; 0: the next text opens a line; 1: after a blank line
         self.blank = False  # white space seen since the last text of the open line
         self.indent, self.marker = "", ""
+        self.shows = shows  # is text visible here?
 
     def put(self, text: str) -> None:
+        if not self.shows:
+            return
         pieces = _BLANKS.sub(" ", text)
         if pieces.strip(" ") == "":
             self.blank = self.blank or bool(pieces)
@@ -306,6 +472,14 @@ class Page:
 
 
 def render(node: Node, page: Page) -> None:
+    before = page.shows
+    if node.visibility is not None:
+        page.shows = node.visibility
+    laid_out(node, page)
+    page.shows = before
+
+
+def laid_out(node: Node, page: Page) -> None:
     tag = node.tag
     gap = 1 if tag in SPACED else 0
     if tag in BLOCK:
@@ -314,17 +488,17 @@ def render(node: Node, page: Page) -> None:
             gap = 0
         page.end_line(gap)
     if tag == "table":
-        page.whole(table_lines(node), 1)
+        page.whole(table_lines(node, page.shows), 1)
         return
     if tag == "svg":
         for part in drawn(node):
             page.put(" ")
-            inside(part, page)
+            render(part, page)
             page.put(" ")
         return
-    if tag in ("pre", "xmp", "listing"):
-        text = "".join(plain(node))
-        page.whole(text.removeprefix("\n").rstrip("\n").replace("\t", "    ").split("\n") if text.strip() else [], 1)
+    if tag in PREFORMATTED:
+        text = "".join(plain(node, page.shows))
+        page.whole(text.removeprefix("\n").rstrip("\n").replace("\t", "    ").split("\n") if text.strip() else [], gap)
         return
     if tag == "details" and node.get("open") is None:
         for child in node.children:
@@ -370,52 +544,72 @@ def within(node: Node, page: Page, more: str, marker: str = "") -> None:
     page.indent, page.marker = before, ""
 
 
+def whole_number(text: str | None) -> int | None:
+    """A whole number as HTML reads it, if it lies in its bounds."""
+    m = re.match(r"\s*([+-]?[0-9]{1,12})(?![0-9])", text or "")
+    return int(m[1]) if m and abs(int(m[1])) <= MAX_INT else None
+
+
 def render_list(node: Node, page: Page) -> None:
-    number = node.get("start") or "1"
-    count = int(number) if re.fullmatch(r"-?[0-9]{1,9}", number) else 1
+    items = [c for c in node.children if isinstance(c, Node) and c.tag == "li" and visible(c)]
+    down = node.tag == "ol" and node.get("reversed") is not None
+    start = whole_number(node.get("start"))
+    count = start if start is not None else len(items) if down else 1
     for child in node.children:
         if isinstance(child, str):
             page.put(child)
         elif child.tag == "li" and visible(child):
+            if (value := whole_number(child.get("value"))) is not None:
+                count = value
             marker = f"{count}. " if node.tag == "ol" else "- "
-            count += 1
+            count += -1 if down else 1
             page.end_line(0)
+            before = page.shows
+            page.shows = before if child.visibility is None else child.visibility
             within(child, page, " " * len(marker), marker)
+            page.shows = before
         elif visible(child):
             render(child, page)
 
 
-def plain(node: Node) -> Iterator[str]:
+def plain(node: Node, shows: bool) -> Iterator[str]:
     for child in node.children:
         if isinstance(child, str):
-            yield unescape(child) if node.tag in RAW else child
+            if shows:
+                yield child
         elif child.tag == "br":
             yield "\n"
-        elif child.tag == "svg" and visible(child):
-            for part in drawn(child):
-                yield " "
-                yield from plain(part)
         elif visible(child):
-            yield from plain(child)
+            here = shows if child.visibility is None else child.visibility
+            if child.tag == "svg":
+                for part in drawn(child):
+                    yield " "
+                    yield from plain(part, here)
+            else:
+                yield from plain(child, here)
 
 
 def drawn(node: Node) -> Iterator[Node]:
     """The elements of a drawing whose text is shown; text elsewhere in it is not."""
     for child in node.children:
         if isinstance(child, Node) and child.tag not in UNDRAWN and visible(child):
+            if child.visibility is None:
+                child.visibility = node.visibility  # the parts between are not rendered themselves
             if child.tag in ("text", "foreignobject"):
                 yield child
             else:
                 yield from drawn(child)
 
 
-def table_rows(node: Node) -> Iterator[Node]:
+def table_rows(node: Node, shows: bool) -> Iterator[tuple[Node, bool]]:
+    """The rows of a table, with whether their text is visible."""
     for child in node.children:
         if isinstance(child, Node) and visible(child):
+            here = shows if child.visibility is None else child.visibility
             if child.tag == "tr":
-                yield child
+                yield child, here
             elif child.tag in TABLE_PARTS:
-                yield from table_rows(child)
+                yield from table_rows(child, here)
 
 
 def strays(node: Node) -> Iterator[Node | str]:
@@ -433,13 +627,13 @@ def strays(node: Node) -> Iterator[Node | str]:
             yield child
 
 
-def table_lines(node: Node) -> list[str]:
+def table_lines(node: Node, shows: bool) -> list[str]:
     """The caption, what stands in the table outside its cells, then rows with cells padded to columns."""
-    page = Page()
+    page = Page(shows)
     put_all(strays(node), page)
     out = page.finish()
     rows, taken = [], {}
-    for row in table_rows(node):
+    for row, shown in table_rows(node, shows):
         cells, column = [], 0
         for cell in row.children:
             if not isinstance(cell, Node) or cell.tag not in CELLS or not visible(cell):
@@ -447,13 +641,12 @@ def table_lines(node: Node) -> list[str]:
             while taken.get(column, 0):  # held by a cell of a row above
                 taken[column] -= 1
                 column += 1
-            sub = Page()
+            sub = Page(shown)
             render(cell, sub)
-            span, down = (min(max(int(v), 1), 100) if (v := cell.get(n) or "").isdigit() and len(v) < 6 else 1 for n in ("colspan", "rowspan"))
+            span, down = (min(max(whole_number(cell.get(n)) or 1, 1), most) for n, most in (("colspan", MAX_COLSPAN), ("rowspan", MAX_ROWSPAN)))
             cells.append((column, span, sub.finish()))
-            for c in range(column, column + span):
-                if down > 1:
-                    taken[c] = taken.get(c, 0) + down - 1
+            for c in range(column, column + span if down > 1 else column):
+                taken[c] = taken.get(c, 0) + down - 1
             column += span
         for c in [c for c in taken if c >= column and taken[c]]:
             taken[c] -= 1
@@ -463,11 +656,10 @@ def table_lines(node: Node) -> list[str]:
         for column, span, lines in cells:
             if span == 1:
                 widths[column] = max([widths.get(column, 0), *map(len, lines)])
-    # Very wide columns are layout, not data: such cells follow each other unpadded.
     starts, at = {}, 0
     for column in range(max(widths, default=-1) + 1):
         starts[column] = at
-        at += widths.get(column, 0) + 2 if 0 < widths.get(column, 0) <= 80 else 0
+        at += min(widths[column], COLUMN) + 2 if widths.get(column) else 0
     for cells in rows:
         for k in range(max((len(lines) for *_, lines in cells), default=0)):
             line = ""

@@ -170,6 +170,22 @@ CASES = {
     "a<svg><title>no</title><defs/><path d='M0'/><desc>no</desc>no<g><text>b<tspan>c</tspan></text></g></svg>d": "a bc d",
     "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math>": "x=1",
     "<svg><path d=x><p>a": "a",
+    "<xmp>&amp;<b>x</b></xmp>y": "&amp;<b>x</b>\n\ny",
+    "<textarea>a &amp; b\n  c</textarea>d": "a & b\n  c\nd",
+    "<div style='visibility:hidden'>no<b style='visibility: visible'>yes</b>no</div><p style=display:nonexistent>too": "yes\n\ntoo",
+    "<style>.x{display:none} #y, b.z { visibility:hidden } /* p{display:none} */ @media print { i{display:none} }</style><p class='w x'>no<p>a<b class=z>no</b><i>b</i><u id=y>no": "ab",
+    "<p class=x style='display:block'>a<p class=x>no<p hidden style='display:block'>b<style>p.x{display:none}</style>": "a\n\nb",
+    "<style>b{display:none!important} b.k{display:inline}</style>a<b class=k style=display:inline>no</b>": "a",
+    "<ol reversed><li>a<li>b<li value=9>c<li>d</ol>": "4. a\n3. b\n9. c\n8. d",
+    "<ol start=2147483640><li>a</ol><ol start=99999999999><li>b</ol>": "2147483640. a\n\n1. b",
+    "<ruby>a<rp>(</rp><rt>b</rt><rp>)</rp></ruby>": "ab",
+    "<table style='visibility:hidden'><tr><td>no<td style='visibility:visible'>a<tr style='visibility:visible'><td>b<td>c</table>": "   a\nb  c",
+    "<table><tr><td colspan=120>" + "a" * 90 + "<td>b<tr><td>" + "c" * 90 + "<td>d<tr><td>e<td>f</table>": "a" * 90 + "  b\n" + "c" * 90 + "  d\n" + "e" + " " * 81 + "f",
+    "<div>" * 119 + "<div hidden><p>no<div>no</div><b>no</b></div>yes": "yes",
+    "<div>" * 130 + "<div style='display:none'><table><tr><td>no</table><p>no</div>yes": "yes",
+    "<table><tr><td>" + "<b>" * 130 + "a<td>b": "a  b",
+    "<ul><li>" + "<i>" * 130 + "a<li>b</ul>" + "<div>" * 150 + "<p>c<p>d<br>e<script>no</script><table><tr><td>f<td>g</table>h": "- a\n- b\n\nc\nd\ne\nf g\nh",
+    "<svg><g visibility=hidden style='visibility:hidden'><text>no</text><text style='visibility:visible'>a</text></g></svg>": "a",
     "<svg><foreignObject><p>a</p>b</foreignObject></svg><pre>c<svg><text>d</text></svg></pre>": "a\n\nb\n\nc d",
 }
 
@@ -179,6 +195,35 @@ def test_visible_text(html):
     assert visible_text(html) == CASES[html]
 
 
+def test_visible_words_of_random_trees():
+    """Against a second reading: the words of all elements that no ancestor, rule or own attribute hides."""
+    rnd = random.Random(11)
+    sheet = "<style>.gone{display:none} .dim{visibility:hidden} .lit{visibility:visible} i.gone{display:inline}</style>"
+    kinds = ["", "", "", " hidden", " style='display:none'", " style='visibility:hidden'", " style='visibility:visible'", " class=gone", " class='a dim'", " class=lit", " style='display:block' hidden"]
+    for _ in range(300):
+        shown, count = [], 0
+
+        def tree(depth, displayed, visibility):
+            nonlocal count
+            out = []
+            for _ in range(rnd.randint(1, 3) if depth < 5 else 1):
+                count += 1
+                out.append(f" w{count} ")
+                if displayed and visibility:
+                    shown.append(f"w{count}")
+                if depth < (140 if deep else 6) and rnd.random() < (0.97 if deep else 0.7):
+                    tag, kind = rnd.choice(["div", "b", "i", "section", "span"]), rnd.choice(kinds if not deep or rnd.random() < 0.03 else [""])
+                    gone = kind in (" hidden", " style='display:none'") or kind == " class=gone" and tag != "i"
+                    sees = False if "visibility:hidden" in kind or "dim" in kind else True if "visible" in kind or "lit" in kind else visibility
+                    out.append(f"<{tag}{kind}>" + tree(depth + 1, displayed and not gone, sees) + f"</{tag}>")
+            return "".join(out)
+
+        deep = rnd.random() < 0.2
+        html = sheet + tree(0, True, True)
+        found = re.findall(r"w[0-9]+", visible_text(html))
+        assert found == shown, html
+
+
 def test_tag_ends_take_linear_time():
     for piece in ("<a ", "<a b='", "<a b=\"'", "<a b=\">\" ", "<a b='x' c=\"", "<a =", "<a b='>' c=\">\"", "<a b=' \" c=\" '"):
         for end in ("", ">", "'", "\"", "=\""):
