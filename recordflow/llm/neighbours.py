@@ -25,23 +25,32 @@ QUERY_BLOCK = 1024
 BLOCK = 4096
 #: Candidate blocks that one task streams for one query block.
 BLOCKS_PER_TILE = 16
+#: Rows that are gathered together: whole candidate blocks, and about one block of queries of every twentieth.
+GATHERED = 5 * BLOCK
 
 
 def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """int8 rows, their scales, norms of the quantised rows, residual norms, norms of the rows."""
-    scale = np.abs(x).max(axis=1) / 127
+    # A scale may underflow to zero; the least number serves as well, since all components are few times it.
+    scale = np.maximum(np.abs(x).max(axis=1) / 127, 5e-324)
     rows = np.rint(x / scale[:, None]).astype(np.int8)
     back = rows * scale[:, None]
-    norm = lambda m: np.sqrt((m * m).sum(axis=1))
+
+    def norm(m: np.ndarray) -> np.ndarray:
+        # What underflows in the squares is given back: half of the least number's root for each component.
+        with np.errstate(over="ignore"):
+            return np.sqrt((m * m).sum(axis=1)) + m.shape[1] * 1e-162
+
     return rows, scale, norm(back), norm(x - back), norm(x)
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Inner products of paired rows in double, added in the order of the components."""
     total = np.zeros(len(a))
-    for d in range(a.shape[1]):
-        total += a[:, d] * b[:, d]
-    return total
+    with np.errstate(over="ignore", invalid="ignore"):
+        for d in range(a.shape[1]):
+            total += a[:, d] * b[:, d]
+    return np.where(np.isnan(total), -np.inf, total)
 
 
 class Tile:
@@ -57,14 +66,18 @@ class Tile:
 
     def add(self, ids: np.ndarray, rows: np.ndarray) -> None:
         c, scale, norm_c, rest, norm = quantised(rows)
-        near = (self.q.astype(self.kind) @ c.astype(self.kind).T).astype(np.float64) * self.scale[:, None] * scale
-        error = self.rest[:, None] * norm + self.norm_q[:, None] * rest + 1e-9 * self.norm[:, None] * norm
-        upper = near + error
+        with np.errstate(over="ignore", invalid="ignore"):
+            near = (self.q.astype(self.kind) @ c.astype(self.kind).T).astype(np.float64) * self.scale[:, None] * scale
+            error = self.rest[:, None] * norm + self.norm_q[:, None] * rest + 1e-9 * self.norm[:, None] * norm
+            upper, lower = near + error, near - error
+        # Where components are so large that a bound is no number, the pair is recomputed.
+        upper[~np.isfinite(upper)] = np.inf
+        lower[~np.isfinite(lower)] = -np.inf
         upper[self.ids[:, None] == ids] = -np.inf
         floor = self.least
         distinct = len(np.unique(ids))
         if distinct == len(ids) > self.k:  # the k-th largest lower bound holds too, if ids do not repeat
-            lower = np.where(upper > -np.inf, near - error, -np.inf)
+            lower[upper == -np.inf] = -np.inf
             floor = np.maximum(floor, np.partition(lower, len(ids) - self.k, axis=1)[:, len(ids) - self.k])
         at, other = np.nonzero((upper >= floor[:, None]) & (upper > -np.inf))
         for start in range(0, len(at), 1 << 17):
@@ -139,11 +152,15 @@ def nearest(vectors: DataFrame, k: int = 20, query_every: int = 20) -> DataFrame
     Ties go to the smaller vec_id. Vectors that are null, empty, zero, or hold
     null or non-finite components, and rows without an id, take no part; vectors
     of another length are not compared. Rows that share a vec_id count once as a
-    candidate, with their best score. With fewer candidates than k all are
+    candidate, with their best score. A product that overflows to no number
+    counts as the least. With fewer candidates than k all are
     returned; an empty table gives no rows; other columns are ignored.
     """
     stages = Stages(vectors.sparkSession, "nearest")
     usable = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    # However the input is cut, blocks are filled: their number follows from that of the rows.
+    rows = vectors.select(F.col("vec_id")).where("vec_id IS NOT NULL").count()
+    usable = usable.repartition(max(1, -(-rows // GATHERED)))
     blocks = stages.write(vector_blocks(usable, query_every), "blocks")
     # Blocks are few (one per thousands of vectors); only their names are numbered here.
     numbered = blocks.select("task", "number", "queries").withColumn("at", F.row_number().over(W.partitionBy("queries").orderBy("task", "number")) - 1)

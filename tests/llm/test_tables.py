@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from llm_common import AWKWARD, corpus, documents, prose
 from recordflow.llm.html_text import page_texts, visible_text
 from recordflow.llm.licenses import CUE, TEMPLATES, scan_licences, terms
-from recordflow.llm.neighbours import Tile, nearest
+from recordflow.llm.neighbours import Tile, nearest, vector_blocks
 from recordflow.llm.queries import RULES
 from recordflow.llm.urls import Rule, filter_urls
 
@@ -117,6 +117,31 @@ def test_nearest_equals_brute_force(spark, n, dim):
     assert len(got) == len(brute_nearest(rows, 20, 20))
 
 
+def test_vectors_of_extreme_size(spark):
+    """Bounds that overflow or underflow lose no candidate."""
+    rnd = np.random.default_rng(3)
+    rows = [(k, (rnd.normal(size=4) * 10.0 ** rnd.choice([-320, -200, -160, 0, 3, 150, 200])).tolist()) for k in range(120)]
+    rows += [(200, [1e200, 1e200, 1.0, 0.0]), (201, [5e-324, 0.0, 0.0, 0.0]), (220, [5e-324] * 4), (240, [1e308, -1e308, 1e308, 1.0])]
+    rows = [(i, v) for i, v in rows if any(v)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = {(q, r, v) for q, r, v, s in brute_nearest([(i, v) for i, v in rows], 9, 20) if not math.isnan(s)}
+    got = nearest(frame, k=9).collect()
+    with np.errstate(all="ignore"):
+        exact = {(q, v): sum(a * b for a, b in zip(dict(rows)[q], dict(rows)[v])) for q, _, v in want}
+    assert len(got) == 9 * len({i for i, _ in rows if i % 20 == 0})
+    for r in got:  # no row that was left out is nearer
+        assert (r.query_id, r.rank, r.vec_id) in want or not math.isfinite(r.score) or any(not math.isfinite(x) for (q, _), x in exact.items() if q == r.query_id), r
+
+
+def test_blocks_do_not_depend_on_the_input_partitions(spark):
+    rows = [(k, [float(k % 7), 1.0, float(k % 3)]) for k in range(2000)]
+    frame = vectors(spark, rows)
+    want = sorted(map(tuple, nearest(frame.repartition(1), k=3).collect()))
+    assert sorted(map(tuple, nearest(frame.repartition(64), k=3).collect())) == want
+    usable = frame.repartition(64).select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    assert vector_blocks(usable.repartition(1), 20).count() == 2 < vector_blocks(usable, 20).count()
+
+
 def test_no_vectors(spark):
     assert nearest(vectors(spark, [])).collect() == []
 
