@@ -17,7 +17,7 @@ from recordflow.llm.packing import pack_documents
 from recordflow.llm.pii import personal_spans, span_report
 from recordflow.llm.prefix_bpe import encoding_digests
 from recordflow.llm.quality import line_quality
-from recordflow.llm.reference_sql import CONTAMINATION, JACCARD, MANIFEST, NEAREST, RESAMPLING, URLS
+from recordflow.llm.reference_sql import ALIASES, CONTAMINATION, JACCARD, LINK, MANIFEST, NEAREST, REDIRECTS, RESAMPLING, URLS
 from recordflow.llm.resampling import resample
 from recordflow.llm.substring import repeated_spans
 from recordflow.llm.urls import Rule, filter_urls
@@ -71,6 +71,16 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return filter_urls(_table(spark, folder, "pages"), RULES)
 
 
+@bind("url_aliases", ALIASES)
+def url_aliases(spark: SparkSession, folder: str) -> DataFrame:
+    """The same over canonical links and redirects derived from the pages, many to targets without a page of their own."""
+    pages = _table(spark, folder, "pages")
+    pages.createOrReplaceTempView("linked_pages")
+    link = F.concat(F.lit('<head><link rel="canonical" href="'), F.expr(LINK.replace("VARCHAR(20)", "STRING")), F.lit('"></head>'))
+    redirects = spark.sql(REDIRECTS.replace("VARCHAR(20)", "STRING").replace("FROM pages", "FROM linked_pages"))
+    return filter_urls(pages.withColumn("html", link), RULES, redirects)
+
+
 @bind("op3_pii")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return span_report(personal_spans(_table(spark, folder, "documents")))

@@ -83,6 +83,44 @@ SELECT page_id, host, path, rule,
 FROM f"""
 
 
+def _parts(url: str) -> tuple[str, str]:
+    """Host and path of an address by the contract."""
+    rest = f"CASE WHEN instr({url}, '://') > 0 THEN substr({url}, instr({url}, '://') + 3) END"
+    return f"coalesce(translate(regexp_extract({rest}, '^[^/?#]*'), '{UPPER}', '{LOWER}'), '')", f"coalesce(regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1), '')"
+
+
+def _rule(url: str) -> str:
+    host, path = _parts(url)
+    return (
+        f"CASE WHEN '.' || {host} LIKE '%.www.example.com' AND starts_with({path}, '/en/') THEN 'www.example.com/en/'"
+        f" WHEN '.' || {host} LIKE '%.example.com' AND starts_with({path}, '/en/') THEN 'example.com/en/'"
+        f" WHEN '.' || {host} LIKE '%.net' AND starts_with({path}, '/es/') THEN 'net/es/' WHEN '.' || {host} LIKE '%.net' AND starts_with({path}, '/fr/') THEN 'net/fr/'"
+        f" WHEN '.' || {host} LIKE '%.com' AND starts_with({path}, '/') THEN 'com/' END"
+    )
+
+
+_BLOCKED = "('example.com/en/', 'net/es/', 'net/fr/')"
+#: The link of a page in the table of links that the alias query derives, and the redirects beside it.
+LINK = """CASE page_id % 5 WHEN 0 THEN 'http://hub' || CAST(page_id % 40 AS VARCHAR(20)) || '.org/c' WHEN 1 THEN 'http://mirror' || CAST(page_id % 30 AS VARCHAR(20)) || '.net/es/1'
+  WHEN 2 THEN 'http://hub' || CAST((page_id + 3) % 40 AS VARCHAR(20)) || '.org/c/' WHEN 3 THEN 'http://lone.org/' || CAST(page_id AS VARCHAR(20)) END"""
+REDIRECTS = """SELECT DISTINCT 'http://hub' || CAST(page_id % 40 AS VARCHAR(20)) || '.org/c' AS src, 'http://mirror' || CAST(page_id % 8 AS VARCHAR(20)) || '.net/fr/2' AS dst
+  FROM pages WHERE page_id % 40 IN (3, 13, 27)"""
+
+#: Every end of a link is judged, with a page or without one; blocks reach all that links join.
+ALIASES = f"""
+WITH RECURSIVE p AS (SELECT page_id, url, {_address("url")} AS address, {_rule("url")} AS rule, {LINK} AS target FROM pages),
+given AS (SELECT src, dst FROM ({REDIRECTS}) UNION SELECT url, target FROM p WHERE target IS NOT NULL AND instr(url, '://') > 0),
+e AS (SELECT DISTINCT {_address("src")} AS x, {_address("dst")} AS y, {_rule("src")} AS rx, {_rule("dst")} AS ry FROM given),
+sides AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
+bad(address) AS (
+  SELECT address FROM (SELECT address, rule FROM p UNION SELECT x, rx FROM e UNION SELECT y, ry FROM e) WHERE rule IN {_BLOCKED} AND address IS NOT NULL
+  UNION SELECT sides.y FROM bad JOIN sides ON sides.x = bad.address)
+SELECT page_id, {_parts("url")[0]} AS host, {_parts("url")[1]} AS path, rule,
+       CASE WHEN rule IN {_BLOCKED} THEN 'block' WHEN rule IS NOT NULL THEN 'allow' WHEN address IN (SELECT address FROM bad) THEN 'block' ELSE 'allow' END AS verdict,
+       CASE WHEN rule IS NOT NULL THEN 'rule' WHEN address IN (SELECT address FROM bad) THEN 'alias' ELSE 'default' END AS via
+FROM p"""
+
+
 def _words(text: str) -> str:
     """Runs of digits, a-z and non-ASCII characters, after A-Z are lower-cased."""
     return f"list_filter(regexp_split_to_array(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"

@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_contract():
     names = list(llm.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 14)]
+    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{k}" for k in range(1, 14)]
     assert set(llm.oracle_sql()) <= set(names)
     assert len(corpus_pipeline.STAGES) == 5
     assert all(list(inspect.signature(f).parameters) == ["spark", "docs", "sf_dir"] for _, f in corpus_pipeline.STAGES)
