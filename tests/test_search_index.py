@@ -34,7 +34,7 @@ def same(one, two):
     assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
 
 
-TERMS = ["red", " Red ", "widget", "WIDGET", "7", "12", "common", "éclair", "a|b", "b", "a", "red||common", "pad", "pad|", "|pad", "x", "ab", "istanbul", "i̇stanbul", "σίσυφος", "none such", "nan", "𝒳yz", "yz", "", "  ", "|", "||", "r.d", "1.5", "dget||ge"]
+TERMS = ["red", " Red ", "WIDGET", "7", "éclair", "a|b", "b", "red||common", "pad|", "x", "istanbul", "i̇stanbul", "σίσυφος", "none such", "𝒳yz", "", "||", "dget||ge"]
 
 
 @pytest.mark.parametrize("term", TERMS)
@@ -45,7 +45,7 @@ def test_terms(both, term):
     same(index.exact_or_partial(term), search.search_exact_or_partial(df, term, "id", "names"))
 
 
-PATTERNS = ["7", "07", "²", "12", "RED", "red.*gear", "^red", "gear$", "re?d", "red+", "wid(get|th)", "wi[a-e]get", r"r\.d", r"r.d\b", "common{2}", "commo{1,}n", "widget*?", "éclair", "ÉCLAIR", "İST", r"\d\d", "", ".", "pad  ", "gear|red", r"1\.5", "ΣΊΣ"]
+PATTERNS = ["7", "²", "RED", "red.*gear", "^red", "re?d", "wid(get|th)", r"r\.d", "common{2}", "widget*?", "ÉCLAIR", r"\d\d", "", "pad  ", "ΣΊΣ"]
 
 
 @pytest.mark.parametrize("pattern", PATTERNS)
