@@ -2,31 +2,24 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordflow.session import scratch_path
+from recordflow.session import drop_scratch, package_on_workers as on_workers, scratch_path
 
 #: A side is broadcast only if its measured size is below this; beyond it the join shuffles.
 BROADCAST_BYTES = 32 << 20
 
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
-def on_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package where it is not installed (PYTHONPATH of the workers)."""
-    known = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if _ROOT not in known.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, _ROOT) if x)
-
 
 class Stages:
     """Tables written in the shared folder to cut lineage; ``drop`` removes one that nothing reads any more."""
 
+    #: Written and not dropped yet, oldest first: (owner, path). One entry per staged table of this driver.
+    written: list[tuple["Stages", str]] = []
+
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.label, self.paths = spark, label, {}
         on_workers(spark)
@@ -36,12 +29,20 @@ class Stages:
         df.write.parquet(path)
         table = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(table)] = (table, path)
+        Stages.written.append((self, path))
         return table
 
     def drop(self, table: DataFrame) -> None:
         _, path = self.paths.pop(id(table))
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+        Stages.written.remove((self, path))
+        drop_scratch(self.spark, path)
+
+    def drop_others(self, since: int) -> None:
+        """Remove what operators have staged since ``len(Stages.written)`` was ``since``, once their result is stored here."""
+        for owner, path in Stages.written[since:]:
+            if owner is not self:
+                Stages.written.remove((owner, path))
+                drop_scratch(self.spark, path)
 
 
 def bounded(df: DataFrame, measured_bytes: int | None) -> DataFrame:

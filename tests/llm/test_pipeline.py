@@ -6,6 +6,7 @@ import pytest
 import corpus_pipeline
 from llm_common import AWKWARD, documents, prose
 from recordflow.llm import queries as llm
+from recordflow.session import shared_folder
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -48,5 +49,9 @@ def test_stages_on_planted_rows(spark):
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
 def test_run(spark):
+    before = set(os.listdir(shared_folder(spark).removeprefix("file:")))
     out = corpus_pipeline.run(spark, FOLDER)
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(shared_folder(spark).removeprefix("file:"))) - before}
+    # Of the stages before the last, whose texts hold personal data, nothing stays.
+    assert left <= {"pipeline-stage4", "packing-pieces"}
     assert {"doc_id", "sequence_id", "offset", "length"} <= set(out.columns) and out.count() > 0
