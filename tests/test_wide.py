@@ -9,7 +9,10 @@ from pyspark.sql import functions as F, types as T
 from compare import normal
 from recordflow.bindings.wide_sql import naive_sql
 from recordflow.plans.archive import ARCHIVE_TABLES, archive_spec, extract_archive, flat_spec
-from recordflow.plans.wide import Children, Descriptor, Lookup, WideSpec, denormalize, flat_extract, members, raw, text
+from recordflow.plans import wide as wide_plan
+from recordflow.plans.wide import (
+    Children, Descriptor, Lookup, WideSpec, denormalize, flat_extract, members, raw, text,
+)
 
 URL = "https://files.example.org/"
 
@@ -266,3 +269,32 @@ def test_hot_key_of_expanded_rows_is_split(spark, eager_skew_splitting):
     assert "skew=true" in executed_plan(flat)
     assert flat.where("id = 0").count() == 13334
     assert flat.count() == 40000 + 13333
+
+
+def test_rows_of_a_child_do_not_shuffle_the_wide_rows(spark, eager_skew_splitting, monkeypatch):
+    """With a unique key only the records with very many rows are shuffled once more, and their join is split."""
+    tables = hot_tables(spark)
+    expected = sorted(map(str, flat_extract(tables, small_spec(), expand="f").collect()))
+    monkeypatch.setattr(wide_plan, "HOT_ROWS", 1000)
+    flat = flat_extract(tables, small_spec(unique_key=True), expand="f")
+    # The column of the base is only a shuffle's key where wide rows are shuffled for their child rows.
+    planned = flat._jdf.queryExecution().executedPlan().toString()
+    assert len([x for x in planned.split("\n") if "Exchange hashpartitioning(r__id#" in x]) == 1
+    assert "skew=true" in executed_plan(flat)
+    assert sorted(map(str, flat.collect())) == expected
+    monkeypatch.setattr(wide_plan, "HOT_ROWS", 10**9)
+    assert sorted(map(str, flat_extract(tables, small_spec(unique_key=True), expand="f").collect())) == expected
+
+
+@pytest.mark.parametrize("most", [0, 1, 10**9])
+def test_plain_columns_of_a_child_with_a_unique_key(spark, monkeypatch, most):
+    """One row per record and file, for hot records and others; records without files have one with NULL."""
+    spec = small_spec(unique_key=True)
+    fields = (raw("id", "r.id"), raw("file", "f.file"), members("authors", "a.author"))
+    spec = WideSpec(spec.alias, spec.table, spec.key, spec.links, fields, unique_key=True)
+    tables = small_tables(spark)
+    tables["record"] = spark.createDataFrame([(1, 10), (2, 10), (3, 99), (4, None)], "id long, d_id long")
+    monkeypatch.setattr(wide_plan, "HOT_ROWS", most)
+    rows = sorted(denormalize(tables, spec).collect(), key=str)
+    expected = [(1, "a", "x||y"), (1, "b", "x||y"), (1, None, "x||y"), (2, "", "x||y"), (3, None, ""), (4, None, "")]
+    assert sorted(map(str, map(tuple, rows))) == sorted(map(str, expected))
