@@ -11,7 +11,7 @@ from recordflow.bindings.wide_sql import naive_sql
 from recordflow.plans.archive import ARCHIVE_TABLES, archive_spec, extract_archive, flat_spec
 from recordflow.plans import wide as wide_plan
 from recordflow.plans.wide import (
-    Children, Descriptor, Lookup, WideSpec, denormalize, flat_extract, members, raw, text,
+    Bridge, Children, Descriptor, Lookup, WideSpec, denormalize, flat_extract, member_rows, members, raw, text,
 )
 
 URL = "https://files.example.org/"
@@ -298,3 +298,26 @@ def test_plain_columns_of_a_child_with_a_unique_key(spark, monkeypatch, most):
     rows = sorted(denormalize(tables, spec).collect(), key=str)
     expected = [(1, "a", "x||y"), (1, "b", "x||y"), (1, None, "x||y"), (2, "", "x||y"), (3, None, ""), (4, None, "")]
     assert sorted(map(str, map(tuple, rows))) == sorted(map(str, expected))
+
+
+def test_member_rows_are_distinct_without_a_last_shuffle(spark):
+    """Records of one id with several links need the distinct at the end, and nothing else does."""
+    links = (
+        Descriptor("d", "descriptor", "r", "d_id"), Children("a", "author", "d", "d_id"), Children("f", "file", "r", "id"),
+        Bridge("b", "bridge", "r", "d_id", target="target", target_key="t_id"),
+    )
+    fields = (members("authors", "a.author"), members("files", "f.file"), members("urls", "f.file", "u/"), members("names", "b.name"))
+    tables = {
+        "record": spark.createDataFrame([(1, 10), (1, 11), (1, 11), (2, 10), (None, 10), (None, 11), (3, 99), (4, None)], "id long, d_id long"),
+        "descriptor": spark.createDataFrame([(10,), (10,), (11,)], "d_id long"),
+        "author": spark.createDataFrame([(10, "x"), (10, "x"), (11, "x"), (11, "y"), (99, "z"), (10, None)], "d_id long, author string"),
+        "file": spark.createDataFrame([(1, "b"), (1, "b"), (2, ""), (2, None)], "id long, file string"),
+        "bridge": spark.createDataFrame([(10, 7), (10, 7), (10, 8), (11, 8), (None, 7)], "d_id long, t_id long"),
+        "target": spark.createDataFrame([(7, "n"), (8, "n"), (9, "m")], "t_id long, name string"),
+    }
+    rows = member_rows(tables, WideSpec("r", "record", "id", links, fields, unique_key=True))
+    ids = {1: ["x", "y"], 2: ["x"], None: ["x", "y"]}
+    expected = [(i, "authors", v) for i, vs in ids.items() for v in vs] + [(i, "names", "n") for i in ids]
+    expected += [(1, "files", "b"), (1, "urls", "u/b"), (2, "files", ""), (2, "urls", "u/")]
+    assert sorted(map(str, map(tuple, rows.collect()))) == sorted(map(str, expected))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().startswith("Union")
