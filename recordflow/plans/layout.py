@@ -27,6 +27,8 @@ from recordflow.plans.wide import Bridge, Children, Descriptor, Link, Lookup, Ta
 
 #: Part of table names in the session's catalog; the data lies below the layout's path.
 PREFIX = "layout"
+#: Records for which a layout has one bucket, if it has more of them than its fewest buckets take.
+BUCKET_RECORDS = 100_000
 
 
 @dataclass(frozen=True)
@@ -88,11 +90,13 @@ def _stored_spec(spec: WideSpec, links: list[Link]) -> WideSpec:
 def write_layout(tables: Tables, spec: WideSpec, path: str, buckets: int = 32) -> Layout:
     """Store the tables of ``spec`` below ``path``, which must not exist.
 
-    ``buckets`` holds for all tables; choose it so that a bucket of the largest
-    one fits a task. A bucket is one file, sorted by its key.
+    Tables have ``buckets`` buckets or, if that is more, one for every
+    :data:`BUCKET_RECORDS` records of the base, so that a bucket stays as large
+    as a task can take while the tables grow. A bucket is one file, sorted by its key.
     """
     plan, links = _used(spec, tables)
     spark = tables[spec.table].sparkSession
+    buckets = max(buckets, -(-tables[spec.table].count() // BUCKET_RECORDS))
     wanted = list(dict.fromkeys([spec.key, *plan.output[spec.alias], *plan.link_columns(spec.alias)]))
     # Records are filtered before they are stored: the filter may need columns that the extract does not show.
     records = tables[spec.table] if spec.where is None else spec.where(tables[spec.table])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from recordflow.operators.sets import stored_arrays
 from recordflow.plans.archive import archive_spec, flat_spec
+from recordflow.plans import layout as layout_plan
 from recordflow.plans.layout import open_layout, write_layout
 from recordflow.plans.wide import denormalize, flat_extract
 from test_wide import URL, as_rows, frames, random_tables
@@ -70,3 +71,13 @@ def test_raw_rows_need_the_tables(spark, tmp_path):
     with pytest.raises(ValueError, match="raw rows"):
         flat_extract(layout.tables, layout.spec)
     assert flat_extract(tables, flat_spec()).columns
+
+
+def test_buckets_grow_with_the_records(spark, tmp_path, monkeypatch):
+    """A bucket holds a bounded number of records, whatever the least number of buckets is."""
+    tables, spec = frames(spark, random_tables(9, rows=40, key_range=9)), archive_spec(URL)
+    monkeypatch.setattr(layout_plan, "BUCKET_RECORDS", 10)
+    layout = write_layout(tables, spec, str(tmp_path / "layout"), buckets=2)
+    said = spark.sql(f"DESCRIBE EXTENDED {layout.names[0]}").where("col_name = 'Num Buckets'").first()["data_type"]
+    assert int(said) == 4
+    assert sorted(map(str, denormalize(layout.tables, layout.spec).collect())) == sorted(map(str, denormalize(tables, spec).collect()))
