@@ -39,6 +39,18 @@ def test_control_characters(values):
     assert values(text.strip_control_chars, "a\x00b\x01\t\n\r\x0b\x1fc", None) == ["ab\t\n\rc", None]
 
 
+def test_control_characters_of_a_row(spark):
+    """All texts of a row are searched at once, and cleaned if one of them holds a control character."""
+    rows = [("a\x01", 1, None, "b"), ("a", 2, "\x00", "\tb\x1f"), (None, None, None, None), ("", 4, "x", "y\n")]
+    df = spark.createDataFrame(rows, "`a.b` string, n int, _texts string, c string")
+    clean = text.strip_control_everywhere(df)
+    assert clean.schema.simpleString() == df.schema.simpleString()
+    assert sorted(map(tuple, clean.collect()), key=str) == sorted([("a", 1, None, "b"), ("a", 2, "", "\tb"), rows[2], rows[3]], key=str)
+    assert clean._jdf.queryExecution().optimizedPlan().toString().lower().count("regexp_replace") == 1
+    numbers = df.select("n")
+    assert text.strip_control_everywhere(numbers).columns == ["n"]
+
+
 def test_coerce_int(values):
     seen = ["3.0", "3.5", " 7 ", "x", "1d", "", None, "-4", "9007199254740993", "1e2", "1_000", "9" * 30, "9007199254740993.0"]
     assert values(coerce.coerce_int, *seen) == [3, None, 7, None, None, None, None, -4, 9007199254740993, 100, None, None, 9007199254740993]

@@ -321,3 +321,17 @@ def test_member_rows_are_distinct_without_a_last_shuffle(spark):
     expected += [(1, "files", "b"), (1, "urls", "u/b"), (2, "files", ""), (2, "urls", "u/")]
     assert sorted(map(str, map(tuple, rows.collect()))) == sorted(map(str, expected))
     assert rows._jdf.queryExecution().optimizedPlan().toString().startswith("Union")
+
+
+def test_joins_of_wide_rows_are_narrow(spark):
+    """What a link leads to meets the records as one column: methods over all columns are too long for the JVM to compile."""
+    tables = {name: spark.createDataFrame([], ddl) for name, ddl in ARCHIVE_TABLES.items()}
+
+    def widest(plan) -> int:
+        below = [widest(plan.children().apply(i)) for i in range(plan.children().size())]
+        return max([plan.output().size() if plan.nodeName() == "Join" else 0, *below])
+
+    for options in ({}, {"protocol_rows": True}):
+        wide = denormalize(tables, archive_spec(unique_key=True, **options))
+        assert 0 < widest(wide._jdf.queryExecution().optimizedPlan()) < 50
+        assert not any(c.startswith("_") for c in wide.columns)
