@@ -335,3 +335,46 @@ def test_joins_of_wide_rows_are_narrow(spark):
         wide = denormalize(tables, archive_spec(unique_key=True, **options))
         assert 0 < widest(wide._jdf.queryExecution().optimizedPlan()) < 50
         assert not any(c.startswith("_") for c in wide.columns)
+
+
+def as_sorted(rows):
+    return sorted(normal(list(r)) for r in rows)
+
+
+def test_sets_travel_as_cell_text(spark):
+    """Sets are joined where they are gathered; only those with a prefix before their members wait for it as arrays."""
+    for seed in (3, 4):
+        tables = frames(spark, random_tables(seed, key_range=3))
+        spec = archive_spec(URL)
+        kinds = {f.name: f.dataType.typeName() for f in wide_plan._Plan(tables, spec, True, None, texts=True).build().schema.fields}
+        sets = {name: kind for name, kind in kinds.items() if name.startswith("set__")}
+        assert sets.pop("set__tx__ds_arquivo_gravado") == "array"
+        assert len(sets) == 9 and set(sets.values()) == {"string"}
+        names = [f.name for f in spec.fields if f.kind == "members"]
+        inside = denormalize(tables, spec, arrays=True)
+        joined = inside.select(*[F.coalesce(F.array_join(c, "||"), F.lit("")).alias(c) for c in names])
+        assert as_sorted(denormalize(tables, spec).select(*names).collect()) == as_sorted(joined.collect())
+
+
+def test_sets_of_the_own_key_are_not_gathered(spark):
+    tables = {
+        "record": spark.createDataFrame([(1,), (2,), (None,), (1,)], "id long"),
+        "pair": spark.createDataFrame([(1, 5), (1, 6), (None, 7), (3, 1)], "id long, other long"),
+    }
+    spec = WideSpec("r", "record", "id", (Children("p", "pair", "r", "id"),), (raw("id", "r.id"), members("ids", "p.id")))
+    wide = denormalize(tables, spec)
+    assert "collect_list" not in wide._jdf.queryExecution().optimizedPlan().toString()
+    assert as_sorted(wide.collect()) == as_sorted([(1, "1"), (2, ""), (None, "")])
+    assert as_sorted(denormalize(tables, spec, arrays=True).collect()) == as_sorted([(1, ["1"]), (2, None), (None, None)])
+
+
+def test_rows_of_a_child_are_gathered_where_they_are_joined(spark, eager_skew_splitting):
+    from recordflow.operators.sets import distinct_arrays_beside
+
+    rows = spark.createDataFrame([(1, None, "a"), (1, None, "b"), (1, "x", None), (2, "x", "a"), (9, "x", "a")], "k long, p string, v string")
+    records = spark.createDataFrame([(1,), (2,)], "id long")
+    sets = distinct_arrays_beside(rows, "k", ["p"], {"v": F.col("v")}, lambda df: df.where("k < 9"))
+    assert as_sorted(sets.collect()) == as_sorted([(1, None, ["a", "b"]), (1, "x", []), (2, "x", ["a"])])
+    found = records.join(sets, records["id"] == sets["k"], "left")
+    # The rows are spread to be made distinct, then lie by key for the grouping and for the join.
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 3
