@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from recordflow.bindings.expressions import STATUS
-from recordflow.bindings.extract import denormalize_orders
+from recordflow.bindings.extract import order_of_orders, wide_orders
 from recordflow.bindings.registry import bind
 from recordflow.bindings.runs import runs
 from recordflow.functions.multivalue import SEPARATOR, split_values
@@ -254,11 +254,10 @@ def row_order(t):
         "sorted": (sort_nulls_last(t.orders.select("o_orderkey", priority, "o_custkey"), "priority", "o_custkey", "o_orderkey"), "o_orderkey"),
         "recent": (history_recent(runs(t)), "id"),
         "labels": (attachment_manifest(cells(t), "id", "names", "https://files.example.org", "a").orderBy("label"), "label"),
-        "extract": (denormalize_orders(t), "o_orderkey"),
     }
-    parts = [
-        number_sorted(df).select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key"), "row_no") for kind, (df, key) in ordered.items()
-    ]
+    numbered = {kind: (number_sorted(df), key) for kind, (df, key) in ordered.items()}
+    numbered["extract"] = (number_rows(wide_orders(t), order_of_orders(), staged=True), "o_orderkey")
+    parts = [df.select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key"), "row_no") for kind, (df, key) in numbered.items()]
     return reduce(DataFrame.unionAll, parts)
 
 

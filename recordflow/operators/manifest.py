@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from recordflow.functions.multivalue import SEPARATOR, split_values
+from recordflow.functions.multivalue import SEPARATOR, is_value, raw_values
+from recordflow.functions.text import strip
 from recordflow.functions.urls import build_url, grouped_pairs, url_base, url_pairs
 
 
@@ -18,10 +19,12 @@ def attachment_manifest(
     """
     files = df.select(
         F.coalesce(F.col(id_column).cast("string"), F.lit("nan")).alias("id"),
-        F.explode(split_values(F.col(name_column), separator)).alias("file"),
-    ).distinct()
+        F.explode(raw_values(F.col(name_column), separator)).alias("file"),
+    )
+    # Members are trimmed and judged as rows: inside the array that takes an interpreted lambda.
+    files = files.select("id", strip(F.col("file")).alias("file")).where(is_value(F.col("file"))).distinct()
     return files.select(
-        F.format_string("[%s] %s", "id", "file").alias("label"),
+        F.concat(F.lit("["), "id", F.lit("] "), "file").alias("label"),
         "id",
         "file",
         build_url(base, F.lit(bucket), F.col("file")).alias("url"),

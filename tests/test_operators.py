@@ -169,6 +169,27 @@ def test_manifest(spark):
     assert [tuple(r) for r in got] == [("[1] a", "1", "a", "http://h/k/a"), ("[1] b", "1", "b", "http://h/k/b")]
 
 
+def test_manifest_members_are_made_without_lambdas(spark):
+    rows = spark.createDataFrame([(None, " a b ||NaN|| ||a b"), (7, "\tx\n"), (7, "")], "id int, names string")
+    made = manifest.attachment_manifest(rows, "id", "names", "http://h", "k")
+    assert sorted(r.label for r in made.collect()) == ["[7] x", "[nan] a b"]
+    assert "lambda" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_staged_rows_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        made.add(1)
+        return -x
+
+    rows = spark.range(200).select(counted("id").alias("v"))
+    numbered = paging.number_rows(rows, "v", staged=True)
+    assert sorted(map(tuple, numbered.collect())) == [(v, v + 200) for v in range(-199, 1)]
+    assert made.value == 200
+
+
 def test_outcomes(spark):
     rows = spark.createDataFrame([("a", 200), ("b", 404), ("c", 418), ("d", None)], "f string, s int").withColumn("m", F.lit("timeout"))
     got = {r.outcome: r.files for r in outcomes.outcome_summary(rows, "s").collect()}
