@@ -5,7 +5,7 @@ its token, so that a term opens one directory and not the whole table:
 
 =========== ============================ ==================================
 ``members`` ``token, _row``              members of the cells, and the ids
-``grams``   ``gram, _row``               every three letters of cell and id
+``grams``   ``gram, _chunk, n, places``  every three letters of cell and id
 ``counts``  ``gram, n``                  records per gram
 =========== ============================ ==================================
 
@@ -15,17 +15,23 @@ all. The index may therefore name too many rows and never too few, and every
 result equals the scan's. A term without anything to look up (fewer than three
 letters inside a text, a pattern with groups) is answered by the scan itself.
 
-Postings are range-partitioned by token and row before they are written: a
-token that a third of all records hold is spread over many tasks and files.
+Postings of members are range-partitioned by token and row before they are
+written: a token that a third of all records hold is spread over many tasks and
+files. A record has ten times as many grams as members, and most of them stand in
+the records beside it too. So the task that reads some records already makes one
+list of each gram: the places of its records within their chunk of row ids. These
+lists, and no single postings, are dealt to the directories and sorted there.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from recordflow.functions.multivalue import SEPARATOR
@@ -33,10 +39,18 @@ from recordflow.functions.text import search_key
 from recordflow.operators.search import (
     contains_condition, exact_condition, is_number, lookup_condition,
 )
+from recordflow.session import package_on_workers
 
-ROW, BLOCK, BUCKET = "_row", "_block", "_bucket"
+ROW, BLOCK, BUCKET, CHUNK = "_row", "_block", "_bucket", "_chunk"
 #: Letters of a gram, and how many of a term's grams are looked up, the rarest ones.
 GRAM, RAREST = 3, 3
+#: Row ids of a chunk, in bits: a place in it is a short number.
+CHUNK_BITS = 13
+#: Letters that are taken together when grams are listed; a longer text is taken alone.
+LETTERS = 500_000
+#: How the tables are stored: 1 had a row for every record of a gram.
+FORM = 2
+_LISTS = "gram string, _chunk long, n int, places array<short>"
 
 
 @dataclass(frozen=True)
@@ -46,6 +60,7 @@ class _Layout:
     separator: str
     buckets: int
     schema: str
+    form: int = 1
 
 
 def _bucket(token: Column, buckets: int) -> Column:
@@ -63,11 +78,50 @@ def _pieces(cell: Column, separator: str) -> Column:
     A term without such characters that stands between two separators is one of
     these runs, however the separators around it overlap.
     """
-    return F.split(cell, "[" + re.sub(r"(\W)", r"\\\1", "".join(sorted(set(separator)))) + "]")
-
-
-def _grams(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{GRAM}}}))"), 1)
+    marks = re.sub(r"(\W)", r"\\\1", "".join(sorted(set(separator))))
+    return F.split(cell, marks if len(set(separator)) == 1 else f"[{marks}]")  # one mark is split at without a regular expression
+
+
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    """Sorted; ``np.unique`` would hash them, which takes ten times as long."""
+    numbers = np.sort(numbers)
+    return numbers[np.append(True, numbers[1:] != numbers[:-1])[: len(numbers)]]
+
+
+def _gram_lists(rows: np.ndarray, texts: list[str]) -> pa.RecordBatch:
+    """One list per gram and chunk of some records; their texts come once or more in the order of ``rows``."""
+    ids, record = np.unique(rows, return_inverse=True)
+    letters = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+    text = np.repeat(np.arange(len(texts)), [len(x) for x in texts])
+    # A code point has 21 bits, so a gram is one number.
+    starts = np.flatnonzero(text[: 1 - GRAM] == text[GRAM - 1 :])
+    keys = letters[starts] << 42 | letters[starts + 1] << 21 | letters[starts + 2]
+    grams = _distinct(keys)
+    # Distinct (gram, record), sorted by gram and row id.
+    found = _distinct(np.searchsorted(grams, keys) * len(ids) + record[text[starts] % len(rows)])
+    gram, row = found // len(ids), ids[found % len(ids)]
+    chunk = row >> CHUNK_BITS
+    first = np.flatnonzero(np.append(True, (np.diff(gram) != 0) | (np.diff(chunk) != 0))[: len(found)])
+    ends = np.r_[first, len(found)].astype(np.int32)
+    spelled = np.stack([grams >> 42, grams >> 21 & 0x1FFFFF, grams & 0x1FFFFF], 1).astype("<u4").tobytes().decode("utf-32-le")
+    named = [spelled[GRAM * i : GRAM * (i + 1)] for i in gram[first].tolist()]
+    places = pa.ListArray.from_arrays(ends, (row & ((1 << CHUNK_BITS) - 1)).astype(np.int16))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(named, pa.string()), pa.array(chunk[first]), pa.array(np.diff(ends)), places], ["gram", CHUNK, "n", "places"]
+    )
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Gram lists of batches of ``(_row, text, ...)``, so many records at a time that their texts have a bounded length."""
+    for batch in batches:
+        rows, texts = batch.column(0).to_numpy(), [c.to_pylist() for c in batch.columns[1:]]
+        total = np.cumsum([sum(map(len, x)) for x in zip(*texts)])
+        low = 0
+        while low < len(rows):
+            before = total[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(total, before + LETTERS, "right")))
+            yield _gram_lists(rows[low:high], [x for c in texts for x in c[low:high]])
+            low = high
 
 
 def _write_postings(rows: DataFrame, token: str, buckets: int, path: str) -> None:
@@ -88,7 +142,7 @@ def build_search_index(
     if taken:
         raise ValueError(f"columns {sorted(taken)} are used by the index")
     spark = df.sparkSession
-    layout = _Layout(id_column, name_column, separator, buckets, df.schema.json())
+    layout = _Layout(id_column, name_column, separator, buckets, df.schema.json(), FORM)
     # The row id is settled by writing it; everything else refers to the stored rows.
     numbered = df.withColumn(ROW, F.monotonically_increasing_id())
     numbered.withColumn(BLOCK, _block(F.col(ROW), buckets)).write.partitionBy(BLOCK).parquet(f"{path}/records")
@@ -97,9 +151,13 @@ def build_search_index(
     tokens = F.array_distinct(F.concat(_pieces(names, separator), F.array(ident)))
     members = index.stored().select(F.explode(tokens).alias("token"), ROW).where("token != ''")
     _write_postings(members, "token", buckets, f"{path}/members")
-    grams = F.array_distinct(F.concat(_grams(names), _grams(ident)))
-    _write_postings(index.stored().select(F.explode(grams).alias("gram"), ROW), "gram", buckets, f"{path}/grams")
-    counts = index.postings("grams", "gram").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    package_on_workers(spark)
+    keys = index.stored().select(ROW, F.make_valid_utf8(names).alias("names"), F.make_valid_utf8(ident).alias("id"))
+    lists = keys.mapInArrow(_listed, _LISTS).withColumn(BUCKET, _bucket(F.col("gram"), buckets))
+    # Dealt without a sample, which would make the lists twice; AQE cuts a directory that is too large for one task.
+    dealt = lists.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, "gram", CHUNK)
+    dealt.write.partitionBy(BUCKET).parquet(f"{path}/grams")
+    counts = index.gram_lists().groupBy("gram").agg(F.sum("n").alias("n"))
     _write_postings(counts, "gram", buckets, f"{path}/counts")
     # Written last: an index without it is not complete and cannot be opened.
     spark.createDataFrame([(json.dumps(asdict(layout)),)], "value string").coalesce(1).write.text(f"{path}/layout")
@@ -108,7 +166,10 @@ def build_search_index(
 
 def open_search_index(spark: SparkSession, path: str) -> SearchIndex:
     """An index stored by an earlier session."""
-    return SearchIndex(spark, path, _Layout(**json.loads(spark.read.text(f"{path}/layout").first()["value"])))
+    layout = _Layout(**json.loads(spark.read.text(f"{path}/layout").first()["value"]))
+    if layout.form != FORM:
+        raise ValueError(f"the index is stored in form {layout.form}, not {FORM}: build it again")
+    return SearchIndex(spark, path, layout)
 
 
 @dataclass(frozen=True)
@@ -129,7 +190,14 @@ class SearchIndex:
     def records(self) -> DataFrame:
         return self.stored().drop(ROW, BLOCK)
 
+    def gram_lists(self) -> DataFrame:
+        """The grams as stored: the number of records that hold them in a chunk, and their places there."""
+        return self.spark.read.schema(f"{_LISTS}, {BUCKET} int").parquet(f"{self.path}/grams")
+
     def postings(self, table: str, token: str) -> DataFrame:
+        if table == "grams":
+            place = self.gram_lists().select("gram", CHUNK, F.explode("places").alias("place"), BUCKET)
+            return place.select("gram", (F.shiftleft(CHUNK, CHUNK_BITS) + F.col("place")).alias(ROW), BUCKET)
         last = "n" if table == "counts" else ROW
         return self.spark.read.schema(f"{token} string, {last} long, {BUCKET} int").parquet(f"{self.path}/{table}")
 

@@ -1,13 +1,17 @@
 """Every search over the index gives the rows of the scan."""
 
+import json
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from recordflow.operators import search
-from recordflow.operators.search_index import BUCKET, build_search_index, open_search_index, required_texts
+from recordflow.operators.search_index import (
+    BUCKET, CHUNK_BITS, _gram_lists, _listed, build_search_index, open_search_index, required_texts,
+)
 
 WORDS = ["red", "Widget", "gear", "ÉCLAIR", "x", "ab", "İstanbul", "  pad  ", "a|b", "pad|", "", "nan", "Σίσυφος", "r.d", "redd", "𝒳yz", "1.5"]
 
@@ -119,3 +123,66 @@ def test_other_separators(spark, tmp_path):
         index = build_search_index(df, str(tmp_path / str(n)), "id", "names", separator)
         for term in ("a", "b", "c", "[a"):
             same(index.exact(term), search.search_exact(df, term, "id", "names", separator))
+
+
+def test_grams_are_stored_as_lists(spark, tmp_path):
+    """Not a row for every record of a gram, but one for the records of a chunk; the postings are those of the texts."""
+    df = spark.range(30_000).selectExpr("id", "concat('everywhere||m', id % 7) as names")
+    index = build_search_index(df, str(tmp_path / "lists"), "id", "names", buckets=4)
+    stored, postings = spark.read.parquet(str(tmp_path / "lists" / "grams")), index.postings("grams", "gram")
+    assert 10 * stored.count() < postings.count()
+    assert postings.select("gram", "_row").distinct().count() == postings.count()
+    expected = {}
+    for row in index.stored().collect():
+        for text in (row.names, str(row.id)):
+            for gram in {text[i : i + 3] for i in range(len(text) - 2)}:
+                expected.setdefault(gram, set()).add(row._row)
+    found = {}
+    for row in postings.collect():
+        found.setdefault(row.gram, set()).add(row._row)
+    assert found == expected
+    assert {r.gram: r.n for r in index.postings("counts", "gram").collect()} == {g: len(x) for g, x in expected.items()}
+    # A term still opens the directory of its bucket alone.
+    assert re.search(rf"\({BUCKET}#\d+ = \d+\)", directories(plan_of(index.gram_rows(["ywh"]))))
+
+
+@pytest.mark.parametrize("rows", [[], [5], [3, 1, 2], [1, (1 << CHUNK_BITS) - 1, 1 << CHUNK_BITS, (3 << 33) + 7], list(range(40, 0, -1))])
+def test_gram_lists(rows):
+    """Lists of any texts: with NUL and letters beyond 16 bits, short, empty, in any order of the rows."""
+    rnd = random.Random(len(rows))
+    texts = [["".join(rnd.choice("ab\0é𝒳") for _ in range(rnd.randint(0, 12))) for _ in rows] for _ in range(2)]
+    batch = _gram_lists(np.array(rows, np.int64), texts[0] + texts[1]).to_pylist()
+    found = [(x["gram"], (x["_chunk"] << CHUNK_BITS) + place) for x in batch for place in x["places"]]
+    expected = {(t[i : i + 3], row) for column in texts for row, t in zip(rows, column) for i in range(len(t) - 2)}
+    assert sorted(found) == sorted(expected)
+    assert all(x["n"] == len(x["places"]) for x in batch)
+    assert len({(x["gram"], x["_chunk"]) for x in batch}) == len(batch)
+
+
+def test_long_texts_are_listed_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr("recordflow.operators.search_index.LETTERS", 10)
+    texts = ["abcd", "", "abcdefghijklmnop", "abc", "xyz", "abcdef"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6), pa.int64()), pa.array(texts), pa.array(["12"] * 6)], ["_row", "names", "id"])
+    parts = list(_listed(iter([batch])))
+    found = [(x["gram"], p) for part in parts for x in part.to_pylist() for p in x["places"]]
+    assert len(parts) > 2
+    assert sorted(found) == sorted((t[i : i + 3], row) for row, t in enumerate(texts) for i in range(len(t) - 2))
+
+
+def test_texts_that_are_no_text(spark, tmp_path):
+    """Bytes that are no UTF-8 do not stop the index."""
+    df = spark.sql("SELECT id, CAST(x AS STRING) AS names FROM VALUES (1, X'61626380C3'), (2, X'FF616263'), (3, X'616263') AS t(id, x)")
+    index = build_search_index(df, str(tmp_path / "bytes"), "id", "names")
+    assert index.contains("abc").count() == search.search_contains(df, "abc", "id", "names").count() == 3
+
+
+def test_an_index_of_an_earlier_form_is_refused(spark, tmp_path):
+    path = str(tmp_path / "old")
+    build_search_index(spark.createDataFrame([(1, "abc")], "id long, names string"), path, "id", "names")
+    layout = json.loads(spark.read.text(f"{path}/layout").first()["value"])
+    del layout["form"]
+    spark.createDataFrame([(json.dumps(layout),)], "value string").write.mode("overwrite").text(f"{path}/layout")
+    with pytest.raises(ValueError, match="build it again"):
+        open_search_index(spark, path)
