@@ -127,7 +127,9 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _write_postings(rows: DataFrame, token: str, buckets: int, path: str) -> None:
     rows = rows.withColumn(BUCKET, _bucket(F.col(token), buckets))
     order = [BUCKET, token, *([ROW] if ROW in rows.columns else [])]
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy(BUCKET).parquet(path)
+    # Ranges of a given number are not merged again, so that a hot token stays cut.
+    ranges = [int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))] if ROW in rows.columns else []
+    rows.repartitionByRange(*ranges, *order).sortWithinPartitions(*order).write.partitionBy(BUCKET).parquet(path)
 
 
 def build_search_index(
