@@ -1,6 +1,7 @@
 """The wide extract against the plain form: join everything, then GROUP BY."""
 
 import random
+import re
 
 import duckdb
 import pytest
@@ -378,3 +379,47 @@ def test_rows_of_a_child_are_gathered_where_they_are_joined(spark, eager_skew_sp
     found = records.join(sets, records["id"] == sets["k"], "left")
     # The rows are spread to be made distinct, then lie by key for the grouping and for the join.
     assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 3
+
+
+def final_plan(frame) -> str:
+    return executed_plan(frame).split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("most", [0, 50, 10**9])
+def test_members_of_a_key_move_once_unless_it_is_hot(spark, most):
+    from recordflow.operators.sets import arrays_by_key, distinct_arrays, hot_buckets
+
+    i = F.col("id")
+    rows = spark.range(0, 3000, 1, 4).select(
+        F.when(i % 3 == 0, F.lit(7)).when(i % 3 == 1, i % 200).alias("k"),
+        F.when(i % 5 > 0, i % 11).alias("v"), F.when(i % 7 > 0, F.concat(F.lit("w"), (i % 2).cast("string"))).alias("w"),
+    )
+    values = {"v": F.col("v"), "w": F.col("w")}
+    hot = hot_buckets(rows, "k", most)
+    assert min(hot.count(), 3) == {0: 3, 50: 2, 10**9: 0}[most]  # also the bucket of NULL
+    sets = arrays_by_key(rows, "k", values, hot)
+    plan = final_plan(sets)
+    assert len(re.findall(r"Exchange hashpartitioning\(k#", plan)) == {0: 2, 50: 3, 10**9: 1}[most]
+    assert as_sorted(sets.collect()) == as_sorted(distinct_arrays(rows, "k", values).collect())
+
+
+def test_pieces_of_a_link_meet_where_they_lie(spark, eager_skew_splitting):
+    """A descriptor with its children and a child of the same link are shuffled once by it, and once more to meet the pairs."""
+    links = (Descriptor("d", "descriptor", "r", "d_id"), Children("a", "author", "d", "d_id"), Children("w", "word", "r", "d_id"))
+    fields = (raw("id", "r.id"), raw("d_id", "r.d_id"), raw("l_id", "d.l_id"), members("authors", "a.author"), members("words", "w.word"))
+    tables = small_tables(spark) | {"word": spark.createDataFrame([(10, "p"), (99, "q"), (10, "o"), (10, "o")], "d_id long, word string")}
+    wide = denormalize(tables, WideSpec("r", "record", "id", links, fields))
+    expected = [(1, 10, 5, "x||y", "o||p"), (2, 10, 5, "x||y", "o||p"), (3, 99, None, "", "q"), (4, None, None, "", "")]
+    assert as_sorted(wide.collect()) == as_sorted(expected)
+    assert len(re.findall(r"Exchange hashpartitioning\(_key#", final_plan(wide))) == 1
+
+
+def test_flat_sets_travel_as_cell_text(spark):
+    tables = frames(spark, random_tables(7, key_range=3))
+    spec = flat_spec()
+    cells = flat_extract(tables, spec, expand="tx", arrays=False)
+    arrays = flat_extract(tables, spec, expand="tx")
+    assert "array" not in {f.dataType.typeName() for f in cells.schema.fields}
+    sets = [f.name for f in arrays.schema.fields if f.dataType.typeName() == "array"]
+    joined = [F.coalesce(F.array_join(c, "||"), F.lit("")).alias(c) if c in sets else c for c in arrays.columns]
+    assert len(sets) == 8 and as_sorted(cells.collect()) == as_sorted(arrays.select(*joined).collect())
