@@ -51,6 +51,18 @@ def test_control_characters_of_a_row(spark):
     assert text.strip_control_everywhere(numbers).columns == ["n"]
 
 
+def test_control_characters_of_packed_texts(spark):
+    """The two steps together equal the one: NULL, empty and separators in the data, bytes that are no text."""
+    rows = [("a\x01", 1, None, "b"), ("a\x1f", 2, "\x1e", "\tb\x1f\x1f"), (None, None, None, None), ("", 4, "", ""), ("\x1e", 5, "x", "y\n")]
+    df = spark.createDataFrame(rows, "`a.b` string, n int, _texts string, c string").withColumn("raw", F.expr("cast(X'ff41' as string)"))
+    expected = sorted(map(tuple, text.strip_control_everywhere(df).withColumn("raw", F.hex("raw")).collect()), key=str)
+    for apart in ((), ("c",), ("a.b", "n", "c"), ("a.b", "_texts", "c", "raw")):
+        packed, unpack = text.strip_control_packed(df, apart)
+        assert len([c for c in packed.columns if c not in df.columns]) == 2 * (len(apart) < 4)
+        assert unpack(packed).schema.simpleString() == df.schema.simpleString()
+        assert sorted(map(tuple, unpack(packed).withColumn("raw", F.hex("raw")).collect()), key=str) == expected
+
+
 def test_coerce_int(values):
     seen = ["3.0", "3.5", " 7 ", "x", "1d", "", None, "-4", "9007199254740993", "1e2", "1_000", "9" * 30, "9007199254740993.0"]
     assert values(coerce.coerce_int, *seen) == [3, None, 7, None, None, None, None, -4, 9007199254740993, 100, None, None, 9007199254740993]
