@@ -423,3 +423,28 @@ def test_flat_sets_travel_as_cell_text(spark):
     sets = [f.name for f in arrays.schema.fields if f.dataType.typeName() == "array"]
     joined = [F.coalesce(F.array_join(c, "||"), F.lit("")).alias(c) if c in sets else c for c in arrays.columns]
     assert len(sets) == 8 and as_sorted(cells.collect()) == as_sorted(arrays.select(*joined).collect())
+
+
+def test_rows_of_a_child_move_once(spark, eager_skew_splitting):
+    from recordflow.operators.sets import arrays_beside, distinct_arrays_beside
+
+    rows = spark.createDataFrame(
+        [(1, None, "a"), (1, None, "b"), (1, None, "b"), (1, "x", None), (2, "x", "a"), (9, "x", "a"), (None, "x", "a")], "k long, p string, v string"
+    )
+    records = spark.createDataFrame([(1,), (2,)], "id long")
+    made = [f(rows, "k", ["p"], {"v": F.col("v")}, lambda df: df.where("k < 9")) for f in (arrays_beside, distinct_arrays_beside)]
+    assert as_sorted(made[0].collect()) == as_sorted(made[1].collect()) == as_sorted([(1, None, ["a", "b"]), (1, "x", []), (2, "x", ["a"])])
+    found = records.join(made[0], records["id"] == made[0]["k"], "left")
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+
+
+def test_protocol_rows_move_once(spark, eager_skew_splitting):
+    fields = (raw("id", "r.id"), raw("p", "f.p"), members("files", "f.file"))
+    spec = WideSpec("r", "record", "id", (Children("f", "file", "r", "id"),), fields, unique_key=True)
+    tables = {
+        "record": spark.createDataFrame([(1,), (2,)], "id long"),
+        "file": spark.createDataFrame([(1, "x", "b"), (1, "x", "a"), (1, "x", "a"), (1, None, None)], "id long, p string, file string"),
+    }
+    wide = denormalize(tables, spec)
+    assert as_sorted(wide.collect()) == as_sorted([(1, "x", "a||b"), (1, None, ""), (2, None, "")])
+    assert not re.search(r"Exchange hashpartitioning\(_key#\w+, \w+#", final_plan(wide))
